@@ -83,7 +83,8 @@ def hash_to_range(lo: Column | int, hi: Column | int, *parts) -> Column:
     """
     lo_c = lo if isinstance(lo, Column) else F.lit(int(lo))
     hi_c = hi if isinstance(hi, Column) else F.lit(int(hi))
-    text = F.concat_ws(":", *[p if isinstance(p, Column) else F.lit(str(p)) for p in parts])
+    text = F.concat_ws(":", *[p.cast(T.StringType()) if isinstance(p, Column) else F.lit(str(p))
+                              for p in parts])
     h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast(T.LongType())
     return lo_c.cast(T.LongType()) + F.pmod(h, hi_c.cast(T.LongType()) - lo_c.cast(T.LongType()) + 1)
 

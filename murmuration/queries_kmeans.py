@@ -1 +1,115 @@
-KMEANS_QUERIES: dict = {}
+"""Registered k-means queries (Q14–Q22) and the CSV round trip (Q21), bound to
+the driver's tables: points from ``lineitem``, the ten fixed start centers."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from murmuration import schemas
+from murmuration.operators import clustering as km
+from murmuration.session import scratch_path
+from murmuration.sources import bindings as b
+from murmuration.sources.csv import csv_table, write_csv
+
+POINT_KEYS = ("l_orderkey", "l_linenumber")
+
+
+def q14(spark: SparkSession, sf: str) -> DataFrame:
+    return km.kmeans_step(b.points(spark, sf), b.start_centers(), rounding="half_up")
+
+
+def _q15_result(spark: SparkSession, sf: str) -> km.KMeansResult:
+    return km.kmeans_fixed(b.points(spark, sf), b.start_centers(), r=6, rounding="trunc")
+
+
+def q15(spark: SparkSession, sf: str) -> DataFrame:
+    res = _q15_result(spark, sf)
+    res.release()  # the final pass then reads the checkpointed points
+    return km.with_run_flags(res)
+
+
+def _q16_result(spark: SparkSession, sf: str) -> km.KMeansResult:
+    return km.kmeans_converged(b.points(spark, sf), b.start_centers(), r_max=20,
+                               tolerance=50.0, check=True, rounding="half_up")
+
+
+def q16(spark: SparkSession, sf: str) -> DataFrame:
+    res = _q16_result(spark, sf)
+    res.release()
+    return km.with_run_flags(res)
+
+
+def q17(spark: SparkSession, sf: str) -> DataFrame:
+    res = _q16_result(spark, sf)
+    res.release()
+    return km.kmeans_assign(b.points(spark, sf), res, keep=POINT_KEYS)
+
+
+def q18(spark: SparkSession, sf: str) -> DataFrame:
+    return km.kmeans_seeds_sample(b.points(spark, sf), k=10, seed=42)
+
+
+def q19(spark: SparkSession, sf: str) -> DataFrame:
+    return km.kmeans_seeds_uniform(b.points(spark, sf), k=10, seed=42)
+
+
+def q20(spark: SparkSession, sf: str) -> DataFrame:
+    return km.kmeans_sweep(b.points(spark, sf))
+
+
+def q21(spark: SparkSession, sf: str) -> DataFrame:
+    """people written as headed CSV to the shared scratch folder, read back."""
+    path = scratch_path(spark, "people-csv")
+    write_csv(b.people(spark, sf), path, mode="errorifexists")
+    return csv_table(spark, path, schemas.PEOPLE_SCHEMA)
+
+
+CENTERS_OUT_SCHEMA = T.StructType([
+    T.StructField("center_id", T.LongType()), T.StructField("x", T.LongType()),
+    T.StructField("y", T.LongType()), T.StructField("n", T.LongType()),
+    T.StructField("moved", T.DoubleType()), T.StructField("converged", T.BooleanType()),
+    T.StructField("passes", T.LongType())])
+
+CLUSTERED_OUT_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+    T.StructField("x", T.LongType()), T.StructField("y", T.LongType()),
+    T.StructField("center_id", T.LongType()), T.StructField("center_x", T.LongType()),
+    T.StructField("center_y", T.LongType())])
+
+
+def q22(spark: SparkSession, sf: str) -> DataFrame:
+    """The two named outputs of the Q16 run, read back and tagged."""
+    pts = b.points(spark, sf)
+    res = _q16_result(spark, sf)
+    try:
+        cdir, pdir = km.kmeans_outputs(res, pts, scratch_path(spark, "kmeans-out"),
+                                       keep=POINT_KEYS, mode="errorifexists")
+    finally:
+        res.release()
+    # One schema for both outputs, without nulls: a center row is its own
+    # point (weight n, the cluster size); a clustered row weighs 1.  Both
+    # carry the run's converged flag.
+    centers = csv_table(spark, cdir, CENTERS_OUT_SCHEMA).select(
+        F.lit("centers").alias("output"), "center_id", "x", "y",
+        F.col("x").alias("center_x"), F.col("y").alias("center_y"), "n", "converged")
+    clustered = csv_table(spark, pdir, CLUSTERED_OUT_SCHEMA).select(
+        F.lit("clustered").alias("output"), "center_id", "x", "y", "center_x", "center_y",
+        F.lit(1).cast(T.LongType()).alias("n"), F.lit(res.converged).alias("converged"))
+    return centers.unionByName(clustered)
+
+
+KMEANS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "q14_kmeans_step": q14,
+    "q15_kmeans_fixed": q15,
+    "q16_kmeans_converged": q16,
+    "q17_kmeans_assign": q17,
+    "q18_kmeans_seeds_sample": q18,
+    "q19_kmeans_seeds_uniform": q19,
+    "q20_kmeans_sweep": q20,
+    "q21_csv_roundtrip": q21,
+    "q22_kmeans_outputs": q22,
+}
