@@ -6,10 +6,11 @@ Execution model
   (an exact rewrite: a cluster's sums are ``Σ w·x``, ``Σ w·y``, ``Σ w``), then
   persisted and written to the reliable checkpoint folder, so a lost executor
   costs a re-read of that table, never a re-run of the scan.
-* One pass = one Spark job: every point picks its nearest center with a
-  codegen'd ``least`` over the K centers inlined as literals (no join, no
-  lambda), a partial + final ``groupBy(center_id)`` sums, and at most K rows
-  come back to the driver.  The centers re-enter the next pass as literals,
+* One pass = one Spark job: every point picks its nearest center (an
+  Arrow-batched NumPy argmin by default, see ``functions.vectorized`` for
+  the measurement; ``argmin="builtin"`` uses a codegen'd ``least`` over the
+  centers inlined as literals), a partial + final ``groupBy(center_id)``
+  sums, and at most K rows come back to the driver.  The centers re-enter the next pass as literals,
   so the plan and its lineage stay the same size at every pass.
 * Means are exact integers (``half_up``: ``floor(s/n + 1/2)``, ``trunc``:
   ``s div n``); distances for the argmin are squared, which orders like the
@@ -35,12 +36,14 @@ from murmuration.functions import (
     nearest_center,
     trunc_mean,
 )
+from murmuration.functions.vectorized import nearest_center_arrow
 from murmuration.session import ensure_checkpoint_dir
 
 Center = tuple[int, int, int]  # (center_id, x, y)
 ROUNDINGS = ("half_up", "trunc")
 DEFAULT_TOLERANCE = 50.0
-MAX_CENTERS = 100_000  # centers are inlined as literals; keep K bounded
+MAX_CENTERS = 100_000  # centers travel with the plan; keep K bounded
+ARGMIN_METHODS = ("arrow", "builtin")
 
 PASS_SCHEMA = T.StructType([
     T.StructField("center_id", T.LongType()),
@@ -112,8 +115,19 @@ def _lookup(centers: Sequence[Center], idx: int) -> F.Column:
     return F.try_element_at(m, F.col("center_id"))
 
 
+def assign_center(x: F.Column, y: F.Column, centers: Sequence[Center],
+                  argmin: str = "arrow") -> F.Column:
+    """Nearest-center id column (lowest id on ties)."""
+    if argmin not in ARGMIN_METHODS:
+        raise ValueError(f"argmin must be one of {ARGMIN_METHODS}")
+    cs = _check_centers(centers)
+    if argmin == "builtin":
+        return nearest_center(x, y, cs)
+    return nearest_center_arrow(x, y, cs)
+
+
 def pass_frame(wpoints: DataFrame, centers: Sequence[Center], rounding: str = "half_up",
-               with_sse: bool = False) -> DataFrame:
+               with_sse: bool = False, argmin: str = "arrow") -> DataFrame:
     """One Lloyd pass as a lazy DataFrame over weighted points ``(x, y, w)``.
 
     Columns: ``center_id, x, y, n, moved`` (+ ``sse`` with ``with_sse``): the
@@ -126,7 +140,7 @@ def pass_frame(wpoints: DataFrame, centers: Sequence[Center], rounding: str = "h
     cs = _check_centers(centers)
     mean = half_up_mean if rounding == "half_up" else trunc_mean
     assigned = wpoints.select("x", "y", "w",
-                              nearest_center(F.col("x"), F.col("y"), cs).alias("center_id"))
+                              assign_center(F.col("x"), F.col("y"), cs, argmin).alias("center_id"))
     aggs = [F.sum(F.col("x") * F.col("w")).alias("sx"),
             F.sum(F.col("y") * F.col("w")).alias("sy"),
             F.sum("w").alias("n")]
@@ -168,9 +182,9 @@ class PassStats:
 
 
 def run_pass(wpoints: DataFrame, centers: Sequence[Center], rounding: str,
-             with_sse: bool = False) -> PassStats:
+             with_sse: bool = False, argmin: str = "arrow") -> PassStats:
     """Run one pass and bring back its <= K result rows."""
-    rows = pass_frame(wpoints, centers, rounding, with_sse).collect()
+    rows = pass_frame(wpoints, centers, rounding, with_sse, argmin).collect()
     rows.sort(key=lambda r: r["center_id"])
     return PassStats(
         centers_in=list(centers),
@@ -182,12 +196,12 @@ def run_pass(wpoints: DataFrame, centers: Sequence[Center], rounding: str,
 
 # ------------------------------------------------------------------ Q14
 def kmeans_step(points: DataFrame, centers: Sequence[Center],
-                rounding: str = "half_up") -> DataFrame:
+                rounding: str = "half_up", argmin: str = "arrow") -> DataFrame:
     """One pass from ``centers`` (Q14): ``center_id, x, y, n, moved``.
 
     Lazy: a single map stage plus a K-row shuffle, no driver round trip.
     """
-    return pass_frame(_weighted(points), centers, rounding)
+    return pass_frame(_weighted(points), centers, rounding, argmin=argmin)
 
 
 # ------------------------------------------------------------------ loops
@@ -207,6 +221,7 @@ class KMeansResult:
     converged: bool
     history: list[float] = field(default_factory=list)
     weighted: WeightedPoints | None = None
+    argmin: str = "arrow"
 
     def release(self) -> None:
         if self.weighted is not None:
@@ -222,7 +237,7 @@ def _small_frame(spark: SparkSession, stats: PassStats) -> DataFrame:
 def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
                  rounding: str = "trunc", check: bool = False,
                  tolerance: float = DEFAULT_TOLERANCE, dedupe: bool = True,
-                 checkpoint: bool = True) -> KMeansResult:
+                 checkpoint: bool = True, argmin: str = "arrow") -> KMeansResult:
     """R passes, optionally stopping early (Q15).
 
     With ``check`` the run stops after the first pass in which every center
@@ -236,13 +251,13 @@ def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
     history: list[float] = []
     for i in range(r):
         if i == r - 1:
-            frame = pass_frame(wp.df, cur, rounding)
-            return KMeansResult(frame, cur, i + 1, False, history, wp)
-        st = run_pass(wp.df, cur, rounding)
+            frame = pass_frame(wp.df, cur, rounding, argmin=argmin)
+            return KMeansResult(frame, cur, i + 1, False, history, wp, argmin)
+        st = run_pass(wp.df, cur, rounding, argmin=argmin)
         history.append(st.max_moved)
         if check and r > 1 and st.max_moved <= tolerance:
             return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1, True,
-                                history, wp)
+                                history, wp, argmin)
         cur = st.centers_out
     raise AssertionError("unreachable")
 
@@ -250,7 +265,7 @@ def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
 def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
                      tolerance: float = DEFAULT_TOLERANCE, check: bool = True,
                      rounding: str = "half_up", dedupe: bool = True,
-                     checkpoint: bool = True) -> KMeansResult:
+                     checkpoint: bool = True, argmin: str = "arrow") -> KMeansResult:
     """Passes until every center moved at most ``tolerance``, then one closing
     pass (Q16).
 
@@ -269,12 +284,14 @@ def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
     for i in range(r_max):
         if i == r_max - 1:
             conv = bool(history) and history[-1] <= tolerance
-            return KMeansResult(pass_frame(wp.df, cur, rounding), cur, i + 1, conv, history, wp)
-        st = run_pass(wp.df, cur, rounding)
+            return KMeansResult(pass_frame(wp.df, cur, rounding, argmin=argmin), cur, i + 1,
+                                conv, history, wp, argmin)
+        st = run_pass(wp.df, cur, rounding, argmin=argmin)
         history.append(st.max_moved)
         cur = st.centers_out
         if check and st.max_moved <= tolerance:
-            return KMeansResult(pass_frame(wp.df, cur, rounding), cur, i + 2, True, history, wp)
+            return KMeansResult(pass_frame(wp.df, cur, rounding, argmin=argmin), cur, i + 2,
+                                True, history, wp, argmin)
     raise AssertionError("unreachable")
 
 
@@ -299,7 +316,8 @@ def kmeans_assign(points: DataFrame, result: KMeansResult,
     final = result.centers.select("center_id", F.col("x").alias("center_x"),
                                   F.col("y").alias("center_y"))
     assigned = points.select(*keep, "x", "y",
-                             nearest_center(F.col("x"), F.col("y"), result.centers_in)
+                             assign_center(F.col("x"), F.col("y"), result.centers_in,
+                                           result.argmin)
                              .alias("center_id"))
     return assigned.join(F.broadcast(final), "center_id", "inner").select(
         *keep, "x", "y", "center_id", "center_x", "center_y")
@@ -390,7 +408,7 @@ def _closing_index(history: list[float], r: int, check: bool, tol: float) -> tup
 def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
                  rs: Iterable[int] = SWEEP_RS, convergence: Iterable[bool] = (False, True),
                  seed: int = 42, tolerance: float = DEFAULT_TOLERANCE,
-                 rounding: str = "half_up") -> DataFrame:
+                 rounding: str = "half_up", argmin: str = "arrow") -> DataFrame:
     """The parameter sweep (Q20): one row per (K, R, convergence) of the grid.
 
     Start centers per K: ``kmeans_seeds_sample(points, K, seed)``.  Every run
@@ -408,7 +426,7 @@ def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
             cur = collect_centers(kmeans_seeds_sample(wp.df, k, seed))
             traj: list[PassStats] = []
             for _ in range(r_top):
-                st = run_pass(wp.df, cur, rounding, with_sse=True)
+                st = run_pass(wp.df, cur, rounding, with_sse=True, argmin=argmin)
                 traj.append(st)
                 cur = st.centers_out
             history = [s.max_moved for s in traj]
