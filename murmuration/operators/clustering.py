@@ -135,31 +135,58 @@ def pass_frame(wpoints: DataFrame, centers: Sequence[Center], rounding: str = "h
     distance it moved.  ``sse`` is Σ w·|p − new center|² of the cluster, taken
     exactly from per-cluster moment sums.
     """
+    return multi_pass_frame(wpoints, [centers], rounding, with_sse, argmin).drop("run")
+
+
+def multi_pass_frame(wpoints: DataFrame, runs: Sequence[Sequence[Center]],
+                     rounding: str = "half_up", with_sse: bool = False,
+                     argmin: str = "arrow") -> DataFrame:
+    """One pass of several independent runs over the same points, in one job.
+
+    Each point is assigned once per run (one Arrow round trip for all runs),
+    then ``groupBy(run, center_id)`` sums; the result has a ``run`` column
+    (index into ``runs``).  Used by the sweep, whose runs share the points.
+    """
     if rounding not in ROUNDINGS:
         raise ValueError(f"rounding must be one of {ROUNDINGS}")
-    cs = _check_centers(centers)
+    if not runs:
+        raise ValueError("at least one run is needed")
+    runs = [_check_centers(cs) for cs in runs]
     mean = half_up_mean if rounding == "half_up" else trunc_mean
-    assigned = wpoints.select("x", "y", "w",
-                              assign_center(F.col("x"), F.col("y"), cs, argmin).alias("center_id"))
-    aggs = [F.sum(F.col("x") * F.col("w")).alias("sx"),
-            F.sum(F.col("y") * F.col("w")).alias("sy"),
+    x, y = F.col("x"), F.col("y")
+    if len(runs) == 1:
+        assigned = wpoints.select("x", "y", "w", F.lit(0).alias("run"),
+                                  assign_center(x, y, runs[0], argmin).alias("center_id"))
+    else:
+        ids = [assign_center(x, y, cs, argmin).alias(f"_c{i}") for i, cs in enumerate(runs)]
+        pairs = F.array(*[F.struct(F.lit(i).alias("run"), F.col(f"_c{i}").alias("center_id"))
+                          for i in range(len(runs))])
+        assigned = wpoints.select("x", "y", "w", *ids).select("x", "y", "w", F.inline(pairs))
+    aggs = [F.sum(x * F.col("w")).alias("sx"), F.sum(y * F.col("w")).alias("sy"),
             F.sum("w").alias("n")]
+    dec = T.DecimalType(38, 0)
     if with_sse:
-        dec = T.DecimalType(38, 0)
-        aggs += [F.sum((F.col("x") * F.col("x")).cast(dec) * F.col("w")).alias("sxx"),
-                 F.sum((F.col("y") * F.col("y")).cast(dec) * F.col("w")).alias("syy")]
-    g = assigned.groupBy("center_id").agg(*aggs)
+        aggs += [F.sum((x * x).cast(dec) * F.col("w")).alias("sxx"),
+                 F.sum((y * y).cast(dec) * F.col("w")).alias("syy")]
+    g = assigned.groupBy("run", "center_id").agg(*aggs)
+    # old center coordinates, keyed by run * span + center_id
+    span = max(c[0] for cs in runs for c in cs) + 1
+    key = F.col("run").cast(T.LongType()) * F.lit(span) + F.col("center_id")
+
+    def lookup(idx: int) -> F.Column:
+        kv = [v for r, cs in enumerate(runs) for c in cs
+              for v in (F.lit(r * span + c[0]).cast(T.LongType()), F.lit(c[idx]).cast(T.LongType()))]
+        return F.try_element_at(F.create_map(*kv), key)
+
     nx, ny = mean(F.col("sx"), F.col("n")), mean(F.col("sy"), F.col("n"))
-    out = g.select("center_id", nx.alias("x"), ny.alias("y"), "n", "sx", "sy",
+    out = g.select("run", "center_id", nx.alias("x"), ny.alias("y"), "n", "sx", "sy",
                    *(["sxx", "syy"] if with_sse else []),
-                   _lookup(cs, 1).alias("old_x"), _lookup(cs, 2).alias("old_y"))
+                   lookup(1).alias("old_x"), lookup(2).alias("old_y"))
     dx = (F.col("x") - F.col("old_x")).cast(T.DoubleType())
     dy = (F.col("y") - F.col("old_y")).cast(T.DoubleType())
-    cols = ["center_id", "x", "y", "n", F.sqrt(dx * dx + dy * dy).alias("moved")]
+    cols = ["run", "center_id", "x", "y", "n", F.sqrt(dx * dx + dy * dy).alias("moved")]
     if with_sse:
-        dec = T.DecimalType(38, 0)
-
-        def part(s2, s1, m):
+        def part(s2: str, s1: str, m: F.Column) -> F.Column:
             m = m.cast(dec)
             return F.col(s2) - F.col(s1).cast(dec) * m * 2 + F.col("n").cast(dec) * m * m
 
@@ -181,11 +208,8 @@ class PassStats:
         return max(self.moved.values()) if self.moved else 0.0
 
 
-def run_pass(wpoints: DataFrame, centers: Sequence[Center], rounding: str,
-             with_sse: bool = False, argmin: str = "arrow") -> PassStats:
-    """Run one pass and bring back its <= K result rows."""
-    rows = pass_frame(wpoints, centers, rounding, with_sse, argmin).collect()
-    rows.sort(key=lambda r: r["center_id"])
+def _stats(rows, centers: Sequence[Center], with_sse: bool) -> PassStats:
+    rows = sorted(rows, key=lambda r: r["center_id"])
     return PassStats(
         centers_in=list(centers),
         centers_out=[(r["center_id"], r["x"], r["y"]) for r in rows],
@@ -194,6 +218,22 @@ def run_pass(wpoints: DataFrame, centers: Sequence[Center], rounding: str,
         sse=(sum(r["sse"] for r in rows) if with_sse else None))
 
 
+def run_pass(wpoints: DataFrame, centers: Sequence[Center], rounding: str,
+             with_sse: bool = False, argmin: str = "arrow") -> PassStats:
+    """Run one pass and bring back its <= K result rows."""
+    return run_passes(wpoints, [centers], rounding, with_sse, argmin)[0]
+
+
+def run_passes(wpoints: DataFrame, runs: Sequence[Sequence[Center]], rounding: str,
+               with_sse: bool = False, argmin: str = "arrow") -> list[PassStats]:
+    """One pass of every run in one job; brings back <= sum(K) rows."""
+    rows = multi_pass_frame(wpoints, runs, rounding, with_sse, argmin).collect()
+    by_run: dict[int, list] = {i: [] for i in range(len(runs))}
+    for r in rows:
+        by_run[r["run"]].append(r)
+    return [_stats(by_run[i], runs[i], with_sse) for i in range(len(runs))]
+
+
 # ------------------------------------------------------------------ Q14
 def kmeans_step(points: DataFrame, centers: Sequence[Center],
                 rounding: str = "half_up", argmin: str = "arrow") -> DataFrame:
@@ -416,19 +456,21 @@ def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
     on the previous centers), so each K is run once for max(R) passes and
     every cell is read off that trajectory: passes run, converged flag,
     surviving K and the within-cluster sum of squares of its closing pass.
+    The trajectories of all K advance together, one job per step.
     """
     ks, rs, convergence = list(ks), list(rs), list(convergence)
     cells = sweep_cells(ks, rs, convergence)
     r_top = max(rs)
     out = []
     with WeightedPoints(points) as wp:
-        for k in ks:
-            cur = collect_centers(kmeans_seeds_sample(wp.df, k, seed))
-            traj: list[PassStats] = []
-            for _ in range(r_top):
-                st = run_pass(wp.df, cur, rounding, with_sse=True, argmin=argmin)
+        cur = [collect_centers(kmeans_seeds_sample(wp.df, k, seed)) for k in ks]
+        trajs: list[list[PassStats]] = [[] for _ in ks]
+        for _ in range(r_top):
+            # all K's advance together: one scan of the points per step
+            for traj, st in zip(trajs, run_passes(wp.df, cur, rounding, True, argmin)):
                 traj.append(st)
-                cur = st.centers_out
+            cur = [t[-1].centers_out for t in trajs]
+        for k, traj in zip(ks, trajs):
             history = [s.max_moved for s in traj]
             for ck, r, c in cells:
                 if ck != k:
