@@ -28,7 +28,8 @@ def csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     ``file_columns`` are the names in the files' header row (defaults to the
     schema's own names).  ``mode`` is Spark's parse mode: ``FAILFAST`` stops on
     a malformed row, ``DROPMALFORMED`` skips it (the reference's short-row
-    guard), ``PERMISSIVE`` keeps it with nulls.
+    guard), ``PERMISSIVE`` keeps it with nulls.  (As everywhere in Spark, a
+    bare ``count()`` parses no column and so sees no malformed row.)
     """
     mode = mode.upper()
     if mode not in _MODES:
