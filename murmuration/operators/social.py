@@ -132,14 +132,22 @@ def _visits(access: DataFrame) -> DataFrame:
 
 
 def _edges(friends: DataFrame) -> DataFrame:
-    return friends.select(F.col("person_id").alias("src"), F.col("friend_id").alias("dst"))
+    """Distinct directed edges (src, dst).
+
+    The semi / anti joins below only test existence, so repeated edges are
+    collapsed first (partial aggregate, map-side): a hot edge repeated a
+    billion times reaches the join as one row, not one skewed partition.
+    """
+    return friends.select(F.col("person_id").alias("src"), F.col("friend_id").alias("dst")).distinct()
 
 
 def neglectful_all(people: DataFrame, friends: DataFrame, access: DataFrame) -> DataFrame:
     """People with at least one friend who visited none of them (Q07).
 
-    owners(edges) ANTI owners(edges SEMI visits): semi / anti joins never
-    multiply rows, and AQE splits a skewed owner's partition.  Names come
+    owners(edges) ANTI owners(edges SEMI visits) on distinct edges and
+    distinct visits: semi / anti joins never multiply rows, the composite
+    (src, dst) key spreads a hub owner over many partitions, and AQE splits
+    what is still skewed.  Names come
     from a left join (``Unknown`` when the owner is not in people).
     """
     edges = _edges(friends)

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+Every input of the reference is a finite file and every job a batch job; it
+has no stream source, watermark, window or stateful operator.  The library
+therefore ships no streaming operators (adding some would be functionality
+the reference does not have).  The batch operators are plain DataFrame
+functions, so they can be applied inside ``foreachBatch`` of a Structured
+Streaming query by a caller who needs that.
+"""
