@@ -282,7 +282,8 @@ def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
 
     With ``check`` the run stops after the first pass in which every center
     moved at most ``tolerance`` (never when ``r == 1``), without a closing
-    pass.  The returned centers are those of the last pass run.
+    pass, and ``converged`` reports whether the last pass run was within the
+    tolerance.  The returned centers are those of the last pass run.
     """
     if r < 1:
         raise ValueError("r must be >= 1")
@@ -290,14 +291,15 @@ def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
     cur = _check_centers(centers)
     history: list[float] = []
     for i in range(r):
-        if i == r - 1:
+        if i == r - 1 and not (check and r > 1):
+            # nothing to decide after the last pass: return it lazily
             frame = pass_frame(wp.df, cur, rounding, argmin=argmin)
             return KMeansResult(frame, cur, i + 1, False, history, wp, argmin)
         st = run_pass(wp.df, cur, rounding, argmin=argmin)
         history.append(st.max_moved)
-        if check and r > 1 and st.max_moved <= tolerance:
-            return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1, True,
-                                history, wp, argmin)
+        if i == r - 1 or (check and r > 1 and st.max_moved <= tolerance):
+            return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1,
+                                st.max_moved <= tolerance, history, wp, argmin)
         cur = st.centers_out
     raise AssertionError("unreachable")
 

@@ -84,3 +84,13 @@ def test_q16_fixed_r_reports_previous_move(pts, centers):
         assert one.passes == 1 and not one.converged  # nothing measured yet
     finally:
         one.release()
+
+
+def test_q15_with_check_stops_without_closing_pass(pts, centers):
+    res = km.kmeans_fixed(pts, centers, r=20, rounding="half_up", check=True)
+    try:
+        # the half-up trajectory is within 50 after pass 12 (see Q16)
+        assert res.passes == 12 and res.converged
+        assert max(r["moved"] for r in res.centers.collect()) == pytest.approx(38.60, abs=0.01)
+    finally:
+        res.release()
