@@ -22,6 +22,7 @@ reference; ``center_id`` is stable across passes so the survivors are known.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -30,12 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmuration.functions import (
-    half_up_mean,
-    hash_to_range,
-    nearest_center,
-    trunc_mean,
-)
+from murmuration.functions import hash_to_range, nearest_center
 from murmuration.functions.vectorized import nearest_center_arrow
 from murmuration.session import ensure_checkpoint_dir
 
@@ -109,12 +105,6 @@ def _check_centers(centers: Sequence[Center]) -> list[Center]:
     return cs
 
 
-def _lookup(centers: Sequence[Center], idx: int) -> F.Column:
-    m = F.create_map(*[v for c in centers for v in (F.lit(c[0]).cast(T.LongType()),
-                                                    F.lit(c[idx]).cast(T.LongType()))])
-    return F.try_element_at(m, F.col("center_id"))
-
-
 def assign_center(x: F.Column, y: F.Column, centers: Sequence[Center],
                   argmin: str = "arrow") -> F.Column:
     """Nearest-center id column (lowest id on ties)."""
@@ -135,64 +125,70 @@ def pass_frame(wpoints: DataFrame, centers: Sequence[Center], rounding: str = "h
     distance it moved.  ``sse`` is Σ w·|p − new center|² of the cluster, taken
     exactly from per-cluster moment sums.
     """
-    return multi_pass_frame(wpoints, [centers], rounding, with_sse, argmin).drop("run")
+    return multi_pass_frame(wpoints, [centers], rounding, with_sse, argmin)
 
 
 def multi_pass_frame(wpoints: DataFrame, runs: Sequence[Sequence[Center]],
                      rounding: str = "half_up", with_sse: bool = False,
-                     argmin: str = "arrow") -> DataFrame:
+                     argmin: str = "arrow", with_moved: bool = True) -> DataFrame:
     """One pass of several independent runs over the same points, in one job.
 
     Each point is assigned once per run (one Arrow round trip for all runs),
     then ``groupBy(run, center_id)`` sums; the result has a ``run`` column
-    (index into ``runs``).  Used by the sweep, whose runs share the points.
+    (index into ``runs``) when there is more than one run.  Used by the
+    sweep, whose runs share the points.  The plan is built in three steps
+    (assign, aggregate, project) to keep driver-side planning per pass short.
     """
     if rounding not in ROUNDINGS:
         raise ValueError(f"rounding must be one of {ROUNDINGS}")
     if not runs:
         raise ValueError("at least one run is needed")
     runs = [_check_centers(cs) for cs in runs]
-    mean = half_up_mean if rounding == "half_up" else trunc_mean
     x, y = F.col("x"), F.col("y")
-    if len(runs) == 1:
-        assigned = wpoints.select("x", "y", "w", F.lit(0).alias("run"),
+    multi = len(runs) > 1
+    if not multi:
+        assigned = wpoints.select("x", "y", "w",
                                   assign_center(x, y, runs[0], argmin).alias("center_id"))
+        keys = ["center_id"]
     else:
         ids = [assign_center(x, y, cs, argmin).alias(f"_c{i}") for i, cs in enumerate(runs)]
         pairs = F.array(*[F.struct(F.lit(i).alias("run"), F.col(f"_c{i}").alias("center_id"))
                           for i in range(len(runs))])
         assigned = wpoints.select("x", "y", "w", *ids).select("x", "y", "w", F.inline(pairs))
-    aggs = [F.sum(x * F.col("w")).alias("sx"), F.sum(y * F.col("w")).alias("sy"),
-            F.sum("w").alias("n")]
-    dec = T.DecimalType(38, 0)
+        keys = ["run", "center_id"]
+    aggs = ["sum(x * w) AS sx", "sum(y * w) AS sy", "sum(w) AS n"]
     if with_sse:
-        aggs += [F.sum((x * x).cast(dec) * F.col("w")).alias("sxx"),
-                 F.sum((y * y).cast(dec) * F.col("w")).alias("syy")]
-    g = assigned.groupBy("run", "center_id").agg(*aggs)
-    # old center coordinates, keyed by run * span + center_id
-    span = max(c[0] for cs in runs for c in cs) + 1
-    key = F.col("run").cast(T.LongType()) * F.lit(span) + F.col("center_id")
-
-    def lookup(idx: int) -> F.Column:
-        kv = [v for r, cs in enumerate(runs) for c in cs
-              for v in (F.lit(r * span + c[0]).cast(T.LongType()), F.lit(c[idx]).cast(T.LongType()))]
-        return F.try_element_at(F.create_map(*kv), key)
-
-    nx, ny = mean(F.col("sx"), F.col("n")), mean(F.col("sy"), F.col("n"))
-    out = g.select("run", "center_id", nx.alias("x"), ny.alias("y"), "n", "sx", "sy",
-                   *(["sxx", "syy"] if with_sse else []),
-                   lookup(1).alias("old_x"), lookup(2).alias("old_y"))
-    dx = (F.col("x") - F.col("old_x")).cast(T.DoubleType())
-    dy = (F.col("y") - F.col("old_y")).cast(T.DoubleType())
-    cols = ["run", "center_id", "x", "y", "n", F.sqrt(dx * dx + dy * dy).alias("moved")]
+        aggs += ["sum(CAST(x * x AS DECIMAL(38,0)) * w) AS sxx",
+                 "sum(CAST(y * y AS DECIMAL(38,0)) * w) AS syy"]
+    g = assigned.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
+
+    # Exact integer means on LONG: half-up = floor((2s + n) / 2n), trunc = s div n.
+    def mean(sc: str) -> str:
+        if rounding == "half_up":
+            a, b = f"(2 * {sc} + n)", "(2 * n)"
+            return f"(({a} - pmod({a}, {b})) div {b})"
+        return f"({sc} div n)"
+
+    nx, ny = mean("sx"), mean("sy")
+    cols = [*keys, f"{nx} AS x", f"{ny} AS y", "n"]
+    if with_moved:
+        span = max(c[0] for cs in runs for c in cs) + 1
+        key = f"run * CAST({span} AS BIGINT) + center_id" if multi else "center_id"
+
+        def old(idx: int) -> str:
+            kv = ", ".join(f"CAST({r * span + c[0]} AS BIGINT), CAST({c[idx]} AS BIGINT)"
+                           for r, cs in enumerate(runs) for c in cs)
+            return f"try_element_at(map({kv}), {key})"
+
+        dx, dy = f"CAST({nx} - {old(1)} AS DOUBLE)", f"CAST({ny} - {old(2)} AS DOUBLE)"
+        cols.append(f"sqrt({dx} * {dx} + {dy} * {dy}) AS moved")
     if with_sse:
-        def part(s2: str, s1: str, m: F.Column) -> F.Column:
-            m = m.cast(dec)
-            return F.col(s2) - F.col(s1).cast(dec) * m * 2 + F.col("n").cast(dec) * m * m
+        def part(s2: str, s1: str, m: str) -> str:
+            m = f"CAST({m} AS DECIMAL(38,0))"
+            return f"({s2} - CAST({s1} AS DECIMAL(38,0)) * {m} * 2 + CAST(n AS DECIMAL(38,0)) * {m} * {m})"
 
-        cols.append((part("sxx", "sx", F.col("x")) + part("syy", "sy", F.col("y")))
-                    .cast(T.DoubleType()).alias("sse"))
-    return out.select(*cols)
+        cols.append(f"CAST({part('sxx', 'sx', nx)} + {part('syy', 'sy', ny)} AS DOUBLE) AS sse")
+    return g.selectExpr(*cols)
 
 
 @dataclass
@@ -208,13 +204,21 @@ class PassStats:
         return max(self.moved.values()) if self.moved else 0.0
 
 
+def _moved(new: tuple[int, int], old: tuple[int, int]) -> float:
+    """Distance moved, with the same IEEE steps as the Spark expression
+    (LONG differences cast to DOUBLE, squared, summed, square root)."""
+    dx, dy = float(new[0] - old[0]), float(new[1] - old[1])
+    return math.sqrt(dx * dx + dy * dy)
+
+
 def _stats(rows, centers: Sequence[Center], with_sse: bool) -> PassStats:
     rows = sorted(rows, key=lambda r: r["center_id"])
+    old = {c[0]: (c[1], c[2]) for c in centers}
     return PassStats(
         centers_in=list(centers),
         centers_out=[(r["center_id"], r["x"], r["y"]) for r in rows],
         sizes={r["center_id"]: r["n"] for r in rows},
-        moved={r["center_id"]: r["moved"] for r in rows},
+        moved={r["center_id"]: _moved((r["x"], r["y"]), old[r["center_id"]]) for r in rows},
         sse=(sum(r["sse"] for r in rows) if with_sse else None))
 
 
@@ -227,10 +231,10 @@ def run_pass(wpoints: DataFrame, centers: Sequence[Center], rounding: str,
 def run_passes(wpoints: DataFrame, runs: Sequence[Sequence[Center]], rounding: str,
                with_sse: bool = False, argmin: str = "arrow") -> list[PassStats]:
     """One pass of every run in one job; brings back <= sum(K) rows."""
-    rows = multi_pass_frame(wpoints, runs, rounding, with_sse, argmin).collect()
+    rows = multi_pass_frame(wpoints, runs, rounding, with_sse, argmin, with_moved=False).collect()
     by_run: dict[int, list] = {i: [] for i in range(len(runs))}
     for r in rows:
-        by_run[r["run"]].append(r)
+        by_run[r["run"] if len(runs) > 1 else 0].append(r)
     return [_stats(by_run[i], runs[i], with_sse) for i in range(len(runs))]
 
 
