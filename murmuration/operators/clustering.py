@@ -70,7 +70,8 @@ class WeightedPoints:
         self._staged = wp.persist(StorageLevel.MEMORY_AND_DISK)
         if checkpoint:
             ensure_checkpoint_dir(points.sparkSession)
-            self._staged.count()
+            # the eager checkpoint's count fills the cache; the write then
+            # reads the cached blocks instead of recomputing the aggregate
             cp = self._staged.checkpoint(eager=True)
             self.df = cp.persist(StorageLevel.MEMORY_AND_DISK)
             self._staged.unpersist()
