@@ -141,19 +141,28 @@ def _edges(friends: DataFrame) -> DataFrame:
     return friends.select(F.col("person_id").alias("src"), F.col("friend_id").alias("dst")).distinct()
 
 
+def friend_visit_counts(friends: DataFrame, access: DataFrame) -> DataFrame:
+    """Per owner: distinct friends and how many of them the owner visited.
+
+    Distinct edges left-joined to distinct visits on (src, dst) — both sides
+    come out of their ``distinct`` hash-partitioned on (src, dst), so the join
+    adds no exchange — then one partial + final count per owner.  A hub owner
+    is spread over the (src, dst) partitions until the per-owner aggregate,
+    which ships one partial row per task.
+    """
+    hits = _visits(access).withColumn("hit", F.lit(1))
+    flagged = _edges(friends).join(hits, ["src", "dst"], "left")
+    return flagged.groupBy("src").agg(F.count(F.lit(1)).alias("n_friends"),
+                                      F.count("hit").alias("n_visited"))
+
+
 def neglectful_all(people: DataFrame, friends: DataFrame, access: DataFrame) -> DataFrame:
     """People with at least one friend who visited none of them (Q07).
 
-    owners(edges) ANTI owners(edges SEMI visits) on distinct edges and
-    distinct visits: semi / anti joins never multiply rows, the composite
-    (src, dst) key spreads a hub owner over many partitions, and AQE splits
-    what is still skewed.  Names come
-    from a left join (``Unknown`` when the owner is not in people).
+    Owners whose visited-friend count is 0 (``friend_visit_counts``); names
+    come from a left join (``Unknown`` when the owner is not in people).
     """
-    edges = _edges(friends)
-    hit = edges.join(_visits(access), ["src", "dst"], "left_semi").select("src")
-    owners = edges.select("src").distinct()
-    neglect = owners.join(hit, "src", "left_anti")
+    neglect = friend_visit_counts(friends, access).filter(F.col("n_visited") == 0).select("src")
     p = people.select(F.col("person_id").alias("src"), "name")
     return (neglect.join(p, "src", "left")
             .select(F.col("src").alias("person_id"),
@@ -163,9 +172,9 @@ def neglectful_all(people: DataFrame, friends: DataFrame, access: DataFrame) ->
 # --------------------------------------------------------------------- Q08
 def neglectful_any(people: DataFrame, friends: DataFrame, access: DataFrame) -> DataFrame:
     """People with at least one friend they never visited (Q08); only people
-    with a name, each once."""
-    unvisited = (_edges(friends).join(_visits(access), ["src", "dst"], "left_anti")
-                 .select("src").distinct())
+    with a name, each once: owners with fewer visited friends than friends."""
+    unvisited = (friend_visit_counts(friends, access)
+                 .filter(F.col("n_visited") < F.col("n_friends")).select("src"))
     p = people.select(F.col("person_id").alias("src"), "name")
     return (unvisited.join(p, "src", "inner")
             .select(F.col("src").alias("person_id"), "name").distinct())
