@@ -32,6 +32,9 @@ def q03(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q04(spark: SparkSession, sf: str) -> DataFrame:
+    # People of one hobby against the whole friend list: with every owner a
+    # known person, a full outer join would only ever use one side; here
+    # both appear (people without edges get 0, owners outside get Unknown).
     builders = b.people(spark, sf).filter(F.col("hobby") == "BUILDING")
     return social.friend_counts_outdegree(builders, b.friends(spark, sf))
 

@@ -59,6 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a shared folder (HDFS, "
+                "object store) that every executor can reach")
+        # local mode only (tests, laptops): a temp folder on this machine
         configured = tempfile.mkdtemp(prefix="murmuration-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
