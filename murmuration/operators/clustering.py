@@ -371,15 +371,20 @@ def kmeans_assign(points: DataFrame, result: KMeansResult,
 
 
 # ------------------------------------------------------------------ Q18/Q19
-def kmeans_seeds_sample(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
+def kmeans_seeds_sample(points: DataFrame, k: int, seed: int = 42,
+                        distinct: bool = True) -> DataFrame:
     """k distinct points of the data as start centers, reproducibly (Q18).
 
     Order: md5 of ``"seed:x:y"``, then x, y.  ``orderBy().limit(k)`` is a
-    TakeOrderedAndProject: every task keeps k rows, no global sort.
+    TakeOrderedAndProject: every task keeps k rows, no global sort.  The
+    sample for k is a prefix of the sample for any larger k.  Pass
+    ``distinct=False`` when the points are already distinct (weighted points).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    d = points.select("x", "y").distinct()
+    d = points.select("x", "y")
+    if distinct:
+        d = d.distinct()
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("x").cast("string"),
                           F.col("y").cast("string")))
     top = d.select("x", "y", h.alias("h")).orderBy("h", "x", "y").limit(k)
@@ -470,11 +475,20 @@ def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
     r_top = max(rs)
     out = []
     with WeightedPoints(points) as wp:
-        cur = [collect_centers(kmeans_seeds_sample(wp.df, k, seed)) for k in ks]
+        # the samples of all K are prefixes of the largest one: one job
+        top = collect_centers(kmeans_seeds_sample(wp.df, max(ks), seed, distinct=False))
+        cur = [top[:k] for k in ks]
         trajs: list[list[PassStats]] = [[] for _ in ks]
-        for _ in range(r_top):
+        for j in range(1, r_top + 1):
+            # A cell's closing pass is pass R, or the pass right after the
+            # first pass within tolerance; only those need the (DECIMAL) sums
+            # of squares, and both are known before pass j runs.
+            first_conv = [pass_no for pass_no in (
+                next((i + 1 for i, st in enumerate(t) if st.max_moved <= tolerance), None)
+                for t in trajs) if pass_no is not None]
+            need_sse = j in rs or (j - 1) in first_conv
             # all K's advance together: one scan of the points per step
-            for traj, st in zip(trajs, run_passes(wp.df, cur, rounding, True, argmin)):
+            for traj, st in zip(trajs, run_passes(wp.df, cur, rounding, need_sse, argmin)):
                 traj.append(st)
             cur = [t[-1].centers_out for t in trajs]
         for k, traj in zip(ks, trajs):
