@@ -357,17 +357,26 @@ def kmeans_assign(points: DataFrame, result: KMeansResult,
     (Q17).
 
     The assignment is the argmin against the centers the final pass started
-    from; the final position is that pass's new mean.  The centers side holds
-    at most K rows, so it is broadcast; the points are never shuffled.
+    from; the final position is that pass's new mean.  The final centers (at
+    most K rows) are brought to the driver once and looked up per point from
+    a map literal: a single narrow projection, the points are never shuffled
+    or joined.  (A join on the computed id would make the optimizer infer a
+    null filter on it and evaluate the argmin twice.)
     """
-    final = result.centers.select("center_id", F.col("x").alias("center_x"),
-                                  F.col("y").alias("center_y"))
+    final = collect_centers(result.centers)
     assigned = points.select(*keep, "x", "y",
                              assign_center(F.col("x"), F.col("y"), result.centers_in,
-                                           result.argmin)
-                             .alias("center_id"))
-    return assigned.join(F.broadcast(final), "center_id", "inner").select(
-        *keep, "x", "y", "center_id", "center_x", "center_y")
+                                           result.argmin).alias("center_id"))
+
+    def coord(idx: int) -> str:
+        kv = ", ".join(f"CAST({c[0]} AS BIGINT), CAST({c[idx]} AS BIGINT)" for c in final)
+        return f"try_element_at(map({kv}), center_id)"
+
+    # every center a point is assigned to received that point in the final
+    # pass, so the lookup always hits (no filter: it would be pushed below
+    # the projection and re-run the argmin)
+    return assigned.selectExpr(*keep, "x", "y", "center_id",
+                               f"{coord(1)} AS center_x", f"{coord(2)} AS center_y")
 
 
 # ------------------------------------------------------------------ Q18/Q19

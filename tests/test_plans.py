@@ -59,3 +59,12 @@ def test_q06_reads_only_needed_columns(spark, sf):
 def test_q12_counts_run_as_scalar_subqueries(spark, sf):
     text = plan_string(queries.q12(spark, sf), "formatted")
     assert "Subquery" in text and "CartesianProduct" not in text
+
+
+def test_q17_runs_the_argmin_once(spark, sf):
+    # no join on the computed center id: a join would infer a null filter on
+    # it, push it below the projection and evaluate the argmin twice
+    from murmuration.queries_kmeans import q17
+    text = plan_string(q17(spark, sf), "simple")
+    assert text.count("ArrowEvalPython") == 1
+    assert "Exchange" not in text and "Join" not in text
