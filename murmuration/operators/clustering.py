@@ -413,16 +413,21 @@ def kmeans_seeds_uniform(points: DataFrame, k: int, seed: int = 42,
     if k < 1:
         raise ValueError("k must be >= 1")
     spark = points.sparkSession
+    if None in (lo, hi):
+        # all four bounds from one aggregate over the points (one scalar
+        # subquery, evaluated once however often it is referenced)
+        box = points.select(F.struct(F.min("x").alias("lo_x"), F.max("x").alias("hi_x"),
+                                     F.min("y").alias("lo_y"), F.max("y").alias("hi_y"))).scalar()
 
-    def bound(val, fn, c):
-        return F.lit(int(val)) if val is not None else points.select(fn(c)).scalar()
+    def bound(val, field_name):
+        return F.lit(int(val)) if val is not None else box.getField(field_name)
 
     ids = spark.range(k).select(F.col("id").alias("center_id"))
     return ids.select(
         "center_id",
-        hash_to_range(bound(lo, F.min, "x"), bound(hi, F.max, "x"),
+        hash_to_range(bound(lo, "lo_x"), bound(hi, "hi_x"),
                       F.lit(str(seed)), F.col("center_id"), F.lit("x")).alias("x"),
-        hash_to_range(bound(lo, F.min, "y"), bound(hi, F.max, "y"),
+        hash_to_range(bound(lo, "lo_y"), bound(hi, "hi_y"),
                       F.lit(str(seed)), F.col("center_id"), F.lit("y")).alias("y"))
 
 
