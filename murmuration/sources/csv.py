@@ -22,14 +22,17 @@ _MODES = {"FAILFAST", "PERMISSIVE", "DROPMALFORMED"}
 
 def csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
               file_columns: Sequence[str] | None = None, mode: str = "FAILFAST",
-              sep: str = ",", header: bool = True) -> DataFrame:
+              sep: str = ",", header: bool = True,
+              corrupt_column: str | None = None) -> DataFrame:
     """Read a delimited text table with a fixed schema.
 
     ``file_columns`` are the names in the files' header row (defaults to the
     schema's own names).  ``mode`` is Spark's parse mode: ``FAILFAST`` stops on
     a malformed row, ``DROPMALFORMED`` skips it (the reference's short-row
-    guard), ``PERMISSIVE`` keeps it with nulls.  (As everywhere in Spark, a
-    bare ``count()`` parses no column and so sees no malformed row.)
+    guard), ``PERMISSIVE`` keeps it with nulls — and, with
+    ``corrupt_column``, the raw text of the bad line in that extra column.
+    (As everywhere in Spark, a bare ``count()`` parses no column and so sees
+    no malformed row.)
     """
     mode = mode.upper()
     if mode not in _MODES:
@@ -39,7 +42,15 @@ def csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
         raise ValueError("file_columns and schema differ in width")
     read_schema = T.StructType([T.StructField(n, f.dataType, True)
                                 for n, f in zip(names, schema.fields)])
-    df = (spark.read.schema(read_schema)
+    out_names = schema.fieldNames()
+    reader = spark.read
+    if corrupt_column:
+        if mode != "PERMISSIVE":
+            raise ValueError("corrupt_column needs mode='PERMISSIVE'")
+        read_schema = read_schema.add(T.StructField(corrupt_column, T.StringType(), True))
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+        out_names = out_names + [corrupt_column]
+    df = (reader.schema(read_schema)
           .option("header", header)
           .option("enforceSchema", not header)
           .option("sep", sep)
@@ -50,7 +61,7 @@ def csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
           .option("ignoreLeadingWhiteSpace", True)
           .option("ignoreTrailingWhiteSpace", True)
           .csv(list(path) if not isinstance(path, str) else path))
-    return df.toDF(*schema.fieldNames())
+    return df.toDF(*out_names)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", sep: str = ",",

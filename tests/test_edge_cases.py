@@ -218,3 +218,23 @@ def test_sweep_cells_and_small_sweep(spark):
     for r in rows:
         assert 1 <= r["passes"] <= r["r"] + (1 if r["convergence"] else 0)
         assert r["k_final"] <= r["k"] and r["wcss"] >= 0
+
+
+def test_csv_permissive_keeps_bad_lines(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "people")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.csv"), "w") as fh:
+        fh.write("PersonID,Name,Nationality,Country Code,Hobby\n1,a,X,1,h\nzz,b,Y,2,h\n")
+    df = csv_table(spark, d, schemas.PEOPLE_SCHEMA, schemas.PEOPLE_FILE_COLUMNS,
+                   mode="PERMISSIVE", corrupt_column="_bad")
+    rows = sorted(df.collect(), key=lambda r: str(r["name"]))
+    assert [r["_bad"] for r in rows] == [None, "zz,b,Y,2,h"]
+    assert rows[1]["person_id"] is None
+
+
+def test_tab_separated_sink(spark, tmp_dir):
+    p = people_df(spark, P3)
+    out = os.path.join(tmp_dir, "tsv")
+    write_csv(p, out, sep="\t")
+    back = csv_table(spark, out, schemas.PEOPLE_SCHEMA, sep="\t")
+    assert sorted(back.collect()) == sorted(p.collect())
