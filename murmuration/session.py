@@ -52,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     system that outlives executors).  Only when the session names none, as in
     local tests, a fresh folder under the system temp directory is used.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
