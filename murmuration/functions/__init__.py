@@ -1,20 +1,15 @@
 """Column-expression helpers: all built-in Spark functions, all codegen'd."""
 
 from murmuration.functions.exprs import (
-    floor_div,
-    half_up_mean,
     hash_to_range,
     nearest_center,
     norm_text,
     squared_distance,
-    trunc_div,
-    trunc_mean,
     typed_like,
     whole_days_between,
 )
 
 __all__ = [
-    "floor_div", "half_up_mean", "hash_to_range", "nearest_center", "norm_text",
-    "squared_distance", "trunc_div", "trunc_mean", "typed_like",
+    "hash_to_range", "nearest_center", "norm_text", "squared_distance", "typed_like",
     "whole_days_between",
 ]

@@ -22,28 +22,6 @@ def norm_text(c: Column | str) -> Column:
     return F.lower(F.trim(_col(c)))
 
 
-def trunc_div(a: Column | str, b: Column | str) -> Column:
-    """Integer division truncating toward zero (SQL ``div``), exact on LONG."""
-    return F.call_function("div", _col(a), _col(b))
-
-
-def floor_div(a: Column | str, b: Column | str) -> Column:
-    """Integer division rounding toward minus infinity, for ``b > 0``; exact."""
-    a, b = _col(a), _col(b)
-    return trunc_div(a - F.pmod(a, b), b)
-
-
-def half_up_mean(total: Column | str, n: Column | str) -> Column:
-    """``floor(total / n + 1/2)`` in exact integers (a rounded mean, n > 0)."""
-    total, n = _col(total), _col(n)
-    return floor_div(total * 2 + n, n * 2)
-
-
-def trunc_mean(total: Column | str, n: Column | str) -> Column:
-    """``total / n`` truncated toward zero (integer division of the sums)."""
-    return trunc_div(total, n)
-
-
 def squared_distance(x: Column, y: Column, cx, cy) -> Column:
     """Squared Euclidean distance as DOUBLE.
 
