@@ -60,11 +60,14 @@ class WeightedPoints:
 
     def __init__(self, points: DataFrame, dedupe: bool = True, checkpoint: bool = True,
                  x: str = "x", y: str = "y"):
+        _check_points(points, x, y)
         if dedupe:
-            wp = points.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(
+            wp = points.groupBy(F.col(x).cast(T.LongType()).alias("x"),
+                                F.col(y).cast(T.LongType()).alias("y")).agg(
                 F.count(F.lit(1)).alias("w"))
         else:
-            wp = points.select(F.col(x).alias("x"), F.col(y).alias("y"),
+            wp = points.select(F.col(x).cast(T.LongType()).alias("x"),
+                               F.col(y).cast(T.LongType()).alias("y"),
                                F.lit(1).cast(T.LongType()).alias("w"))
         wp = wp.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
         self._staged = wp.persist(StorageLevel.MEMORY_AND_DISK)
@@ -89,9 +92,25 @@ class WeightedPoints:
         self.release()
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _check_points(points: DataFrame, x: str = "x", y: str = "y") -> None:
+    """Coordinates must be integral: means are exact integer arithmetic."""
+    for c in (x, y):
+        if c not in points.columns:
+            raise ValueError(f"points need a column {c!r}")
+        if not isinstance(points.schema[c].dataType, _INTEGRAL):
+            raise TypeError(f"point column {c!r} must be integral, "
+                            f"not {points.schema[c].dataType.simpleString()}")
+
+
 def _weighted(points: DataFrame) -> DataFrame:
     """Points as (x, y, w=1) without any shuffle (single pass use)."""
-    return points.select("x", "y", F.lit(1).cast(T.LongType()).alias("w"))
+    _check_points(points)
+    return points.select(F.col("x").cast(T.LongType()).alias("x"),
+                         F.col("y").cast(T.LongType()).alias("y"),
+                         F.lit(1).cast(T.LongType()).alias("w"))
 
 
 # ------------------------------------------------------------------ one pass

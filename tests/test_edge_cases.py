@@ -238,3 +238,11 @@ def test_tab_separated_sink(spark, tmp_dir):
     write_csv(p, out, sep="\t")
     back = csv_table(spark, out, schemas.PEOPLE_SCHEMA, sep="\t")
     assert sorted(back.collect()) == sorted(p.collect())
+
+
+def test_points_must_be_integral(spark):
+    df = spark.createDataFrame([(1.5, 2.0)], "x double, y double")
+    with pytest.raises(TypeError):
+        km.kmeans_step(df, [(0, 0, 0)])
+    ints = spark.createDataFrame([(1, 2), (3, 4)], "x int, y int")
+    assert km.kmeans_step(ints, [(0, 0, 0)]).collect()[0]["n"] == 2
