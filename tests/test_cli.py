@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import glob
+
+import pytest
 import os
 
 from murmuration.cli import run
@@ -30,3 +32,17 @@ def test_cli_nationality_and_kmeans(spark, tmp_dir):
     centers = _read(os.path.join(out2, "centers"))
     assert len(centers) == 10 and all(c.endswith(",true,13") for c in centers)
     assert len(_read(os.path.join(out2, "clustered"))) == 3000
+
+
+@pytest.mark.parametrize("task,extra,rows", [
+    ("count-by-country", [], 17),
+    ("top-pages", ["--n", "10"], 10),
+    ("neglectful-all", [], 14),
+    ("disconnected", ["--as-of", "2024-06-21 00:00:00"], 19),
+    ("popular-linked", [], 5),
+])
+def test_cli_social_tasks(spark, tmp_dir, task, extra, rows):
+    fixture_path("pages.csv")
+    out = os.path.join(tmp_dir, task)
+    assert run([task, "--input", FIXTURE_DIR, "--output", out, *extra]) == 0
+    assert len(_read(out)) == rows

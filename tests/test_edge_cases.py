@@ -246,3 +246,11 @@ def test_points_must_be_integral(spark):
         km.kmeans_step(df, [(0, 0, 0)])
     ints = spark.createDataFrame([(1, 2), (3, 4)], "x int, y int")
     assert km.kmeans_step(ints, [(0, 0, 0)]).collect()[0]["n"] == 2
+
+
+def test_top_pages_repeated_owner_rows(spark):
+    p = people_df(spark, P3 + [(2, "b2", "Y", 2, "h")])  # id 2 twice
+    a = access_df(spark, [(1, 2, dt.datetime(2024, 1, 1))] * 2 + [(1, 3, dt.datetime(2024, 1, 1))])
+    assert social.top_pages(a, p, n=2).count() == 3          # keyed join keeps both rows
+    got = social.top_pages(a, p, n=2, dedupe_owners=True).collect()
+    assert sorted(r["page_id"] for r in got) == [2, 3]
