@@ -10,8 +10,9 @@ Execution model
   Arrow-batched NumPy argmin by default, see ``functions.vectorized`` for
   the measurement; ``argmin="builtin"`` uses a codegen'd ``least`` over the
   centers inlined as literals), a partial + final ``groupBy(center_id)``
-  sums, and at most K rows come back to the driver.  The centers re-enter the next pass as literals,
-  so the plan and its lineage stay the same size at every pass.
+  sums, and at most K rows come back to the driver.  The centers re-enter
+  the next pass as literals, so the plan and its lineage stay the same size
+  at every pass.
 * Means are exact integers (``half_up``: ``floor(s/n + 1/2)``, ``trunc``:
   ``s div n``); distances for the argmin are squared, which orders like the
   Euclidean distance, and the lowest center id wins ties.
@@ -320,6 +321,9 @@ def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
             frame = pass_frame(wp.df, cur, rounding, argmin=argmin)
             return KMeansResult(frame, cur, i + 1, False, history, wp, argmin)
         st = run_pass(wp.df, cur, rounding, argmin=argmin)
+        if not st.centers_out:  # no points at all: nothing to iterate on
+            return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1, False,
+                                history, wp, argmin)
         history.append(st.max_moved)
         if i == r - 1 or (check and r > 1 and st.max_moved <= tolerance):
             return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1,
@@ -353,6 +357,9 @@ def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
             return KMeansResult(pass_frame(wp.df, cur, rounding, argmin=argmin), cur, i + 1,
                                 conv, history, wp, argmin)
         st = run_pass(wp.df, cur, rounding, argmin=argmin)
+        if not st.centers_out:  # no points at all: nothing to iterate on
+            return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1, False,
+                                history, wp, argmin)
         history.append(st.max_moved)
         cur = st.centers_out
         if check and st.max_moved <= tolerance:
@@ -510,6 +517,8 @@ def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
     with WeightedPoints(points) as wp:
         # the samples of all K are prefixes of the largest one: one job
         top = collect_centers(kmeans_seeds_sample(wp.df, max(ks), seed, distinct=False))
+        if not top:
+            raise ValueError("the points are empty: nothing to cluster")
         cur = [top[:k] for k in ks]
         trajs: list[list[PassStats]] = [[] for _ in ks]
         for j in range(1, r_top + 1):
@@ -524,6 +533,8 @@ def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
             for traj, st in zip(trajs, run_passes(wp.df, cur, rounding, need_sse, argmin)):
                 traj.append(st)
             cur = [t[-1].centers_out for t in trajs]
+            if not all(cur):
+                raise ValueError("the points are empty: nothing to cluster")
         for k, traj in zip(ks, trajs):
             history = [s.max_moved for s in traj]
             for ck, r, c in cells:

@@ -254,3 +254,14 @@ def test_top_pages_repeated_owner_rows(spark):
     assert social.top_pages(a, p, n=2).count() == 3          # keyed join keeps both rows
     got = social.top_pages(a, p, n=2, dedupe_owners=True).collect()
     assert sorted(r["page_id"] for r in got) == [2, 3]
+
+
+def test_kmeans_on_no_points(spark):
+    empty = pts_df(spark, [])
+    assert km.kmeans_step(empty, [(0, 1, 1)]).count() == 0
+    for res in (km.kmeans_fixed(empty, [(0, 1, 1)], r=3, checkpoint=False),
+                km.kmeans_converged(empty, [(0, 1, 1)], r_max=3, checkpoint=False)):
+        try:
+            assert res.centers.count() == 0 and not res.converged
+        finally:
+            res.release()
