@@ -35,22 +35,26 @@ def squared_distance(x: Column, y: Column, cx, cy) -> Column:
 
 def nearest_center(x: Column | str, y: Column | str,
                    centers: Sequence[tuple[int, int, int]]) -> Column:
-    """Id of the nearest center; the lowest id wins ties.
+    """Id of the nearest center; the lowest id wins ties (built-in form).
 
     ``centers`` is a short list of ``(center_id, cx, cy)`` held by the driver
-    (K rows).  The argmin is the ``least`` of ``(d2, id)`` structs over the
-    centers unrolled as literals: one codegen'd expression per row, no join,
-    no lambda, no shuffle.
+    (K rows), unrolled as literals: the minimum squared distance (``least``)
+    and the position of its first occurrence among the distances
+    (``array_position``), ordered by center id.  One codegen'd expression per
+    row (Spark eliminates the repeated distance subexpressions), no join, no
+    lambda, no shuffle.  ``functions.vectorized`` has the Arrow-batched form,
+    faster once K grows.
     """
     if not centers:
         raise ValueError("nearest_center needs at least one center")
     x, y = _col(x), _col(y)
-    ordered = sorted(centers, key=lambda c: c[0])
-    cands = [F.struct(squared_distance(x, y, cx, cy).alias("d2"),
-                      F.lit(int(cid)).cast(T.LongType()).alias("cid"))
-             for cid, cx, cy in ordered]
-    best = cands[0] if len(cands) == 1 else F.least(*cands)
-    return best.getField("cid")
+    ordered = sorted((int(i), int(cx), int(cy)) for i, cx, cy in centers)
+    if len(ordered) == 1:
+        return F.when(x.isNotNull() & y.isNotNull(), F.lit(ordered[0][0]).cast(T.LongType()))
+    ds = [squared_distance(x, y, cx, cy) for _, cx, cy in ordered]
+    ids = F.array(*[F.lit(cid).cast(T.LongType()) for cid, _, _ in ordered])
+    pos = F.array_position(F.array(*ds), F.least(*ds)).cast(T.IntegerType())
+    return F.element_at(ids, pos)
 
 
 def hash_to_range(lo: Column | int, hi: Column | int, *parts) -> Column:
