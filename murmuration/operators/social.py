@@ -261,5 +261,10 @@ def popular_people_linked(people: DataFrame, friends: DataFrame) -> DataFrame:
     stats = deg.select(F.try_divide(F.sum("num_friends").cast(T.DoubleType()),
                                     F.count(F.lit(1)).cast(T.DoubleType())).alias("avg")).scalar()
     popular = deg.filter(F.col("num_friends") > stats).select("person_id")
-    p = people.select("person_id", "name")
-    return popular.join(p, "person_id", "inner").select("person_id", "name").distinct()
+    # Null-safe equality on a null-free people side is the same inner join,
+    # but leaves the degree aggregate free of an inferred null filter: main
+    # plan and mean subquery then share one exchange (ReusedExchange)
+    # instead of aggregating the edges twice.
+    p = people.select("person_id", "name").filter(F.col("person_id").isNotNull())
+    return (popular.join(p, popular.person_id.eqNullSafe(p.person_id), "inner")
+            .select(popular.person_id, p.name).distinct())

@@ -68,3 +68,10 @@ def test_q17_runs_the_argmin_once(spark, sf):
     text = plan_string(q17(spark, sf), "simple")
     assert text.count("ArrowEvalPython") == 1
     assert "Exchange" not in text and "Join" not in text
+
+
+def test_q13_mean_reuses_the_degree_aggregate(spark, sf):
+    df = queries.q13(spark, sf)
+    df.collect()
+    final = plan_string(df, "simple").split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
