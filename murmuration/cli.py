@@ -74,8 +74,10 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--tolerance", type=float, default=km.DEFAULT_TOLERANCE)
     p.add_argument("--rounding", choices=km.ROUNDINGS, default=None)
     p.add_argument("--seed", type=int, default=42)
-    p.add_argument("--lo", type=int, default=None)
-    p.add_argument("--hi", type=int, default=None)
+    p.add_argument("--lo", type=int, default=0, help="uniform seeds: lower bound (default 0)")
+    p.add_argument("--hi", type=int, default=5000, help="uniform seeds: upper bound (default 5000)")
+    p.add_argument("--data-range", action="store_true",
+                   help="uniform seeds: draw within the points' own range instead")
     return p
 
 
@@ -137,7 +139,8 @@ def run(argv: list[str] | None = None) -> int:
     elif t == "seeds-sample":
         write_csv(km.kmeans_seeds_sample(pts, a.k, a.seed), a.output, mode=mode)
     elif t == "seeds-uniform":
-        write_csv(km.kmeans_seeds_uniform(pts, a.k, a.seed, a.lo, a.hi), a.output, mode=mode)
+        lo, hi = (None, None) if a.data_range else (a.lo, a.hi)
+        write_csv(km.kmeans_seeds_uniform(pts, a.k, a.seed, lo, hi), a.output, mode=mode)
     elif t == "sweep":
         write_csv(km.kmeans_sweep(pts, seed=a.seed, tolerance=a.tolerance), a.output, mode=mode)
     return 0

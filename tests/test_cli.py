@@ -46,3 +46,11 @@ def test_cli_social_tasks(spark, tmp_dir, task, extra, rows):
     out = os.path.join(tmp_dir, task)
     assert run([task, "--input", FIXTURE_DIR, "--output", out, *extra]) == 0
     assert len(_read(out)) == rows
+
+
+def test_cli_uniform_seeds_default_range(spark, tmp_dir):
+    fixture_path("points.csv")
+    out = os.path.join(tmp_dir, "u")
+    assert run(["seeds-uniform", "--input", FIXTURE_DIR, "--output", out, "--k", "20"]) == 0
+    rows = [tuple(int(v) for v in line.split(",")) for line in _read(out)]
+    assert len(rows) == 20 and all(0 <= x <= 5000 and 0 <= y <= 5000 for _, x, y in rows)
