@@ -68,6 +68,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--days", type=int, default=14)
     p.add_argument("--points", default="points.csv")
     p.add_argument("--centers", default=None, help="centers file (x,y per line, no header)")
+    p.add_argument("--init", choices=("uniform", "sample"), default="uniform",
+                   help="start centers without --centers: uniform in [--lo, --hi] "
+                        "(as the reference) or k distinct points of the data")
     p.add_argument("--k", type=int, default=10)
     p.add_argument("--r", type=int, default=20)
     p.add_argument("--check", action="store_true", help="stop on convergence")
@@ -84,6 +87,9 @@ def _parser() -> argparse.ArgumentParser:
 def _start_centers(spark, a, pts):
     if a.centers:
         return read_centers(spark, a.centers)
+    if a.init == "uniform":
+        lo, hi = (None, None) if a.data_range else (a.lo, a.hi)
+        return km.collect_centers(km.kmeans_seeds_uniform(pts, a.k, a.seed, lo, hi))
     return km.collect_centers(km.kmeans_seeds_sample(pts, a.k, a.seed))
 
 

@@ -54,3 +54,11 @@ def test_cli_uniform_seeds_default_range(spark, tmp_dir):
     assert run(["seeds-uniform", "--input", FIXTURE_DIR, "--output", out, "--k", "20"]) == 0
     rows = [tuple(int(v) for v in line.split(",")) for line in _read(out)]
     assert len(rows) == 20 and all(0 <= x <= 5000 and 0 <= y <= 5000 for _, x, y in rows)
+
+
+def test_cli_kmeans_fixed_with_uniform_init(spark, tmp_dir):
+    fixture_path("points.csv")
+    out = os.path.join(tmp_dir, "kf")
+    assert run(["kmeans-fixed", "--input", FIXTURE_DIR, "--output", out, "--k", "10", "--r", "3"]) == 0
+    rows = _read(out)
+    assert 1 <= len(rows) <= 10 and all(r.endswith(",false,3") for r in rows)
