@@ -292,6 +292,15 @@ class KMeansResult:
         if self.weighted is not None:
             self.weighted.release()
 
+    def finalize(self) -> KMeansResult:
+        """Run the final pass once and keep its <= K rows, so later uses
+        (centers output, assignment lookup) do not recompute it."""
+        rows = self.centers.select("center_id", "x", "y", "n", "moved").collect()
+        spark = self.centers.sparkSession
+        self.centers = spark.createDataFrame(
+            [tuple(r) + (None,) for r in rows], PASS_SCHEMA).drop("sse")
+        return self
+
 
 def _small_frame(spark: SparkSession, stats: PassStats) -> DataFrame:
     rows = [(cid, x, y, stats.sizes[cid], stats.moved[cid], None)
@@ -556,6 +565,7 @@ def kmeans_outputs(result: KMeansResult, points: DataFrame, path: str,
     from murmuration.sources.csv import write_csv  # noqa: PLC0415
 
     centers_dir, clustered_dir = f"{path.rstrip('/')}/centers", f"{path.rstrip('/')}/clustered"
+    result.finalize()  # one run of the final pass serves both outputs
     write_csv(with_run_flags(result), centers_dir, mode=mode)
     write_csv(kmeans_assign(points, result, keep), clustered_dir, mode=mode)
     return centers_dir, clustered_dir
