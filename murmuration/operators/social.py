@@ -126,34 +126,27 @@ def access_profile(access: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- Q07
-def _visits(access: DataFrame) -> DataFrame:
-    """Distinct (visitor, page) pairs; repeat visits collapse map-side."""
-    return access.select(F.col("by_who").alias("src"), F.col("what_page").alias("dst")).distinct()
-
-
-def _edges(friends: DataFrame) -> DataFrame:
-    """Distinct directed edges (src, dst).
-
-    The semi / anti joins below only test existence, so repeated edges are
-    collapsed first (partial aggregate, map-side): a hot edge repeated a
-    billion times reaches the join as one row, not one skewed partition.
-    """
-    return friends.select(F.col("person_id").alias("src"), F.col("friend_id").alias("dst")).distinct()
-
-
 def friend_visit_counts(friends: DataFrame, access: DataFrame) -> DataFrame:
     """Per owner: distinct friends and how many of them the owner visited.
 
-    Distinct edges left-joined to distinct visits on (src, dst) — both sides
-    come out of their ``distinct`` hash-partitioned on (src, dst), so the join
-    adds no exchange — then one partial + final count per owner.  A hub owner
-    is spread over the (src, dst) partitions until the per-owner aggregate,
-    which ships one partial row per task.
+    Edges and visits are tagged and unioned, then aggregated once per
+    (src, dst) — partial aggregation collapses repeats map-side — and once
+    per owner.  Two shuffles, no join (so no sort of either side), and a hub
+    owner is spread over the (src, dst) partitions until the per-owner
+    count, which ships one partial row per task.  A pair with a null key is
+    never a visit (as in an equi-join).
     """
-    hits = _visits(access).withColumn("hit", F.lit(1))
-    flagged = _edges(friends).join(hits, ["src", "dst"], "left")
-    return flagged.groupBy("src").agg(F.count(F.lit(1)).alias("n_friends"),
-                                      F.count("hit").alias("n_visited"))
+    e = friends.select(F.col("person_id").alias("src"), F.col("friend_id").alias("dst"),
+                       F.lit(1).alias("is_edge"), F.lit(0).alias("is_visit"))
+    v = access.select(F.col("by_who").alias("src"), F.col("what_page").alias("dst"),
+                      F.lit(0).alias("is_edge"), F.lit(1).alias("is_visit"))
+    keyed = F.col("src").isNotNull() & F.col("dst").isNotNull()
+    pairs = (e.unionByName(v).groupBy("src", "dst")
+             .agg(F.max("is_edge").alias("edge"),
+                  F.max(F.when(keyed, F.col("is_visit"))).alias("visit")))
+    return (pairs.filter(F.col("edge") == 1).groupBy("src")
+            .agg(F.count(F.lit(1)).alias("n_friends"),
+                 F.count(F.when(F.col("visit") == 1, F.lit(1))).alias("n_visited")))
 
 
 def neglectful_all(people: DataFrame, friends: DataFrame, access: DataFrame) -> DataFrame:

@@ -265,3 +265,16 @@ def test_kmeans_on_no_points(spark):
             assert res.centers.count() == 0 and not res.converged
         finally:
             res.release()
+
+
+def test_null_keys_never_count_as_visits(spark):
+    p = people_df(spark, P3)
+    f = spark.createDataFrame([(0, 1, None, dt.date(2020, 1, 1), "r"),
+                               (1, None, 2, dt.date(2020, 1, 1), "r")], schemas.FRIENDS_SCHEMA)
+    a = spark.createDataFrame([(0, 1, None, "view", dt.datetime(2024, 1, 1)),
+                               (1, None, 2, "view", dt.datetime(2024, 1, 1))], schemas.ACCESS_SCHEMA)
+    got = {(r["src"], r["n_friends"], r["n_visited"])
+           for r in social.friend_visit_counts(f, a).collect()}
+    assert got == {(1, 1, 0), (None, 1, 0)}
+    q7 = {(r["person_id"], r["name"]) for r in social.neglectful_all(p, f, a).collect()}
+    assert q7 == {(1, "a"), (None, "Unknown")}
