@@ -69,3 +69,17 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0 and "page_id" in df.columns
+
+
+_DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string",
+                  "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, con, name):
+    sf = sf_dir("0.001")
+    sdf = entry.queries()[name](spark, sf)
+    got = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    rel = con.sql(entry.oracle_sql()[name])
+    exp = {c: _DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert got == exp
