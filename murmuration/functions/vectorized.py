@@ -36,20 +36,24 @@ def nearest_center_arrow(x: Column, y: Column,
     cxs = np.array([c[1] for c in ordered], dtype=np.int64)
     cys = np.array([c[2] for c in ordered], dtype=np.int64)
 
-    @F.pandas_udf(T.LongType())
-    def _nearest(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        mask = xs.isna().to_numpy() | ys.isna().to_numpy()
-        xv = xs.fillna(0).to_numpy(dtype=np.int64)
-        yv = ys.fillna(0).to_numpy(dtype=np.int64)
+    step = max(1, 1_000_000 // len(ids))  # bound the N×K block in memory
+
+    def argmin(xv: np.ndarray, yv: np.ndarray) -> np.ndarray:
         out = np.empty(len(xv), dtype=np.int64)
-        step = max(1, 1_000_000 // len(ids))  # bound the N×K block in memory
         for s in range(0, len(xv), step):
             dx = (xv[s:s + step, None] - cxs[None, :]).astype(np.float64)
             dy = (yv[s:s + step, None] - cys[None, :]).astype(np.float64)
             out[s:s + step] = ids[np.argmin(dx * dx + dy * dy, axis=1)]
-        res = pd.Series(out, dtype="Int64")
-        if mask.any():
-            res[mask] = pd.NA
+        return out
+
+    @F.pandas_udf(T.LongType())
+    def _nearest(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        if not (xs.hasnans or ys.hasnans):  # the common case: plain int64
+            return pd.Series(argmin(xs.to_numpy(dtype=np.int64), ys.to_numpy(dtype=np.int64)))
+        mask = xs.isna().to_numpy() | ys.isna().to_numpy()
+        res = pd.Series(argmin(xs.fillna(0).to_numpy(dtype=np.int64),
+                               ys.fillna(0).to_numpy(dtype=np.int64)), dtype="Int64")
+        res[mask] = pd.NA
         return res
 
     return _nearest(x, y)

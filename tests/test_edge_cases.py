@@ -278,3 +278,10 @@ def test_null_keys_never_count_as_visits(spark):
     assert got == {(1, 1, 0), (None, 1, 0)}
     q7 = {(r["person_id"], r["name"]) for r in social.neglectful_all(p, f, a).collect()}
     assert q7 == {(1, "a"), (None, "Unknown")}
+
+
+def test_arrow_argmin_with_null_coordinates(spark):
+    df = spark.createDataFrame([(0, 0), (None, 5), (9, 9)], "x long, y long")
+    got = [r["c"] for r in df.select(km.assign_center(F.col("x"), F.col("y"),
+                                                      [(0, 0, 0), (1, 10, 10)]).alias("c")).collect()]
+    assert got == [0, None, 1]
