@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmuration.functions import hash_to_range, nearest_center
-from murmuration.functions.vectorized import nearest_center_arrow
+from murmuration.functions.vectorized import nearest_center_arrow, nearest_centers_arrow
 from murmuration.session import ensure_checkpoint_dir
 
 Center = tuple[int, int, int]  # (center_id, x, y)
@@ -172,10 +172,18 @@ def multi_pass_frame(wpoints: DataFrame, runs: Sequence[Sequence[Center]],
                                   assign_center(x, y, runs[0], argmin).alias("center_id"))
         keys = ["center_id"]
     else:
-        ids = [assign_center(x, y, cs, argmin).alias(f"_c{i}") for i, cs in enumerate(runs)]
+        if argmin == "arrow":
+            # one Python call per batch for all runs (weighted points have
+            # no null coordinates)
+            both = nearest_centers_arrow(x, y, runs).alias("_ids")
+            ids = [F.col("_ids").getField(f"_c{i}").alias(f"_c{i}") for i in range(len(runs))]
+            staged = wpoints.select("x", "y", "w", both).select("x", "y", "w", *ids)
+        else:
+            ids = [assign_center(x, y, cs, argmin).alias(f"_c{i}") for i, cs in enumerate(runs)]
+            staged = wpoints.select("x", "y", "w", *ids)
         pairs = F.array(*[F.struct(F.lit(i).alias("run"), F.col(f"_c{i}").alias("center_id"))
                           for i in range(len(runs))])
-        assigned = wpoints.select("x", "y", "w", *ids).select("x", "y", "w", F.inline(pairs))
+        assigned = staged.select("x", "y", "w", F.inline(pairs))
         keys = ["run", "center_id"]
     aggs = ["sum(x * w) AS sx", "sum(y * w) AS sy", "sum(w) AS n"]
     if with_sse:
