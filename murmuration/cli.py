@@ -61,6 +61,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--overwrite", action="store_true", help="replace an existing output")
     p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     p.add_argument("--mode", default="FAILFAST", help="CSV parse mode: FAILFAST|DROPMALFORMED|PERMISSIVE")
+    p.add_argument("--explain", action="store_true",
+                   help="print the formatted physical plan instead of writing (lazy tasks)")
     p.add_argument("--nationality", default="France")
     p.add_argument("--case-sensitive", action="store_true")
     p.add_argument("--n", type=int, default=10)
@@ -93,6 +95,14 @@ def _start_centers(spark, a, pts):
     return km.collect_centers(km.kmeans_seeds_sample(pts, a.k, a.seed))
 
 
+def _emit(df, a, mode: str) -> int:
+    if a.explain:
+        df.explain("formatted")
+    else:
+        write_csv(df, a.output, mode=mode)
+    return 0
+
+
 def run(argv: list[str] | None = None) -> int:
     a = _parser().parse_args(argv)
     spark = build_session(a.master, app_name=f"murmuration-{a.task}")
@@ -122,12 +132,11 @@ def run(argv: list[str] | None = None) -> int:
             "popular": lambda: social.popular_people(people, friends),
             "popular-linked": lambda: social.popular_people_linked(people, friends),
         }[t]()
-        write_csv(out, a.output, mode=mode)
-        return 0
+        return _emit(out, a, mode)
     pts = read_points(spark, path(a.points), a.mode)
     if t == "kmeans-step":
-        write_csv(km.kmeans_step(pts, _start_centers(spark, a, pts), a.rounding or "half_up"),
-                  a.output, mode=mode)
+        return _emit(km.kmeans_step(pts, _start_centers(spark, a, pts), a.rounding or "half_up"),
+                     a, mode)
     elif t == "kmeans-fixed":
         res = km.kmeans_fixed(pts, _start_centers(spark, a, pts), a.r, a.rounding or "trunc",
                               a.check, a.tolerance)
@@ -143,10 +152,10 @@ def run(argv: list[str] | None = None) -> int:
         finally:
             res.release()
     elif t == "seeds-sample":
-        write_csv(km.kmeans_seeds_sample(pts, a.k, a.seed), a.output, mode=mode)
+        return _emit(km.kmeans_seeds_sample(pts, a.k, a.seed), a, mode)
     elif t == "seeds-uniform":
         lo, hi = (None, None) if a.data_range else (a.lo, a.hi)
-        write_csv(km.kmeans_seeds_uniform(pts, a.k, a.seed, lo, hi), a.output, mode=mode)
+        return _emit(km.kmeans_seeds_uniform(pts, a.k, a.seed, lo, hi), a, mode)
     elif t == "sweep":
         write_csv(km.kmeans_sweep(pts, seed=a.seed, tolerance=a.tolerance), a.output, mode=mode)
     return 0

@@ -62,3 +62,10 @@ def test_cli_kmeans_fixed_with_uniform_init(spark, tmp_dir):
     assert run(["kmeans-fixed", "--input", FIXTURE_DIR, "--output", out, "--k", "10", "--r", "3"]) == 0
     rows = _read(out)
     assert 1 <= len(rows) <= 10 and all(r.endswith(",false,3") for r in rows)
+
+
+def test_cli_explain_writes_nothing(spark, tmp_dir, capsys):
+    fixture_path("pages.csv")
+    out = os.path.join(tmp_dir, "never")
+    assert run(["top-pages", "--input", FIXTURE_DIR, "--output", out, "--explain"]) == 0
+    assert not os.path.exists(out)
