@@ -75,3 +75,9 @@ def test_q13_mean_reuses_the_degree_aggregate(spark, sf):
     df.collect()
     final = plan_string(df, "simple").split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
+
+
+def test_operator_names(spark, sf):
+    from murmuration.plans import operator_names
+    names = operator_names(queries.q02(spark, sf))
+    assert "TakeOrderedAndProject" in names and "BroadcastHashJoin" in names
