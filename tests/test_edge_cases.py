@@ -285,3 +285,17 @@ def test_arrow_argmin_with_null_coordinates(spark):
     got = [r["c"] for r in df.select(km.assign_center(F.col("x"), F.col("y"),
                                                       [(0, 0, 0), (1, 10, 10)]).alias("c")).collect()]
     assert got == [0, None, 1]
+
+
+def test_one_row_tables(spark):
+    p = people_df(spark, [(1, "a", "X", 1, "h")])
+    f = friends_df(spark, [(1, 1)])
+    a = access_df(spark, [(1, 1, dt.datetime(2024, 1, 1))])
+    assert [tuple(r) for r in social.count_by_country(p).collect()] == [("X", 1)]
+    assert [(r["page_id"], r["page_rank"]) for r in social.top_pages(a, p).collect()] == [(1, 1)]
+    assert social.neglectful_all(p, f, a).count() == 0      # visited their only friend
+    assert social.neglectful_any(p, f, a).count() == 0
+    assert social.popular_people(p, f).count() == 0         # 1 edge / 1 person: not above
+    assert social.popular_people_linked(p, f).count() == 0
+    assert social.disconnected(p, a, "2024-01-10 00:00:00").count() == 0
+    assert social.disconnected(p, a, "2024-01-16 00:00:00").count() == 1
