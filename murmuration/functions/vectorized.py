@@ -21,6 +21,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+EXACT_BOUND = 1 << 24  # |coordinate| below this: the expanded form is exact
+
+
+def _argmin(xv: np.ndarray, yv: np.ndarray, ids: np.ndarray, cxs: np.ndarray,
+            cys: np.ndarray, step: int) -> np.ndarray:
+    """Id of the nearest center per point, the first (lowest id) on ties.
+
+    |p - c|² = |p|² + (|c|² - 2 p·c) and |p|² is the same for every center,
+    so the argmin only needs |c|² - 2 p·c: one matrix product per block.
+    With integer coordinates below 2^24 every intermediate is an integer
+    below 2^53, exact in float64, so the result (ties included) equals the
+    direct (dx² + dy²) form; beyond that bound the direct form is used.
+    """
+    out = np.empty(len(xv), dtype=np.int64)
+    if len(xv) == 0:
+        return out
+    lim = max(int(np.abs(xv).max()), int(np.abs(yv).max()),
+              int(np.abs(cxs).max()), int(np.abs(cys).max()))
+    if lim < EXACT_BOUND:
+        c = np.stack([cxs, cys]).astype(np.float64)            # 2 × K
+        c2 = (c * c).sum(axis=0)                                # K
+        for s in range(0, len(xv), step):
+            p = np.stack([xv[s:s + step], yv[s:s + step]], axis=1).astype(np.float64)
+            out[s:s + step] = ids[np.argmin(c2 - 2.0 * (p @ c), axis=1)]
+        return out
+    for s in range(0, len(xv), step):
+        dx = (xv[s:s + step, None] - cxs[None, :]).astype(np.float64)
+        dy = (yv[s:s + step, None] - cys[None, :]).astype(np.float64)
+        out[s:s + step] = ids[np.argmin(dx * dx + dy * dy, axis=1)]
+    return out
+
+
 def nearest_center_arrow(x: Column, y: Column,
                          centers: Sequence[tuple[int, int, int]]) -> Column:
     """Id of the nearest center (lowest id on ties), evaluated per Arrow batch.
@@ -39,12 +71,7 @@ def nearest_center_arrow(x: Column, y: Column,
     step = max(1, 1_000_000 // len(ids))  # bound the N×K block in memory
 
     def argmin(xv: np.ndarray, yv: np.ndarray) -> np.ndarray:
-        out = np.empty(len(xv), dtype=np.int64)
-        for s in range(0, len(xv), step):
-            dx = (xv[s:s + step, None] - cxs[None, :]).astype(np.float64)
-            dy = (yv[s:s + step, None] - cys[None, :]).astype(np.float64)
-            out[s:s + step] = ids[np.argmin(dx * dx + dy * dy, axis=1)]
-        return out
+        return _argmin(xv, yv, ids, cxs, cys, step)
 
     @F.pandas_udf(T.LongType())
     def _nearest(xs: pd.Series, ys: pd.Series) -> pd.Series:
@@ -76,13 +103,7 @@ def nearest_centers_arrow(x: Column, y: Column,
     schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
 
     def argmin(xv, yv, ids, cxs, cys):
-        out = np.empty(len(xv), dtype=np.int64)
-        step = max(1, 1_000_000 // len(ids))
-        for s in range(0, len(xv), step):
-            dx = (xv[s:s + step, None] - cxs[None, :]).astype(np.float64)
-            dy = (yv[s:s + step, None] - cys[None, :]).astype(np.float64)
-            out[s:s + step] = ids[np.argmin(dx * dx + dy * dy, axis=1)]
-        return out
+        return _argmin(xv, yv, ids, cxs, cys, max(1, 1_000_000 // len(ids)))
 
     @F.pandas_udf(schema)
     def _nearest_all(xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
