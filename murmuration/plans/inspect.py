@@ -43,3 +43,56 @@ def scan_details(df: DataFrame) -> list[dict[str, str]]:
                 info[key] = m.group(1)
         out.append(info)
     return out
+
+
+def _content_col(line: str) -> int:
+    m = re.search(r"[A-Za-z*(=]", line)
+    return m.start() if m else len(line)
+
+
+def _drop_initial_plans(text: str) -> str:
+    """Keep only the adaptive final plans: drop every ``== Initial Plan ==``
+    subtree (the main query's and each subquery's)."""
+    out, skip_above = [], None
+    for line in text.splitlines():
+        col = _content_col(line)
+        if skip_above is not None:
+            # the subtree's lines start at the marker's column or deeper
+            if col >= skip_above:
+                continue
+            skip_above = None
+        if "== Initial Plan ==" in line:
+            skip_above = col
+            continue
+        out.append(line)
+    return "\n".join(out)
+
+
+def plan_summary(df: DataFrame, execute: bool = False) -> dict[str, int]:
+    """Counts of the physical plan's costly parts: shuffles (distinct
+    exchanges), broadcasts, sort-merge / broadcast hash joins, file scans
+    and Python evaluation nodes.
+
+    With ``execute`` the query runs first and the adaptive
+    *final* plan is read, where exchange and subquery reuse have been
+    applied; otherwise the initial plan is read.
+    """
+    before = plan_string(df, "simple")  # scans are fixed before execution
+    scans = set(re.findall(r"FileScan \w+ \[([^\]]*)\][^\n]*Location: [^\[]*\[([^\]]*)\]",
+                           before))
+    if execute:
+        # run this DataFrame's own execution (a write would plan anew); only
+        # a row count comes back to the driver
+        df._jdf.queryExecution().toRdd().count()
+    text = _drop_initial_plans(plan_string(df, "simple"))
+    exchanges = set(re.findall(
+        r"Exchange (?:hashpartitioning|SinglePartition|rangepartitioning|RoundRobinPartitioning)"
+        r"[^\n]*plan_id=(\d+)", text))
+    return {
+        "shuffles": len(exchanges),
+        "broadcasts": len(set(re.findall(r"BroadcastExchange [^\n]*plan_id=(\d+)", text))),
+        "sort_merge_joins": text.count("SortMergeJoin"),
+        "broadcast_hash_joins": text.count("BroadcastHashJoin"),
+        "scans": len(scans),
+        "python_nodes": len(python_nodes(df)),
+    }

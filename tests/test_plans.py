@@ -81,3 +81,11 @@ def test_operator_names(spark, sf):
     from murmuration.plans import operator_names
     names = operator_names(queries.q02(spark, sf))
     assert "TakeOrderedAndProject" in names and "BroadcastHashJoin" in names
+
+
+def test_plan_summary_reads_the_final_plan(spark, sf):
+    from murmuration.plans import plan_summary
+    from murmuration.queries_kmeans import q19
+    assert plan_summary(q19(spark, sf), execute=True)["shuffles"] == 1   # one reused subquery
+    s13 = plan_summary(queries.q13(spark, sf), execute=True)
+    assert s13["shuffles"] == 3 and s13["python_nodes"] == 0
