@@ -98,8 +98,8 @@ def read_points(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
 
 
 def read_centers(spark: SparkSession, path: str, max_centers: int = 10_000) -> list[tuple[int, int, int]]:
-    """Centers file without header, one ``x,y`` per line (optionally followed by
-    `` Old:x0,y0`` as written after a pass).  Returns ``[(center_id, x, y)]``
+    """Centers file, one ``x,y`` per line (optionally followed by `` Old:x0,y0``
+    as written after a pass); a header or other non-numeric line is skipped.  Returns ``[(center_id, x, y)]``
     with ids in line order.
 
     The list is brought to the driver because centers are its working set
@@ -110,8 +110,10 @@ def read_centers(spark: SparkSession, path: str, max_centers: int = 10_000) -> l
         F.trim(F.split(F.col("value"), "Old:").getItem(0)).alias("head"))
     coords = (lines.filter(F.col("head") != "")
               .select("pos",
-                      F.trim(F.split("head", ",").getItem(0)).cast("double").alias("x"),
-                      F.trim(F.split("head", ",").getItem(1)).cast("double").alias("y")))
+                      F.trim(F.split("head", ",").getItem(0)).try_cast("double").alias("x"),
+                      F.trim(F.split("head", ",").getItem(1)).try_cast("double").alias("y")))
+    # a header line ("x,y") or any other non-numeric line is not a center
+    coords = coords.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     rows = coords.orderBy("pos").limit(max_centers + 1).collect()
     if len(rows) > max_centers:
         raise ValueError(f"more than {max_centers} centers in {path}")

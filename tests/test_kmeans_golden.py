@@ -94,3 +94,8 @@ def test_q15_with_check_stops_without_closing_pass(pts, centers):
         assert max(r["moved"] for r in res.centers.collect()) == pytest.approx(38.60, abs=0.01)
     finally:
         res.release()
+
+
+def test_seeds_file_with_header(spark):
+    seeds = read_centers(spark, fixture_path("k_seeds.csv"))
+    assert len(seeds) == 100 and seeds[0] == (0, 7469, 950)
