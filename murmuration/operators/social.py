@@ -65,9 +65,12 @@ def top_pages(access: DataFrame, owners: DataFrame, n: int = 10,
         .cast(T.LongType()))
     own = owners.select(F.col(owner_key).alias("page_id"), *owner_cols)
     if dedupe_owners:
-        # one owner row per page when the owner table may repeat an id
-        # (costs a shuffle of the owner table; off for keyed tables)
-        own = own.dropDuplicates(["page_id"])
+        # one owner row per page when the owner table may repeat an id: the
+        # smallest (by the detail columns, in order) — deterministic, and a
+        # partial aggregate (costs a shuffle of the owner table; off for
+        # keyed tables)
+        own = (own.groupBy("page_id").agg(F.min(F.struct(*owner_cols)).alias("_o"))
+               .select("page_id", *[F.col("_o").getField(c).alias(c) for c in owner_cols]))
     return (own.join(F.broadcast(ranked), "page_id", "inner")
             .select("page_id", *owner_cols, "access_count", "page_rank"))
 

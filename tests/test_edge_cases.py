@@ -253,7 +253,7 @@ def test_top_pages_repeated_owner_rows(spark):
     a = access_df(spark, [(1, 2, dt.datetime(2024, 1, 1))] * 2 + [(1, 3, dt.datetime(2024, 1, 1))])
     assert social.top_pages(a, p, n=2).count() == 3          # keyed join keeps both rows
     got = social.top_pages(a, p, n=2, dedupe_owners=True).collect()
-    assert sorted(r["page_id"] for r in got) == [2, 3]
+    assert sorted((r["page_id"], r["name"]) for r in got) == [(2, "b"), (3, "c")]
 
 
 def test_kmeans_on_no_points(spark):
