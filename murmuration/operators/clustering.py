@@ -41,6 +41,7 @@ ROUNDINGS = ("half_up", "trunc")
 DEFAULT_TOLERANCE = 50.0
 MAX_CENTERS = 100_000  # centers travel with the plan; keep K bounded
 ARGMIN_METHODS = ("arrow", "builtin")
+ROWS_PER_TASK = 50_000  # weighted points per partition (and per pass task)
 
 PASS_SCHEMA = T.StructType([
     T.StructField("center_id", T.LongType()),
@@ -72,15 +73,25 @@ class WeightedPoints:
                                F.lit(1).cast(T.LongType()).alias("w"))
         wp = wp.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
         self._staged = wp.persist(StorageLevel.MEMORY_AND_DISK)
+        # A cached (or checkpointed) plan keeps the aggregate's shuffle
+        # partitioning — AQE does not coalesce it — so size the partitions to
+        # the data here: ~ROWS_PER_TASK rows each (a narrow coalesce, no
+        # shuffle).  Every pass runs one task per partition, so 200 tiny
+        # partitions would cost ~10× per pass (measured at sf0.1).
+        self.rows = self._staged.count()
+        current = self._staged.rdd.getNumPartitions()
+        self.partitions = min(current, max(1, math.ceil(self.rows / ROWS_PER_TASK)))
+        shaped = self._staged.coalesce(self.partitions) if self.partitions < current \
+            else self._staged
         if checkpoint:
             ensure_checkpoint_dir(points.sparkSession)
-            # the eager checkpoint's count fills the cache; the write then
-            # reads the cached blocks instead of recomputing the aggregate
-            cp = self._staged.checkpoint(eager=True)
+            # the write reads the cached blocks instead of recomputing the
+            # aggregate
+            cp = shaped.checkpoint(eager=True)
             self.df = cp.persist(StorageLevel.MEMORY_AND_DISK)
             self._staged.unpersist()
         else:
-            self.df = self._staged
+            self.df = shaped
 
     def release(self) -> None:
         self.df.unpersist()

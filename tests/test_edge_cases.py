@@ -299,3 +299,15 @@ def test_one_row_tables(spark):
     assert social.popular_people_linked(p, f).count() == 0
     assert social.disconnected(p, a, "2024-01-10 00:00:00").count() == 0
     assert social.disconnected(p, a, "2024-01-16 00:00:00").count() == 1
+
+
+def test_weighted_points_partitions_follow_the_data(spark):
+    # many shuffle partitions, few points: the cached points are coalesced
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        pts = pts_df(spark, [(i, i) for i in range(1000)])
+        with km.WeightedPoints(pts, checkpoint=False) as wp:
+            assert wp.rows == 1000 and wp.partitions == 1
+            assert wp.df.rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
