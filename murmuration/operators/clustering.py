@@ -330,32 +330,36 @@ def _small_frame(spark: SparkSession, stats: PassStats) -> DataFrame:
 def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
                  rounding: str = "trunc", check: bool = False,
                  tolerance: float = DEFAULT_TOLERANCE, dedupe: bool = True,
-                 checkpoint: bool = True, argmin: str = "arrow") -> KMeansResult:
+                 checkpoint: bool = True, argmin: str = "arrow",
+                 weighted: WeightedPoints | None = None) -> KMeansResult:
     """R passes, optionally stopping early (Q15).
 
     With ``check`` the run stops after the first pass in which every center
     moved at most ``tolerance`` (never when ``r == 1``), without a closing
     pass, and ``converged`` reports whether the last pass run was within the
     tolerance.  The returned centers are those of the last pass run.
+    ``weighted`` reuses points prepared once for several runs (the caller
+    keeps ownership: releasing the result leaves them cached).
     """
     if r < 1:
         raise ValueError("r must be >= 1")
-    wp = WeightedPoints(points, dedupe=dedupe, checkpoint=checkpoint)
+    wp = weighted or WeightedPoints(points, dedupe=dedupe, checkpoint=checkpoint)
+    owned = wp if weighted is None else None
     cur = _check_centers(centers)
     history: list[float] = []
     for i in range(r):
         if i == r - 1 and not (check and r > 1):
             # nothing to decide after the last pass: return it lazily
             frame = pass_frame(wp.df, cur, rounding, argmin=argmin)
-            return KMeansResult(frame, cur, i + 1, False, history, wp, argmin)
+            return KMeansResult(frame, cur, i + 1, False, history, owned, argmin)
         st = run_pass(wp.df, cur, rounding, argmin=argmin)
         if not st.centers_out:  # no points at all: nothing to iterate on
             return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1, False,
-                                history, wp, argmin)
+                                history, owned, argmin)
         history.append(st.max_moved)
         if i == r - 1 or (check and r > 1 and st.max_moved <= tolerance):
             return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1,
-                                st.max_moved <= tolerance, history, wp, argmin)
+                                st.max_moved <= tolerance, history, owned, argmin)
         cur = st.centers_out
     raise AssertionError("unreachable")
 
@@ -363,7 +367,8 @@ def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
 def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
                      tolerance: float = DEFAULT_TOLERANCE, check: bool = True,
                      rounding: str = "half_up", dedupe: bool = True,
-                     checkpoint: bool = True, argmin: str = "arrow") -> KMeansResult:
+                     checkpoint: bool = True, argmin: str = "arrow",
+                     weighted: WeightedPoints | None = None) -> KMeansResult:
     """Passes until every center moved at most ``tolerance``, then one closing
     pass (Q16).
 
@@ -376,23 +381,24 @@ def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
     """
     if r_max < 1:
         raise ValueError("r_max must be >= 1")
-    wp = WeightedPoints(points, dedupe=dedupe, checkpoint=checkpoint)
+    wp = weighted or WeightedPoints(points, dedupe=dedupe, checkpoint=checkpoint)
+    owned = wp if weighted is None else None
     cur = _check_centers(centers)
     history: list[float] = []
     for i in range(r_max):
         if i == r_max - 1:
             conv = bool(history) and history[-1] <= tolerance
             return KMeansResult(pass_frame(wp.df, cur, rounding, argmin=argmin), cur, i + 1,
-                                conv, history, wp, argmin)
+                                conv, history, owned, argmin)
         st = run_pass(wp.df, cur, rounding, argmin=argmin)
         if not st.centers_out:  # no points at all: nothing to iterate on
             return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1, False,
-                                history, wp, argmin)
+                                history, owned, argmin)
         history.append(st.max_moved)
         cur = st.centers_out
         if check and st.max_moved <= tolerance:
             return KMeansResult(pass_frame(wp.df, cur, rounding, argmin=argmin), cur, i + 2,
-                                True, history, wp, argmin)
+                                True, history, owned, argmin)
     raise AssertionError("unreachable")
 
 

@@ -99,3 +99,13 @@ def test_q15_with_check_stops_without_closing_pass(pts, centers):
 def test_seeds_file_with_header(spark):
     seeds = read_centers(spark, fixture_path("k_seeds.csv"))
     assert len(seeds) == 100 and seeds[0] == (0, 7469, 950)
+
+
+def test_runs_share_prepared_points(pts, centers):
+    with km.WeightedPoints(pts) as wp:
+        a = km.kmeans_fixed(pts, centers, r=6, rounding="trunc", weighted=wp)
+        b = km.kmeans_converged(pts, centers, r_max=20, weighted=wp)
+        a.release(); b.release()          # the shared points stay cached
+        assert wp.df.is_cached
+        assert xyn(a.centers)[0] == (4239, 4021, 362)
+        assert b.passes == 13 and xyn(b.centers)[0] == (4318, 4126, 298)
