@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -534,7 +535,8 @@ def _closing_index(history: list[float], r: int, check: bool, tol: float) -> tup
 def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
                  rs: Iterable[int] = SWEEP_RS, convergence: Iterable[bool] = (False, True),
                  seed: int = 42, tolerance: float = DEFAULT_TOLERANCE,
-                 rounding: str = "half_up", argmin: str = "arrow") -> DataFrame:
+                 rounding: str = "half_up", argmin: str = "arrow",
+                 weighted: WeightedPoints | None = None) -> DataFrame:
     """The parameter sweep (Q20): one row per (K, R, convergence) of the grid.
 
     Start centers per K: ``kmeans_seeds_sample(points, K, seed)``.  Every run
@@ -548,7 +550,7 @@ def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
     cells = sweep_cells(ks, rs, convergence)
     r_top = max(rs)
     out = []
-    with WeightedPoints(points) as wp:
+    with (nullcontext(weighted) if weighted is not None else WeightedPoints(points)) as wp:
         # the samples of all K are prefixes of the largest one: one job
         top = collect_centers(kmeans_seeds_sample(wp.df, max(ks), seed, distinct=False))
         if not top:

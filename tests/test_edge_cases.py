@@ -311,3 +311,12 @@ def test_weighted_points_partitions_follow_the_data(spark):
             assert wp.df.rdd.getNumPartitions() == 1
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_sweep_on_shared_points(spark):
+    pts = pts_df(spark, [(i % 37, (i * 7) % 41) for i in range(400)])
+    own = km.kmeans_sweep(pts, ks=(3,), rs=(1, 3), tolerance=0.5).collect()
+    with km.WeightedPoints(pts) as wp:
+        shared = km.kmeans_sweep(pts, ks=(3,), rs=(1, 3), tolerance=0.5, weighted=wp).collect()
+        assert wp.df.is_cached
+    assert sorted(own) == sorted(shared)
