@@ -6,7 +6,6 @@ they are given.  ``build_session`` is for tests, the bench and scripts.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -80,10 +79,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/murmuration-{name}-{uuid.uuid4().hex}"
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # pragma: no cover - connect sessions
-        return int(os.cpu_count() or 8)
