@@ -18,6 +18,7 @@ whole; repeated rows are predicted alike; an empty table gives an empty result;
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -220,9 +221,21 @@ def train(documents: DataFrame, sample: int = SAMPLE) -> Network | None:
     for lang, n in sorted(sizes.items()):
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    rows = usable.filter(draw < share).select("doc_id", "lang", "text").collect()
-    rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in b.to_pylist()]
+        rows.sort(key=lambda r: (r["lang"], r["text"]))
+        if rows:
+            net = fit([r["text"] for r in rows], [r["lang"] for r in rows])
+            plain = pickle.dumps((net.langs, parameters(net)))
+            yield pa.RecordBatch.from_arrays([pa.array([plain], pa.binary())], names=["net"])
+
+    # the sample is bounded, so one task learns from it; the network is a few KB
+    chosen = usable.filter(draw < share).select("lang", "text")
+    learned = chosen.repartition(1).mapInArrow(learn, "net binary").first()
+    if learned is None:
+        return None
+    langs, (out, bias, *layers) = pickle.loads(learned["net"])
+    return Network(langs, Layer(*layers[:2]), Layer(*layers[2:]), out, bias)
 
 
 # --- prediction ----------------------------------------------------------------------

@@ -7,8 +7,8 @@ priced by a knapsack dynamic program.  Whole parts of the solution are used as
 they are, the remainder is packed best-fit; pieces are then ranked inside their
 length bin and take the places that the patterns hold for that bin.
 
-Only the histogram and the patterns (both bounded by the bins) pass through the
-driver.  Defined results: a null or empty text is one piece, the closing id
+The histogram and the patterns, both bounded by the bins, are handled in one
+task; nothing else meets in one place.  Defined results: a null or empty text is one piece, the closing id
 alone; a document longer than WINDOW is cut into full pieces and a rest;
 repeated rows are packed each; an empty table gives an empty result; other
 columns of the input are not read.
@@ -204,16 +204,27 @@ def places(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, i
     return out
 
 
+def assigned(histogram: DataFrame, room: int) -> DataFrame:
+    """``places`` of the patterns for a histogram (bin, n), which has at most
+    ``room`` rows and is solved in one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {r["bin"]: r["n"] for b in batches for r in b.to_pylist()}
+        columns = list(zip(*places(plan(counts, room)))) or [[]] * 5
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)],
+                                         names=["bin", "lo", "hi", "each", "base"])
+
+    return histogram.coalesce(1).mapInArrow(run, "bin int, lo long, hi long, each long, base long")
+
+
 def pack(spark: SparkSession, documents: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
          window: int = WINDOW, unit: int = UNIT) -> DataFrame:
     """Every piece with its sequence and its offset there."""
     if window % unit:
         raise ValueError("the window must be whole units")
     cut = stored(spark, pieces(documents, ranks, pattern, window, unit), "pieces")
-    histogram = {r["bin"]: r["n"] for r in cut.groupBy("bin").agg(
-        F.count(F.lit(1)).alias("n")).collect()}  # at most window / unit rows
-    held = spark.createDataFrame(places(plan(histogram, window // unit)),
-                                 "bin int, lo long, hi long, each long, base long")
+    histogram = cut.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    held = stored(spark, assigned(histogram, window // unit), "places")
     key = F.xxhash64("doc_id", "start")
     ranked = spread_rank(cut, ["bin"], [key, "doc_id", "start", "ids_crc32"], key, BUCKETS, "rank")
     r, h = ranked.alias("r"), F.broadcast(held).alias("h")

@@ -117,7 +117,7 @@ def _op10_sql() -> str:
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, {_WORDS} AS ws,
              list_filter(string_split(t, chr(10)),
-                         x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+                         lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
 v AS (SELECT doc_id, i, array_to_string(ws[i:i+4], ' ') AS g
       FROM w, unnest(range(1, len(ws) - 3)) u(i) WHERE len(ws) > 4),
 o AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM v),
@@ -129,7 +129,7 @@ m AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word
              length(t) - length(translate(t, '!', '')) AS n_exclaims,
              len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
              coalesce(n_repeat_words, 0) AS n_repeat_words,
-             len(list_filter(ws, x -> lower(x) IN ({stops}))) AS n_stop
+             len(list_filter(ws, lambda x: lower(x) IN ({stops}))) AS n_stop
       FROM w LEFT JOIN z USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
