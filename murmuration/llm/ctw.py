@@ -151,31 +151,46 @@ def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Level:
-    """Contexts of one depth: codes (sorted), symbol counts, parent's row, counts below no child."""
+    """Contexts of one depth: codes (sorted), symbol counts and the parent's row."""
 
     codes: np.ndarray
     counts: np.ndarray
     parent: np.ndarray
-    rest: np.ndarray
 
 
 def build_levels(rows: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
     """Levels from (gram codes, counts) of depth 0, 1, ...; a deeper context's
-    parent is always present."""
+    parent is always present.  ``rows`` is emptied on the way."""
     levels: list[Level] = []
-    for depth, (grams, n) in enumerate(rows):
+    for depth in range(len(rows)):
+        grams, n = rows[depth]
+        rows[depth] = None
         codes, row = np.unique(grams >> 8, return_inverse=True)
         counts = np.zeros((len(codes), 256))
         counts[row, grams & 255] = n
         parent = np.zeros(len(codes), np.int64)
         if depth:
-            above = levels[-1]
-            parent = np.searchsorted(above.codes, codes & ((1 << (8 * (depth - 1))) - 1))
-            np.subtract.at(above.rest, parent, counts)
-        levels.append(Level(codes, counts, parent, counts.copy()))
+            parent = np.searchsorted(levels[-1].codes, codes & ((1 << (8 * (depth - 1))) - 1))
+        levels.append(Level(codes, counts, parent))
     return levels
 
 
+def _split(levels: list[Level], d: int, bit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Zeros and ones of every decision at one bit, for all contexts of a depth."""
+    counts = levels[d].counts
+    both = counts.reshape(len(counts), 1 << bit, 2, 128 >> bit).sum(axis=3)
+    return both[:, :, 0], both[:, :, 1]
+
+
+def _rest(levels: list[Level], d: int, bit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the symbols below no child in the tree."""
+    out = _split(levels, d, bit)
+    if d + 1 < len(levels):
+        for own, child in zip(out, _split(levels, d + 1, bit)):
+            np.subtract.at(own, levels[d + 1].parent, child)
+    return out
+
+
 def log_probabilities(levels: list[Level]) -> list[np.ndarray]:
     """log10 of each symbol's probability at every context.
 
@@ -183,38 +198,32 @@ def log_probabilities(levels: list[Level]) -> list[np.ndarray]:
     row r of depth d.
     """
     depth = len(levels) - 1
-    own = [np.zeros((len(v.codes), 256)) for v in levels]
+    own = [np.zeros((len(v.codes), 256), np.float32) for v in levels]
     for bit in range(8):
-        shape = (1 << bit, 2, 128 >> bit)
-
-        def split(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            both = c.reshape(len(c), *shape).sum(axis=3)
-            return both[:, :, 0], both[:, :, 1]
-
         weight: list[np.ndarray] = [np.zeros(0)] * (depth + 1)
-        below: np.ndarray | None = None  # sum of the children's log Pw
+        below = None  # sum of the children's log Pw
         for d in range(depth, -1, -1):
-            estimate = log_kt(*split(levels[d].counts))
+            total = log_kt(*_split(levels, d, bit))
             if d == depth:
-                total, weight[d] = estimate, np.ones_like(estimate)
+                weight[d] = np.ones_like(total)
             else:
-                inner = below + log_kt(*split(levels[d].rest))
-                total = np.logaddexp(estimate, inner) - np.log(2)
-                weight[d] = np.exp(estimate - np.log(2) - total)
+                inner = below + log_kt(*_rest(levels, d, bit))
+                estimate = total - np.log(2)
+                total = np.logaddexp(estimate, inner - np.log(2))
+                weight[d] = np.exp(estimate - total)
             if d:
-                below = np.zeros((len(levels[d - 1].codes), shape[0]))
+                below = np.zeros((len(levels[d - 1].codes), 1 << bit))
                 np.add.at(below, levels[d].parent, total)
-        mixed = rest_of = None
+        mixed = free = None
         for d in range(depth + 1):
-            zeros, ones = split(levels[d].counts)
-            kt = (ones + 0.5) / (zeros + ones + 1)
-            known, free = (0.0, 1.0) if d == 0 else (mixed[levels[d].parent], rest_of[levels[d].parent])
-            mixed = known + free * weight[d] * kt
-            rest_of = free * (1 - weight[d])
-            zeros, ones = split(levels[d].rest)
-            one = mixed if d == depth else mixed + rest_of * (ones + 0.5) / (zeros + ones + 1)
+            zeros, ones = _split(levels, d, bit)
+            up, left = (0.0, 1.0) if d == 0 else (mixed[levels[d].parent], free[levels[d].parent])
+            mixed = up + left * weight[d] * (ones + 0.5) / (zeros + ones + 1)
+            free = left * (1 - weight[d])
+            zeros, ones = _rest(levels, d, bit)
+            one = mixed if d == depth else mixed + free * (ones + 0.5) / (zeros + ones + 1)
             one = np.clip(one, 1e-12, 1 - 1e-12)
-            steps = np.stack([np.log10(1 - one), np.log10(one)], axis=2)
+            steps = np.stack([np.log10(1 - one), np.log10(one)], axis=2).astype(np.float32)
             own[d] += np.repeat(steps.reshape(len(one), -1), 128 >> bit, axis=1)
     return own
 
@@ -253,6 +262,8 @@ class Model:
 def make_model(rows: list[tuple[np.ndarray, np.ndarray]], **words) -> Model:
     levels = build_levels(rows)
     own = log_probabilities(levels)
+    for level in levels:
+        level.counts = None
     steps = []
     for d in range(len(levels) - 1):
         step = np.full(max(len(levels[d].codes), 1) * 256, -1, np.int32)
@@ -260,7 +271,7 @@ def make_model(rows: list[tuple[np.ndarray, np.ndarray]], **words) -> Model:
         step[child.parent * 256 + (child.codes >> (8 * d))] = np.arange(len(child.codes))
         steps.append(step)
     first = np.concatenate([[0], np.cumsum([len(v.codes) for v in levels])]).astype(int)
-    return Model(steps, first.tolist(), np.concatenate(own).astype(np.float32), **words)
+    return Model(steps, first.tolist(), np.concatenate(own), **words)
 
 
 def _tree_contexts(spark: SparkSession, grams: DataFrame, depth: int, nodes: int) -> DataFrame:
