@@ -39,10 +39,12 @@ def annotated(spark: SparkSession, documents: DataFrame, keep: str = "min",
     ).filter("_size > 1"), "hash-groups")
     side = small_side(groups, 48)
 
-    # bytes of the repeated texts, against one text of each group
+    # bytes of the repeated texts, against one text of each group (a table of its
+    # own, so that the join's hot hashes can be split)
     members = whole.join(side, "_h")
-    first = (members.filter(F.col("doc_id").eqNullSafe(F.col("_keep")))
-             .select("_h", F.col("text").alias("_first")).dropDuplicates(["_h"]))
+    first = stored(spark, members.filter(F.col("doc_id").eqNullSafe(F.col("_keep")))
+                   .select("_h", F.col("text").alias("_first")).dropDuplicates(["_h"]),
+                   "group-texts")
     differ = stored(spark, members.join(first, "_h").filter(F.col("text") != F.col("_first"))
                     .select("_h").distinct(), "collisions")
 
