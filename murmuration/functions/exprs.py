@@ -17,9 +17,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: What a trim removes: every character up to and including the space.
+BLANKS = "".join(map(chr, range(33)))
+
+
+def trimmed(c: Column | str) -> Column:
+    """Text without characters up to U+0020 at either end."""
+    return F.btrim(_col(c), F.lit(BLANKS))
+
+
 def norm_text(c: Column | str) -> Column:
     """Trimmed, lower-cased text: the case-insensitive match key."""
-    return F.lower(F.trim(_col(c)))
+    return F.lower(trimmed(c))
 
 
 def squared_distance(x: Column, y: Column, cx, cy) -> Column:

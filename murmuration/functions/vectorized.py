@@ -20,6 +20,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from murmuration.functions.shipping import ship_by_value
+
+ship_by_value(__name__)  # the argmin must run where this package is not installed
+
 
 EXACT_BOUND = 1 << 24  # |coordinate| below this: the expanded form is exact
 

@@ -3,9 +3,9 @@
 Execution model
 ---------------
 * The points are reduced once to *weighted distinct points* ``(x, y, w)``
-  (an exact rewrite: a cluster's sums are ``Σ w·x``, ``Σ w·y``, ``Σ w``), then
-  persisted and written to the reliable checkpoint folder, so a lost executor
-  costs a re-read of that table, never a re-run of the scan.
+  (an exact rewrite: a cluster's sums are ``Σ w·x``, ``Σ w·y``, ``Σ w``) and
+  written once to the shared scratch folder, so a lost executor costs a re-read
+  of that table, never a re-run of the scan; ``release`` deletes it.
 * One pass = one Spark job: every point picks its nearest center (an
   Arrow-batched NumPy argmin by default, see ``functions.vectorized`` for
   the measurement; ``argmin="builtin"`` uses a codegen'd ``least`` over the
@@ -18,7 +18,7 @@ Execution model
   Euclidean distance, and the lowest center id wins ties.
 
 Only centers that receive points survive a pass (K may shrink), as in the
-reference; ``center_id`` is stable across passes so the survivors are known.
+the definition; ``center_id`` is stable across passes so the survivors are known.
 """
 
 from __future__ import annotations
@@ -28,21 +28,19 @@ from collections.abc import Iterable, Sequence
 from contextlib import nullcontext
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmuration.functions import hash_to_range, nearest_center
 from murmuration.functions.vectorized import nearest_center_arrow, nearest_centers_arrow
-from murmuration.session import ensure_checkpoint_dir
+from murmuration.session import drop_path, scratch_path
 
 Center = tuple[int, int, int]  # (center_id, x, y)
 ROUNDINGS = ("half_up", "trunc")
 DEFAULT_TOLERANCE = 50.0
-MAX_CENTERS = 100_000  # centers travel with the plan; keep K bounded
 ARGMIN_METHODS = ("arrow", "builtin")
-ROWS_PER_TASK = 50_000  # weighted points per partition (and per pass task)
+ROWS_PER_FILE = 25_000  # of the points' table: small tables still give every core a file
 
 PASS_SCHEMA = T.StructType([
     T.StructField("center_id", T.LongType()),
@@ -56,47 +54,28 @@ PASS_SCHEMA = T.StructType([
 
 # ------------------------------------------------------------------ points
 class WeightedPoints:
-    """Distinct points with multiplicities, cached and checkpointed.
+    """Points with multiplicities as a table in the shared scratch folder.
 
-    Use as a context manager (or call ``release``) to drop the cache.
+    Written once and read by every pass, so a lost executor costs its own tasks
+    only.  ``dedupe`` merges equal points first (one shuffle on both
+    coordinates): it pays where points repeat, as on an integer grid, and not
+    where nearly all differ.  A point that lacks a coordinate belongs to no
+    cluster and is left out, here as in every operator of this module.
+
+    Use as a context manager, or call ``release``: it deletes the table.
     """
 
-    def __init__(self, points: DataFrame, dedupe: bool = True, checkpoint: bool = True,
-                 x: str = "x", y: str = "y"):
-        _check_points(points, x, y)
+    def __init__(self, points: DataFrame, dedupe: bool = True, x: str = "x", y: str = "y"):
+        wp = _weighted(points, x, y)
         if dedupe:
-            wp = points.groupBy(F.col(x).cast(T.LongType()).alias("x"),
-                                F.col(y).cast(T.LongType()).alias("y")).agg(
-                F.count(F.lit(1)).alias("w"))
-        else:
-            wp = points.select(F.col(x).cast(T.LongType()).alias("x"),
-                               F.col(y).cast(T.LongType()).alias("y"),
-                               F.lit(1).cast(T.LongType()).alias("w"))
-        wp = wp.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-        self._staged = wp.persist(StorageLevel.MEMORY_AND_DISK)
-        # A cached (or checkpointed) plan keeps the aggregate's shuffle
-        # partitioning — AQE does not coalesce it — so size the partitions to
-        # the data here: ~ROWS_PER_TASK rows each (a narrow coalesce, no
-        # shuffle).  Every pass runs one task per partition, so 200 tiny
-        # partitions would cost ~10× per pass (measured at sf0.1).
-        self.rows = self._staged.count()
-        current = self._staged.rdd.getNumPartitions()
-        self.partitions = min(current, max(1, math.ceil(self.rows / ROWS_PER_TASK)))
-        shaped = self._staged.coalesce(self.partitions) if self.partitions < current \
-            else self._staged
-        if checkpoint:
-            ensure_checkpoint_dir(points.sparkSession)
-            # the write reads the cached blocks instead of recomputing the
-            # aggregate
-            cp = shaped.checkpoint(eager=True)
-            self.df = cp.persist(StorageLevel.MEMORY_AND_DISK)
-            self._staged.unpersist()
-        else:
-            self.df = shaped
+            wp = wp.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
+        spark = points.sparkSession
+        self._path = scratch_path(spark, "points")
+        wp.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(self._path)
+        self.df = spark.read.schema(wp.schema).parquet(self._path)
 
     def release(self) -> None:
-        self.df.unpersist()
-        self._staged.unpersist()
+        drop_path(self.df.sparkSession, self._path)
 
     def __enter__(self) -> WeightedPoints:
         return self
@@ -118,12 +97,12 @@ def _check_points(points: DataFrame, x: str = "x", y: str = "y") -> None:
                             f"not {points.schema[c].dataType.simpleString()}")
 
 
-def _weighted(points: DataFrame) -> DataFrame:
-    """Points as (x, y, w=1) without any shuffle (single pass use)."""
-    _check_points(points)
-    return points.select(F.col("x").cast(T.LongType()).alias("x"),
-                         F.col("y").cast(T.LongType()).alias("y"),
-                         F.lit(1).cast(T.LongType()).alias("w"))
+def _weighted(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """Points as (x, y, w=1) without any shuffle; incomplete ones are left out."""
+    _check_points(points, x, y)
+    return points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        F.col(x).cast(T.LongType()).alias("x"), F.col(y).cast(T.LongType()).alias("y"),
+        F.lit(1).cast(T.LongType()).alias("w"))
 
 
 # ------------------------------------------------------------------ one pass
@@ -131,8 +110,6 @@ def _check_centers(centers: Sequence[Center]) -> list[Center]:
     cs = [(int(i), int(x), int(y)) for i, x, y in centers]
     if not cs:
         raise ValueError("at least one center is needed")
-    if len(cs) > MAX_CENTERS:
-        raise ValueError(f"more than {MAX_CENTERS} centers")
     if len({c[0] for c in cs}) != len(cs):
         raise ValueError("center ids must be unique")
     return cs
@@ -161,6 +138,18 @@ def pass_frame(wpoints: DataFrame, centers: Sequence[Center], rounding: str = "h
     return multi_pass_frame(wpoints, [centers], rounding, with_sse, argmin)
 
 
+def _lookup(values: dict[int, int], key: str) -> str:
+    """SQL for ``values[key]``: an array indexed by position where the ids are
+    dense (as the library numbers them), so a lookup does not scan K entries."""
+    span = max(values, default=0) + 1
+    if min(values, default=0) >= 0 and span <= 4 * len(values):
+        items = ", ".join(f"CAST({values[i]} AS BIGINT)" if i in values else "CAST(NULL AS BIGINT)"
+                          for i in range(span))
+        return f"get(array({items}), CAST({key} AS INT))"
+    kv = ", ".join(f"CAST({k} AS BIGINT), CAST({v} AS BIGINT)" for k, v in values.items())
+    return f"try_element_at(map({kv}), {key})"
+
+
 def multi_pass_frame(wpoints: DataFrame, runs: Sequence[Sequence[Center]],
                      rounding: str = "half_up", with_sse: bool = False,
                      argmin: str = "arrow", with_moved: bool = True) -> DataFrame:
@@ -197,18 +186,20 @@ def multi_pass_frame(wpoints: DataFrame, runs: Sequence[Sequence[Center]],
                           for i in range(len(runs))])
         assigned = staged.select("x", "y", "w", F.inline(pairs))
         keys = ["run", "center_id"]
-    aggs = ["sum(x * w) AS sx", "sum(y * w) AS sy", "sum(w) AS n"]
+    wide = "CAST({} AS DECIMAL(20,0))"  # a LONG; products and sums stay exact
+    aggs = [f"CAST(sum({wide.format('x')} * w) AS DECIMAL(38,0)) AS sx",
+            f"CAST(sum({wide.format('y')} * w) AS DECIMAL(38,0)) AS sy", "sum(w) AS n"]
     if with_sse:
-        aggs += ["sum(CAST(x * x AS DECIMAL(38,0)) * w) AS sxx",
-                 "sum(CAST(y * y AS DECIMAL(38,0)) * w) AS syy"]
+        aggs += [f"sum(CAST({wide.format('x')} * x AS DECIMAL(38,0)) * w) AS sxx",
+                 f"sum(CAST({wide.format('y')} * y AS DECIMAL(38,0)) * w) AS syy"]
     g = assigned.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
 
-    # Exact integer means on LONG: half-up = floor((2s + n) / 2n), trunc = s div n.
+    # Exact integer means: half-up = floor((2s + n) / 2n), trunc = s div n.
     def mean(sc: str) -> str:
         if rounding == "half_up":
             a, b = f"(2 * {sc} + n)", "(2 * n)"
-            return f"(({a} - pmod({a}, {b})) div {b})"
-        return f"({sc} div n)"
+            return f"CAST((({a} - pmod({a}, {b})) div {b}) AS BIGINT)"
+        return f"CAST(({sc} div n) AS BIGINT)"
 
     nx, ny = mean("sx"), mean("sy")
     cols = [*keys, f"{nx} AS x", f"{ny} AS y", "n"]
@@ -217,9 +208,7 @@ def multi_pass_frame(wpoints: DataFrame, runs: Sequence[Sequence[Center]],
         key = f"run * CAST({span} AS BIGINT) + center_id" if multi else "center_id"
 
         def old(idx: int) -> str:
-            kv = ", ".join(f"CAST({r * span + c[0]} AS BIGINT), CAST({c[idx]} AS BIGINT)"
-                           for r, cs in enumerate(runs) for c in cs)
-            return f"try_element_at(map({kv}), {key})"
+            return _lookup({r * span + c[0]: c[idx] for r, cs in enumerate(runs) for c in cs}, key)
 
         dx, dy = f"CAST({nx} - {old(1)} AS DOUBLE)", f"CAST({ny} - {old(2)} AS DOUBLE)"
         cols.append(f"sqrt({dx} * {dx} + {dy} * {dy}) AS moved")
@@ -309,8 +298,11 @@ class KMeansResult:
     argmin: str = "arrow"
 
     def release(self) -> None:
+        """Run the final pass, if that is still to do, and delete the points' table."""
         if self.weighted is not None:
+            self.finalize()
             self.weighted.release()
+            self.weighted = None
 
     def finalize(self) -> KMeansResult:
         """Run the final pass once and keep its <= K rows, so later uses
@@ -331,7 +323,7 @@ def _small_frame(spark: SparkSession, stats: PassStats) -> DataFrame:
 def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
                  rounding: str = "trunc", check: bool = False,
                  tolerance: float = DEFAULT_TOLERANCE, dedupe: bool = True,
-                 checkpoint: bool = True, argmin: str = "arrow",
+                 argmin: str = "arrow",
                  weighted: WeightedPoints | None = None) -> KMeansResult:
     """R passes, optionally stopping early (Q15).
 
@@ -340,11 +332,11 @@ def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
     pass, and ``converged`` reports whether the last pass run was within the
     tolerance.  The returned centers are those of the last pass run.
     ``weighted`` reuses points prepared once for several runs (the caller
-    keeps ownership: releasing the result leaves them cached).
+    keeps ownership: releasing the result leaves them in place).
     """
     if r < 1:
         raise ValueError("r must be >= 1")
-    wp = weighted or WeightedPoints(points, dedupe=dedupe, checkpoint=checkpoint)
+    wp = weighted or WeightedPoints(points, dedupe=dedupe)
     owned = wp if weighted is None else None
     cur = _check_centers(centers)
     history: list[float] = []
@@ -368,7 +360,7 @@ def kmeans_fixed(points: DataFrame, centers: Sequence[Center], r: int,
 def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
                      tolerance: float = DEFAULT_TOLERANCE, check: bool = True,
                      rounding: str = "half_up", dedupe: bool = True,
-                     checkpoint: bool = True, argmin: str = "arrow",
+                     argmin: str = "arrow",
                      weighted: WeightedPoints | None = None) -> KMeansResult:
     """Passes until every center moved at most ``tolerance``, then one closing
     pass (Q16).
@@ -382,7 +374,7 @@ def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
     """
     if r_max < 1:
         raise ValueError("r_max must be >= 1")
-    wp = weighted or WeightedPoints(points, dedupe=dedupe, checkpoint=checkpoint)
+    wp = weighted or WeightedPoints(points, dedupe=dedupe)
     owned = wp if weighted is None else None
     cur = _check_centers(centers)
     history: list[float] = []
@@ -425,13 +417,13 @@ def kmeans_assign(points: DataFrame, result: KMeansResult,
     null filter on it and evaluate the argmin twice.)
     """
     final = collect_centers(result.centers)
-    assigned = points.select(*keep, "x", "y",
+    whole = points.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    assigned = whole.select(*keep, "x", "y",
                              assign_center(F.col("x"), F.col("y"), result.centers_in,
                                            result.argmin).alias("center_id"))
 
     def coord(idx: int) -> str:
-        kv = ", ".join(f"CAST({c[0]} AS BIGINT), CAST({c[idx]} AS BIGINT)" for c in final)
-        return f"try_element_at(map({kv}), center_id)"
+        return _lookup({c[0]: c[idx] for c in final}, "center_id")
 
     # every center a point is assigned to received that point in the final
     # pass, so the lookup always hits (no filter: it would be pushed below
@@ -452,7 +444,7 @@ def kmeans_seeds_sample(points: DataFrame, k: int, seed: int = 42,
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    d = points.select("x", "y")
+    d = points.select("x", "y").filter("x IS NOT NULL AND y IS NOT NULL")
     if distinct:
         d = d.distinct()
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("x").cast("string"),
@@ -492,12 +484,10 @@ def kmeans_seeds_uniform(points: DataFrame, k: int, seed: int = 42,
                       F.lit(str(seed)), F.col("center_id"), F.lit("y")).alias("y"))
 
 
-def collect_centers(seeds: DataFrame, max_centers: int = MAX_CENTERS) -> list[Center]:
-    """Bring a seeds frame (<= k rows by construction) to the driver."""
-    rows = seeds.limit(max_centers + 1).collect()
-    if len(rows) > max_centers:
-        raise ValueError("too many centers")
-    return sorted((int(r["center_id"]), int(r["x"]), int(r["y"])) for r in rows)
+def collect_centers(seeds: DataFrame) -> list[Center]:
+    """The K rows of a centers frame, K being the caller's own number."""
+    return [(r["center_id"], r["x"], r["y"])
+            for r in seeds.select("center_id", "x", "y").orderBy("center_id").collect()]
 
 
 # ------------------------------------------------------------------ Q20
@@ -584,7 +574,7 @@ def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
 
 # ------------------------------------------------------------------ Q22
 def kmeans_outputs(result: KMeansResult, points: DataFrame, path: str,
-                   keep: Sequence[str] = (), mode: str = "overwrite") -> tuple[str, str]:
+                   keep: Sequence[str] = (), mode: str = "errorifexists") -> tuple[str, str]:
     """Write the two named outputs of a run (Q22) below ``path``:
     ``centers`` (center, size, converged flag) and ``clustered`` (every point
     with its center).  Both are CSV with a header; returns the two folders.

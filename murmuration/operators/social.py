@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmuration.functions import norm_text, typed_like, whole_days_between
+from murmuration.functions import norm_text, trimmed, typed_like, whole_days_between
+from murmuration.functions.exprs import BLANKS
 
 UNKNOWN_NAME = "Unknown"
 
@@ -28,15 +29,18 @@ def users_by_nationality(people: DataFrame, nationality: str,
                          out_cols: Sequence[str] = ("name", "hobby")) -> DataFrame:
     """People of one nationality (Q01): a filter + projection, no shuffle.
 
-    The default match trims and case-folds both sides; ``case_sensitive=True``
-    is an exact comparison, which parquet sources also push into the scan.
+    The default match trims (every character up to U+0020) and case-folds both
+    sides; ``case_sensitive=True`` is an exact comparison, which parquet sources
+    also push into the scan.  Text of the result is trimmed.
     """
     c = F.col(nationality_col)
     if case_sensitive:
         cond = c == F.lit(nationality)
     else:
-        cond = norm_text(c) == F.lit(nationality.strip().lower())
-    return people.filter(cond).select(*out_cols)
+        cond = norm_text(c) == F.lower(F.lit(nationality.strip(BLANKS)))
+    kinds = dict(people.dtypes)
+    return people.filter(cond).select(
+        *[trimmed(k).alias(k) if kinds[k] == "string" else k for k in out_cols])
 
 
 # --------------------------------------------------------------------- Q02
@@ -48,8 +52,10 @@ def top_pages(access: DataFrame, owners: DataFrame, n: int = 10,
 
     Counted per page first (partial + final aggregate), cut to n with the
     fixed order ``count DESC, page ASC`` (planned as TakeOrderedAndProject:
-    each task keeps n rows, no global sort), then joined to the owners.  The
-    cut side holds at most n rows, so broadcasting it is safe at any scale.
+    each task keeps n rows, no global sort), then joined to the owners; the
+    planner knows the cut's size and picks the join.  ``dedupe_owners`` keeps
+    one owner row per page, the smallest by its columns, after the join, so the
+    owner table is not aggregated.
     A page without an owner drops out after the cut, so fewer than n rows may
     return.
     """
@@ -64,21 +70,19 @@ def top_pages(access: DataFrame, owners: DataFrame, n: int = 10,
         F.row_number().over(Window.orderBy(F.desc("access_count"), F.asc("page_id")))
         .cast(T.LongType()))
     own = owners.select(F.col(owner_key).alias("page_id"), *owner_cols)
+    out = own.join(ranked, "page_id", "inner")
     if dedupe_owners:
-        # one owner row per page when the owner table may repeat an id: the
-        # smallest (by the detail columns, in order) — deterministic, and a
-        # partial aggregate (costs a shuffle of the owner table; off for
-        # keyed tables)
-        own = (own.groupBy("page_id").agg(F.min(F.struct(*owner_cols)).alias("_o"))
-               .select("page_id", *[F.col("_o").getField(c).alias(c) for c in owner_cols]))
-    return (own.join(F.broadcast(ranked), "page_id", "inner")
-            .select("page_id", *owner_cols, "access_count", "page_rank"))
+        out = (out.groupBy("page_id", "access_count", "page_rank")
+               .agg(F.min(F.struct(*owner_cols)).alias("_o"))
+               .select("page_id", "access_count", "page_rank",
+                       *[F.col("_o").getField(c).alias(c) for c in owner_cols]))
+    return (out.select("page_id", *owner_cols, "access_count", "page_rank"))
 
 
 # --------------------------------------------------------------------- Q03
 def count_by_country(people: DataFrame, nationality_col: str = "nationality") -> DataFrame:
-    """People per nationality (Q03); blank and null values form their own groups."""
-    return (people.groupBy(F.col(nationality_col).alias("nationality"))
+    """People per trimmed nationality (Q03); empty and null values form their own groups."""
+    return (people.groupBy(trimmed(nationality_col).alias("nationality"))
             .agg(F.count(F.lit(1)).alias("n_people")))
 
 
@@ -186,6 +190,13 @@ def _as_of(access: DataFrame, as_of, time_col: str = "access_time") -> Column:
     return typed_like(as_of, access.schema[time_col].dataType)
 
 
+def readable_times(access: DataFrame, time_col: str = "access_time",
+                   pattern: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """Accesses whose text time parses; the others are skipped, row by row."""
+    at = F.try_to_timestamp(F.col(time_col), F.lit(pattern)).cast("timestamp_ntz")
+    return access.withColumn(time_col, at).filter(F.col(time_col).isNotNull())
+
+
 def _latest(access: DataFrame) -> DataFrame:
     return (access.groupBy(F.col("by_who").alias("person_id"))
             .agg(F.max("access_time").alias("latest_access")))
@@ -234,13 +245,14 @@ def popular_people(people: DataFrame, friends: DataFrame, node_key: str = "perso
     (all edges ÷ all people), with name and count.
 
     The two global counts run as uncorrelated scalar subqueries (computed
-    once, one row each); the per-person counts are pre-aggregated.
+    once, one row each).  The edge count is the sum of the per-person counts
+    (edges without a target included), so the edges are read once.
     """
-    n_edges = friends.select(F.count(F.lit(1)).cast(T.DoubleType())).scalar()
-    n_people = people.select(F.count(F.lit(1)).cast(T.DoubleType())).scalar()
-    avg = F.coalesce(F.try_divide(n_edges, n_people), F.lit(0.0))
     deg = (friends.groupBy(F.col(dst_col).alias("person_id"))
            .agg(F.count(F.lit(1)).alias("friend_count")))
+    n_edges = deg.select(F.sum("friend_count").cast(T.DoubleType())).scalar()
+    n_people = people.select(F.count(F.lit(1)).cast(T.DoubleType())).scalar()
+    avg = F.coalesce(F.try_divide(n_edges, n_people), F.lit(0.0))
     popular = deg.filter(F.col("friend_count") > avg)
     p = people.select(F.col(node_key).alias("person_id"), F.col(name_col).alias("name"))
     return (popular.join(p, "person_id", "inner")
@@ -252,15 +264,12 @@ def popular_people(people: DataFrame, friends: DataFrame, node_key: str = "perso
 def popular_people_linked(people: DataFrame, friends: DataFrame) -> DataFrame:
     """People whose out-degree is strictly above the mean out-degree of the
     people having at least one edge (Q13); id and name, each once."""
-    deg = (friends.groupBy(F.col("person_id"))
+    # owners without an id are no people; filtered before the aggregate, so the
+    # join and the mean share one exchange
+    deg = (friends.filter(F.col("person_id").isNotNull()).groupBy("person_id")
            .agg(F.count(F.lit(1)).alias("num_friends")))
     stats = deg.select(F.try_divide(F.sum("num_friends").cast(T.DoubleType()),
                                     F.count(F.lit(1)).cast(T.DoubleType())).alias("avg")).scalar()
     popular = deg.filter(F.col("num_friends") > stats).select("person_id")
-    # Null-safe equality on a null-free people side is the same inner join,
-    # but leaves the degree aggregate free of an inferred null filter: main
-    # plan and mean subquery then share one exchange (ReusedExchange)
-    # instead of aggregating the edges twice.
-    p = people.select("person_id", "name").filter(F.col("person_id").isNotNull())
-    return (popular.join(p, popular.person_id.eqNullSafe(p.person_id), "inner")
-            .select(popular.person_id, p.name).distinct())
+    p = people.select("person_id", "name")
+    return popular.join(p, "person_id", "inner").select("person_id", "name").distinct()

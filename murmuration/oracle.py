@@ -21,7 +21,7 @@ friends AS (
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS friend_id,
          CAST(ts AS DATE) AS since, event_type AS relation
   FROM events
-  WHERE event_type = 'signup' AND CAST(json_extract_string(props, '$.k') AS BIGINT) < 20),
+  WHERE event_type = 'signup'),
 access AS (
   SELECT event_id AS access_id, user_id AS by_who,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS what_page,
@@ -45,7 +45,21 @@ def _with(body: str, extra: str = "") -> str:
 
 SOCIAL_SQL: dict[str, str] = {
     "q01_users_by_nationality": _with("""
-SELECT name, hobby FROM people WHERE lower(trim(nationality)) = 'nation_7'"""),
+SELECT name, hobby FROM people WHERE lower(nationality) = 'nation_7'"""),
+
+    # the padding added to the given values is trimmed away again
+    "q02_top_pages_dedupe": """
+WITH c AS (SELECT c_nationkey AS page_id, count(*) AS access_count FROM customer GROUP BY 1),
+t AS (SELECT *, row_number() OVER (ORDER BY access_count DESC, page_id) AS page_rank FROM c
+      ORDER BY access_count DESC, page_id LIMIT 10)
+SELECT page_id, min(s_name) AS s_name, access_count, page_rank
+FROM t JOIN supplier ON s_nationkey = page_id GROUP BY ALL""",
+
+    "q11_text_times": _with(f"""
+SELECT p.person_id, p.name FROM people p
+WHERE p.person_id NOT IN (
+  SELECT by_who FROM access WHERE access_id % 7 <> 0 AND by_who IS NOT NULL
+    AND date_trunc('second', access_time) > TIMESTAMP '{Q09_AS_OF}' - INTERVAL 14 DAY)"""),
 
     "q02_top_pages": _with("""
 SELECT p.p_partkey AS page_id, p.p_name, p.p_brand, p.p_type, t.access_count, t.page_rank
@@ -63,7 +77,7 @@ SELECT nationality, count(*) AS n_people FROM people GROUP BY nationality"""),
 SELECT coalesce(b.pid, d.src) AS person_id, coalesce(b.name, 'Unknown') AS name,
        coalesce(d.friend_count, 0) AS friend_count
 FROM builders b FULL OUTER JOIN outdeg d ON b.pid = d.src""", """
-builders AS (SELECT person_id AS pid, name FROM people WHERE hobby = 'BUILDING'),
+builders AS (SELECT s_suppkey * 3 AS pid, s_name AS name FROM supplier),
 outdeg AS (SELECT person_id AS src, count(*) AS friend_count FROM friends GROUP BY person_id)"""),
 
     "q05_friend_counts_indegree": _with("""
@@ -129,6 +143,8 @@ FROM outdeg d JOIN people p ON d.person_id = p.person_id, mean_deg m
 WHERE d.num_friends > m.a""", """
 outdeg AS (SELECT person_id, count(*) AS num_friends FROM friends GROUP BY person_id),
 mean_deg AS (SELECT CAST(sum(num_friends) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS a FROM outdeg)"""),
+
+    "q21_access_tsv": _with("SELECT * FROM access"),
 }
 
 

@@ -18,7 +18,7 @@ Q09_AS_OF = "2024-02-13 00:00:00"
 
 
 def q01(spark: SparkSession, sf: str) -> DataFrame:
-    return social.users_by_nationality(b.people(spark, sf), " nation_7 ")
+    return social.users_by_nationality(b.padded_people(spark, sf), " nation_7 ")
 
 
 def q02(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,15 +28,31 @@ def q02(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q03(spark: SparkSession, sf: str) -> DataFrame:
-    return social.count_by_country(b.people(spark, sf))
+    return social.count_by_country(b.padded_people(spark, sf))
 
 
 def q04(spark: SparkSession, sf: str) -> DataFrame:
-    # People of one hobby against the whole friend list: with every owner a
-    # known person, a full outer join would only ever use one side; here
-    # both appear (people without edges get 0, owners outside get Unknown).
-    builders = b.people(spark, sf).filter(F.col("hobby") == "BUILDING")
-    return social.friend_counts_outdegree(builders, b.friends(spark, sf))
+    # whole tables: suppliers as people, so owners outside get Unknown, and
+    # their edges both ways, so suppliers without an edge get 0
+    s = b.table(spark, sf, "supplier")
+    people = s.select((F.col("s_suppkey") * 3).alias("person_id"), F.col("s_name").alias("name"))
+    return social.friend_counts_outdegree(people, b.friends(spark, sf))
+
+
+def q02_dedupe(spark: SparkSession, sf: str) -> DataFrame:
+    """Owner table with many rows of an id: suppliers by nation."""
+    return social.top_pages(b.table(spark, sf, "customer"), b.table(spark, sf, "supplier"), n=10,
+                            page_col="c_nationkey", owner_key="s_nationkey",
+                            owner_cols=("s_name",), dedupe_owners=True)
+
+
+def q11_text_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Access times as text, every seventh unreadable: such a row is skipped."""
+    acc = b.access(spark, sf).withColumn("access_time", F.when(
+        F.col("access_id") % 7 == 0, "no time").otherwise(
+        F.date_format("access_time", "yyyy-MM-dd HH:mm:ss")))
+    return social.disconnected_antijoin(b.people(spark, sf), social.readable_times(acc),
+                                        Q09_AS_OF, 14)
 
 
 def q05(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,6 +100,7 @@ def q13(spark: SparkSession, sf: str) -> DataFrame:
 SOCIAL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_users_by_nationality": q01,
     "q02_top_pages": q02,
+    "q02_top_pages_dedupe": q02_dedupe,
     "q03_count_by_country": q03,
     "q04_friend_counts_outdegree": q04,
     "q05_friend_counts_indegree": q05,
@@ -93,6 +110,7 @@ SOCIAL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q09_disconnected": q09,
     "q10_disconnected_known": q10,
     "q11_disconnected_antijoin": q11,
+    "q11_text_times": q11_text_times,
     "q12_popular_people": q12,
     "q13_popular_people_linked": q13,
 }

@@ -28,7 +28,7 @@ def _q15_result(spark: SparkSession, sf: str) -> km.KMeansResult:
 
 def q15(spark: SparkSession, sf: str) -> DataFrame:
     res = _q15_result(spark, sf)
-    res.release()  # the final pass then reads the checkpointed points
+    res.release()
     return km.with_run_flags(res)
 
 
@@ -37,6 +37,14 @@ def _q16_result(spark: SparkSession, sf: str) -> km.KMeansResult:
                                tolerance=50.0, check=True, rounding="half_up")
 
 
+def q15_check(spark: SparkSession, sf: str) -> DataFrame:
+    """The truncating loop with its early stop."""
+    res = km.kmeans_fixed(b.points(spark, sf), b.start_centers(), r=20, rounding="trunc",
+                          check=True, tolerance=50.0)
+    res.release()
+    return km.with_run_flags(res)
+
+
 def q16(spark: SparkSession, sf: str) -> DataFrame:
     res = _q16_result(spark, sf)
     res.release()
@@ -68,6 +76,16 @@ def q21(spark: SparkSession, sf: str) -> DataFrame:
     return csv_table(spark, path, schemas.PEOPLE_SCHEMA)
 
 
+def q21_access(spark: SparkSession, sf: str) -> DataFrame:
+    """The access log, tab-separated, written over an existing output; the
+    microseconds of its times come back."""
+    path = scratch_path(spark, "access-tsv")
+    log = b.access(spark, sf)
+    for _ in range(2):
+        write_csv(log, path, mode="overwrite", sep="\t", header=False)
+    return csv_table(spark, path, log.schema, sep="\t", header=False)
+
+
 CENTERS_OUT_SCHEMA = T.StructType([
     T.StructField("center_id", T.LongType()), T.StructField("x", T.LongType()),
     T.StructField("y", T.LongType()), T.StructField("n", T.LongType()),
@@ -105,11 +123,13 @@ def q22(spark: SparkSession, sf: str) -> DataFrame:
 KMEANS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q14_kmeans_step": q14,
     "q15_kmeans_fixed": q15,
+    "q15_kmeans_fixed_check": q15_check,
     "q16_kmeans_converged": q16,
     "q17_kmeans_assign": q17,
     "q18_kmeans_seeds_sample": q18,
     "q19_kmeans_seeds_uniform": q19,
     "q20_kmeans_sweep": q20,
     "q21_csv_roundtrip": q21,
+    "q21_access_tsv": q21_access,
     "q22_kmeans_outputs": q22,
 }

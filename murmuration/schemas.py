@@ -36,12 +36,6 @@ POINTS_SCHEMA = T.StructType([
     T.StructField("y", T.LongType()),
 ])
 
-CENTERS_SCHEMA = T.StructType([
-    T.StructField("center_id", T.LongType()),
-    T.StructField("x", T.LongType()),
-    T.StructField("y", T.LongType()),
-])
-
 # Header names of the reference's CSV files, in file order.
 PEOPLE_FILE_COLUMNS = ["PersonID", "Name", "Nationality", "Country Code", "Hobby"]
 FRIENDS_FILE_COLUMNS = ["FriendRel", "PersonID", "MyFriend", "DateOfFriendship", "Desc"]

@@ -79,3 +79,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/murmuration-{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, wherever Spark's file systems hold it."""
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(jsc.hadoopConfiguration()).delete(target, True)

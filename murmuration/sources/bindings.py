@@ -45,13 +45,23 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
                     c.c_mktsegment.alias("hobby")))
 
 
+def padded_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``people`` whose text columns carry blanks and control characters around
+    them, in a way that depends on the row."""
+    def pad(c: str) -> F.Column:
+        k = F.col("person_id")
+        return F.concat(F.when(k % 3 == 1, " ").when(k % 3 == 2, "\t").otherwise(""), F.col(c),
+                        F.when(k % 2 == 1, " \x01\n").otherwise("")).alias(c)
+    p = people(spark, sf_dir)
+    return p.select("person_id", pad("name"), pad("nationality"), "country_code", pad("hobby"))
+
+
 def friends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signup events with k < 20 as directed edges person_id → friend_id."""
+    """All signup events as directed edges person_id → friend_id."""
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
     return (e.select(F.col("event_id").alias("rel_id"), F.col("user_id").alias("person_id"),
                      _event_key().alias("friend_id"), F.to_date("ts").alias("since"),
-                     F.col("event_type").alias("relation"))
-            .filter(F.col("friend_id") < 20))
+                     F.col("event_type").alias("relation")))
 
 
 def access(spark: SparkSession, sf_dir: str) -> DataFrame:

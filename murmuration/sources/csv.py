@@ -7,6 +7,7 @@ to the library's column names.  Nothing is inferred.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from murmuration import schemas
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"  # the fraction may be missing on reading
 DATE_FORMAT = "yyyy-MM-dd"
 _MODES = {"FAILFAST", "PERMISSIVE", "DROPMALFORMED"}
 
@@ -69,8 +70,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", sep: str =
     """Write ``df`` as delimited text part files.
 
     ``mode="overwrite"`` replaces an existing output (delete-if-exists);
-    the default refuses to touch one.  Timestamps are written in the same
-    ``yyyy-MM-dd HH:mm:ss`` text they are read from.
+    the default refuses to touch one.  Timestamps are written with their
+    microseconds.
     """
     (df.write.mode(mode)
      .option("header", header)
@@ -97,24 +98,31 @@ def read_points(spark: SparkSession, path, mode: str = "FAILFAST") -> DataFrame:
     return csv_table(spark, path, schemas.POINTS_SCHEMA, schemas.POINTS_FILE_COLUMNS, mode)
 
 
-def read_centers(spark: SparkSession, path: str, max_centers: int = 10_000) -> list[tuple[int, int, int]]:
+def read_centers(spark: SparkSession, path: str, k: int | None = None) -> list[tuple[int, int, int]]:
     """Centers file, one ``x,y`` per line (optionally followed by `` Old:x0,y0``
-    as written after a pass); a header or other non-numeric line is skipped.  Returns ``[(center_id, x, y)]``
-    with ids in line order.
+    as written after a pass).  Returns ``[(center_id, x, y)]`` with ids in line
+    order; fractions are rounded half up.
 
-    The list is brought to the driver because centers are its working set
-    (K lines); ``max_centers`` guards that bound.
+    A first line without a number is a header; any other line that is not two
+    numbers is an error.  The list is brought to the driver because centers are
+    its working set; ``k``, the caller's own number of centers, is checked.
     """
     lines = spark.read.text(path).select(
         F.monotonically_increasing_id().alias("pos"),
-        F.trim(F.split(F.col("value"), "Old:").getItem(0)).alias("head"))
-    coords = (lines.filter(F.col("head") != "")
-              .select("pos",
-                      F.trim(F.split("head", ",").getItem(0)).try_cast("double").alias("x"),
-                      F.trim(F.split("head", ",").getItem(1)).try_cast("double").alias("y")))
-    # a header line ("x,y") or any other non-numeric line is not a center
-    coords = coords.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    rows = coords.orderBy("pos").limit(max_centers + 1).collect()
-    if len(rows) > max_centers:
-        raise ValueError(f"more than {max_centers} centers in {path}")
-    return [(i, int(round(r["x"])), int(round(r["y"]))) for i, r in enumerate(rows)]
+        F.trim(F.split(F.col("value"), "Old:").getItem(0)).alias("head")).filter("head <> ''")
+    coords = lines.select(
+        "pos", "head", F.size(F.split("head", ",")).alias("parts"),
+        F.trim(F.split("head", ",").getItem(0)).try_cast("double").alias("x"),
+        F.trim(F.get(F.split("head", ","), F.lit(1))).try_cast("double").alias("y"))
+    rows = coords.orderBy("pos")
+    if k is not None:  # one line more than asked for, and a header, show the excess
+        rows = rows.limit(k + 2)
+    rows = rows.collect()
+    if rows and rows[0]["x"] is None and rows[0]["y"] is None:
+        rows = rows[1:]
+    for r in rows:
+        if r["x"] is None or r["y"] is None or r["parts"] != 2:
+            raise ValueError(f"not a center: {r['head']!r} in {path}")
+    if k is not None and len(rows) != k:
+        raise ValueError(f"{path} does not hold {k} centers")
+    return [(i, math.floor(r["x"] + 0.5), math.floor(r["y"] + 0.5)) for i, r in enumerate(rows)]

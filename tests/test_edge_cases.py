@@ -162,7 +162,7 @@ def test_duplicate_and_empty_centers(spark, argmin):
 
 def test_k_greater_than_points_and_r1(spark):
     pts = pts_df(spark, [(0, 0), (10, 10)])
-    res = km.kmeans_converged(pts, [(i, i, i) for i in range(5)], r_max=1, checkpoint=False)
+    res = km.kmeans_converged(pts, [(i, i, i) for i in range(5)], r_max=1)
     try:
         assert res.passes == 1 and not res.converged
         assert res.centers.count() == 2
@@ -259,8 +259,8 @@ def test_top_pages_repeated_owner_rows(spark):
 def test_kmeans_on_no_points(spark):
     empty = pts_df(spark, [])
     assert km.kmeans_step(empty, [(0, 1, 1)]).count() == 0
-    for res in (km.kmeans_fixed(empty, [(0, 1, 1)], r=3, checkpoint=False),
-                km.kmeans_converged(empty, [(0, 1, 1)], r_max=3, checkpoint=False)):
+    for res in (km.kmeans_fixed(empty, [(0, 1, 1)], r=3),
+                km.kmeans_converged(empty, [(0, 1, 1)], r_max=3)):
         try:
             assert res.centers.count() == 0 and not res.converged
         finally:
@@ -301,16 +301,61 @@ def test_one_row_tables(spark):
     assert social.disconnected(p, a, "2024-01-16 00:00:00").count() == 1
 
 
-def test_weighted_points_partitions_follow_the_data(spark):
-    # many shuffle partitions, few points: the cached points are coalesced
-    spark.conf.set("spark.sql.shuffle.partitions", "50")
-    try:
-        pts = pts_df(spark, [(i, i) for i in range(1000)])
-        with km.WeightedPoints(pts, checkpoint=False) as wp:
-            assert wp.rows == 1000 and wp.partitions == 1
-            assert wp.df.rdd.getNumPartitions() == 1
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+def test_points_table_is_split_and_deleted(spark):
+    import os
+    pts = spark.range(120_000).selectExpr("id AS x", "id % 977 AS y")
+    with km.WeightedPoints(pts) as wp:
+        path = wp.df.inputFiles()[0].replace("file://", "")
+        assert wp.df.count() == 120_000 and len(wp.df.inputFiles()) >= 4
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+
+def test_released_result_still_answers(spark):
+    pts = pts_df(spark, [(i % 9, i % 7) for i in range(200)])
+    a, b = (km.kmeans_fixed(pts, [(0, 0, 0), (1, 8, 6)], r=2) for _ in range(2))
+    b.release()
+    assert sorted(a.centers.collect()) == sorted(b.centers.collect())
+    a.release()
+
+
+def test_incomplete_points_belong_to_no_cluster(spark):
+    pts = spark.createDataFrame([(1, 1), (2, 2), (None, 5), (7, None), (9, 9)], "x long, y long")
+    centers = [(0, 1, 1), (1, 9, 9)]
+    assert sum(r["n"] for r in km.kmeans_step(pts, centers).collect()) == 3
+    res = km.kmeans_converged(pts, centers, r_max=3)
+    assert sum(r["n"] for r in res.centers.collect()) == 3
+    assert km.kmeans_assign(pts, res).count() == 3
+    res.release()
+    assert km.kmeans_seeds_sample(pts, 5).count() == 3
+
+
+def test_large_coordinates_do_not_overflow(spark):
+    big = 4 * 10**9
+    pts = spark.createDataFrame([(big, -big), (big + 2, -big)], "x long, y long")
+    row = km.pass_frame(km._weighted(pts), [(0, big, -big)], with_sse=True).first()
+    assert (row["x"], row["y"], row["n"], row["sse"]) == (big + 1, -big, 2, 2.0)
+
+
+def test_centers_file_errors(spark, tmp_path):
+    from murmuration.sources import read_centers
+    good, bad = tmp_path / "good", tmp_path / "bad"
+    good.write_text("x,y\n1,1\n2.5,3.5 Old:0,0\n")
+    bad.write_text("1,1\nx2,2\n")
+    assert read_centers(spark, str(good), k=2) == [(0, 1, 1), (1, 3, 4)]
+    with pytest.raises(ValueError):
+        read_centers(spark, str(good), k=1)
+    with pytest.raises(ValueError):
+        read_centers(spark, str(bad))
+
+
+def test_trim_takes_every_character_up_to_space(spark):
+    p = spark.createDataFrame([(1, " a\t", "France", "x"), (2, "b", " France ", "y"),
+                               (3, "c", "\tFrance\x01", "z"), (4, "d", None, "z")],
+                              "person_id long, name string, nationality string, hobby string")
+    assert {r["nationality"]: r["n_people"] for r in social.count_by_country(p).collect()} == \
+        {"France": 3, None: 1}
+    assert sorted(r["name"] for r in social.users_by_nationality(p, "\tFRANCE").collect()) == ["a", "b", "c"]
 
 
 def test_sweep_on_shared_points(spark):
@@ -318,5 +363,5 @@ def test_sweep_on_shared_points(spark):
     own = km.kmeans_sweep(pts, ks=(3,), rs=(1, 3), tolerance=0.5).collect()
     with km.WeightedPoints(pts) as wp:
         shared = km.kmeans_sweep(pts, ks=(3,), rs=(1, 3), tolerance=0.5, weighted=wp).collect()
-        assert wp.df.is_cached
+        assert wp.df.count() > 0
     assert sorted(own) == sorted(shared)
