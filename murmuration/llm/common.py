@@ -77,7 +77,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str,
-           limit: int = 24 << 20) -> Iterator[pa.RecordBatch]:
+           limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut to about ``limit`` bytes of text (a longer text is a batch of its own)."""
     for batch in batches:
         if batch.num_rows == 0:

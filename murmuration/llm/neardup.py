@@ -102,7 +102,7 @@ def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """Set size, 128-bit set digest and index keys of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in slices(batches, "text", 8 << 20):
+            for batch in slices(batches, "text", 4 << 20):
                 sets = shingle_sets(*text_bytes(batch.column(1)), words)
                 keys = chunk_keys(np.array([symbols(s) for s in sets], np.uint64))
                 size = np.array([len(s) for s in sets], np.int64)
@@ -125,7 +125,7 @@ def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
 def set_table(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, shingles): the full shingle set of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 8 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             sets = shingle_sets(*text_bytes(batch.column(1)), words)
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64)
