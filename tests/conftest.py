@@ -4,6 +4,9 @@ import os
 import sys
 import tempfile
 
+# before numpy is loaded: its threads may not mix with the forks of a Spark session
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
