@@ -224,7 +224,7 @@ def log_probabilities(levels: list[Level]) -> list[np.ndarray]:
             one = mixed if d == depth else mixed + free * (ones + 0.5) / (zeros + ones + 1)
             one = np.clip(one, 1e-12, 1 - 1e-12)
             steps = np.stack([np.log10(1 - one), np.log10(one)], axis=2).astype(np.float32)
-            own[d] += np.repeat(steps.reshape(len(one), -1), 128 >> bit, axis=1)
+            own[d] += np.repeat(steps.reshape(len(one), 2 << bit), 128 >> bit, axis=1)
     return own
 
 

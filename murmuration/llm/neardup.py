@@ -240,7 +240,8 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, words: int = WORD
     same = classes.filter("n > 1").select("n_shingles", "set_a", "set_b", F.col("doc_id").alias("rep"))
     out = sig.drop("keys").join(small_side(stored(spark, same, "same"), 32),
                                 ["n_shingles", "set_a", "set_b"], "left")
-    out = out.withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id"))
+    out = out.withColumn("rep", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(),
+                                       F.coalesce("rep", "doc_id"))
                          .otherwise(F.col("doc_id")))
     out = out.join(small_side(labels.withColumnRenamed("id", "rep"), 16), "rep", "left")
     component = F.coalesce("comp", "rep")
