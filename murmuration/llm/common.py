@@ -30,11 +30,16 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
+def fits(rows: int, row_bytes: int) -> bool:
+    """Whether so many rows of that width may be broadcast."""
+    return rows * row_bytes <= BROADCAST_BYTES
+
+
+def small_side(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
     """``df`` (a stored table) with a broadcast hint when its counted size is
     below BROADCAST_BYTES; else unhinted, so the join shuffles and AQE may
-    split skewed partitions."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    split skewed partitions.  ``rows``: the count, where the caller has it."""
+    return F.broadcast(df) if fits(df.count() if rows is None else rows, row_bytes) else df
 
 
 def spread_rank(df: DataFrame, groups: Sequence[str], order: Sequence[Column],

@@ -1,9 +1,9 @@
 """Exact dedup by a 128-bit content hash (operator 5).
 
 Rows are grouped by the hash of the whole text; of a group the wanted end of
-the ids stays.  Only groups of two or more are looked at again: their texts are
-compared byte by byte with the group's first text, and a hash whose texts
-differ (a collision) is grouped once more by the text itself.
+the ids stays.  Groups of two or more are looked at again: their texts are
+compared byte by byte (grouped by the text itself), and the rows of a hash with
+several texts (a collision) get a group for each text.
 
 Defined results: a null text counts as empty, so null and empty texts are
 equal; rows with the same doc_id and text form one group whose rows are all
@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import small_side, stored
+from murmuration.llm.common import fits, small_side, stored
 
 
 def md5_128(text: Column) -> Column:
@@ -37,16 +37,15 @@ def annotated(spark: SparkSession, documents: DataFrame, keep: str = "min",
     groups = stored(spark, whole.groupBy("_h").agg(
         best("doc_id").alias("_keep"), F.count(F.lit(1)).alias("_size")
     ).filter("_size > 1"), "hash-groups")
-    side = small_side(groups, 48)
+    size = groups.count()
+    side = small_side(groups, 48, size)
 
-    # bytes of the repeated texts, against one text of each group (a table of its
-    # own, so that the join's hot hashes can be split)
-    members = whole.join(side, "_h")
-    first = stored(spark, members.filter(F.col("doc_id").eqNullSafe(F.col("_keep")))
-                   .select("_h", F.col("text").alias("_first")).dropDuplicates(["_h"]),
-                   "group-texts")
-    differ = stored(spark, members.join(first, "_h").filter(F.col("text") != F.col("_first"))
-                    .select("_h").distinct(), "collisions")
+    # bytes inside the groups: distinct per task first, so that a text with a third
+    # of the rows arrives once a task; a hash left with several texts is a collision.
+    # Too many groups to broadcast: all texts, as a join would bring hot hashes together.
+    members = whole.join(side, "_h") if fits(size, 48) else whole
+    differ = stored(spark, members.select("_h", "text").distinct().groupBy("_h").agg(
+        F.count(F.lit(1)).alias("_texts")).filter("_texts > 1").select("_h"), "collisions")
 
     rows = documents.withColumns({"_h": content_hash(text),
                                   "_sha": F.sha2(text.cast("binary"), 256)})
@@ -57,10 +56,10 @@ def annotated(spark: SparkSession, documents: DataFrame, keep: str = "min",
         apart = rows.join(differ, "_h", "left_semi").withColumn("_text", text)
         out = out.join(differ, "_h", "left_anti").unionByName(
             apart.join(by_text, ["_h", "_text"]).drop("_text"))
-    size = F.coalesce(F.col("_size"), F.lit(1).cast("long"))
-    keep_id = F.when(size > 1, F.col("_keep")).otherwise(F.col("doc_id"))
+    count = F.coalesce(F.col("_size"), F.lit(1).cast("long"))
+    keep_id = F.when(count > 1, F.col("_keep")).otherwise(F.col("doc_id"))
     return out.withColumn("_dedup", F.struct(
-        keep_id.alias("keep_id"), size.alias("group_size"),
+        keep_id.alias("keep_id"), count.alias("group_size"),
         F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
         F.col("_sha").alias("text_sha256"))).drop("_h", "_sha", "_keep", "_size")
 

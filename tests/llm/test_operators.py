@@ -14,8 +14,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from murmuration.llm import (bpe, chat, ctw, exact, html, langid, lattice, neardup, packing, quality,
-                             shards)
+from murmuration.llm import (bpe, chat, common, ctw, exact, html, langid, lattice, neardup, packing,
+                             quality, shards)
 from murmuration.llm.common import text_bytes, word_bounds, word_hashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, n long"
@@ -235,6 +235,16 @@ def test_exact_groups_equal_brute_force(spark, docs, texts, bits):
         min(v) for v in groups.values())
 
 
+def test_exact_without_broadcasts(spark, docs, monkeypatch):
+    def narrow(t):
+        return F.pmod(F.xxhash64(t), F.lit(8))
+
+    want = sorted(map(tuple, exact.groups_of(spark, docs).collect()))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, exact.groups_of(spark, docs).collect())) == want
+    assert sorted(map(tuple, exact.groups_of(spark, docs, content_hash=narrow).collect())) == want
+
+
 def test_exact_of_odd_tables(spark, empty, nulls):
     assert exact.groups_of(spark, empty).count() == 0
     kept = exact.keep_first(spark, nulls).collect()
