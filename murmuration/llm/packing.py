@@ -8,7 +8,9 @@ they are, the remainder is packed best-fit; pieces are then ranked inside their
 length bin and take the places that the patterns hold for that bin.
 
 The histogram and the patterns, both bounded by the bins, are handled in one
-task; nothing else meets in one place.  Defined results: a null or empty text is one piece, the closing id
+task; nothing else meets in one place.  Ids are those of the tokenizer file: its
+added tokens are matched in the text and cut it; only what lies between is
+encoded.  Defined results: a null or empty text is one piece, the closing id
 alone; a document longer than WINDOW is cut into full pieces and a rest;
 repeated rows are packed each; an empty table gives an empty result; other
 columns of the input are not read.
@@ -16,6 +18,8 @@ columns of the input are not read.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,16 +42,50 @@ UNIT = 8
 CLOSING_ID = 1
 BUCKETS = 256  # rank buckets of a length bin
 
+
+def added_tokens(path: str) -> dict[bytes, int]:
+    """Id of every token that the tokenizer file matches in plain text."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"].encode(): t["id"] for t in json.load(f)["added_tokens"]}
+
+
+ADDED = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin int")
 
 
+def encode(encoder: bpe.Encoder, data: np.ndarray, offsets: np.ndarray,
+           added: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the texts and the n+1 offsets of their ids; an added token is one id."""
+    raw = data.tobytes()
+    found = []
+    if any(t in raw for t in added):
+        either = re.compile(b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)))
+        found = [(m.start(), m.end(), added[m.group()])
+                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())
+                 for m in either.finditer(raw, a, b)]
+    if not found:
+        return encoder.encode(data, offsets)
+    starts, ends, own = (np.array(x, np.int64) for x in zip(*found))
+    bounds = np.sort(np.concatenate([offsets, starts, ends]))
+    ids, at = encoder.encode(data, bounds)
+    one = np.isin(bounds[:-1], starts) & (np.diff(bounds) > 0)  # the parts that are an added token
+    length = np.diff(at)
+    keep = np.repeat(~one, length)
+    keep[at[:-1][one]] = True
+    ids[at[:-1][one]] = own
+    at = np.concatenate([[0], np.cumsum(np.where(one, 1, length))])
+    return ids[keep], at[np.searchsorted(bounds, offsets)]
+
+
 def pieces(documents: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
-           window: int = WINDOW, unit: int = UNIT) -> DataFrame:
+           window: int = WINDOW, unit: int = UNIT,
+           added: dict[bytes, int] = ADDED) -> DataFrame:
     """One row per token piece of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.load(ranks, pattern)
         for batch in slices(batches, "text"):
-            ids, ends = encoder.encode(*text_bytes(batch.column(1)))
+            ids, ends = encode(encoder, *text_bytes(batch.column(1)), added)
             ids = ids.astype("<u4")
             size = np.diff(ends) + 1  # with the closing id
             count = -(-size // window)

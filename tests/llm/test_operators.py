@@ -313,6 +313,25 @@ def test_bpe_equals_whole_texts():
         assert ids[a:b].tolist() == encoder.own.encode_ordinary(t)
 
 
+def test_packing_matches_added_tokens(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    own = ["a" + end + "b", end, end * 3, "x  " + end + " y\n" + end, end + "\n\n z", "no token", "",
+           "<|endo", "ftext|> cut by a bound", "<|endoftext |>", "<" + end + ">", ("é 日 " + end) * 700]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in own]
+    assert want[0] == [64, 50256, 65]
+    encoder = bpe.load(packing.RANKS, packing.PATTERN)
+    ids, ends = packing.encode(encoder, *text_bytes(pa.array(own)), packing.ADDED)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
+    df = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")
+    for r in packing.pieces(df).collect():
+        part = [*want[r["doc_id"]], 1][r["start"]:r["start"] + r["length"]]
+        assert (r["doc_tokens"], r["length"]) == (len(want[r["doc_id"]]) + 1, len(part))
+        assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+
+
 # --- 7 language
 
 def test_gradients_match_differences():
