@@ -15,6 +15,10 @@ from murmuration.llm import exact, langid, neardup, packing, quality
 from murmuration.llm.common import small_side, stored, table
 
 
+#: Documents whose sets of five-word shingles are as similar, in percent, are one.
+NEAR_PERCENT = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the threshold table."""
     return quality.keep_good(docs)
@@ -35,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without an id are linked with nothing, so they stay.
     """
-    found = neardup.near_duplicates(spark, docs.select("doc_id", "text"))
+    found = neardup.near_duplicates(spark, docs.select("doc_id", "text"), percent=NEAR_PERCENT)
     gone = stored(spark, found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(),
                   "near-copies")
     return docs.join(small_side(gone, 8), F.col("doc_id") == F.col("_gone"), "left_anti")

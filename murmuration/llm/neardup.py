@@ -5,8 +5,9 @@ documents whose signatures differ in at most ``DISTANCE`` symbols agree, in at
 least one of the ``CHUNKS`` chunks, on all but DISTANCE // CHUNKS = 1 symbol
 (pigeonhole).  Each document is therefore filed under every chunk with each one
 symbol left out (the allowed error, enumerated): two documents within the
-distance meet under at least one key.  At a similarity of 0.85 a signature
-exceeds the distance with probability below 1e-4; such a pair may still meet.
+distance meet under at least one key.  The three values follow from the
+similarity asked for (``scheme``): a pair at it exceeds the distance with
+probability below ``MISS``; such a pair may still meet.
 
 Documents with equal shingle sets are one class, joined through its least id.
 Under a key, every class is checked on full sets against the least one (a star,
@@ -22,6 +23,7 @@ empty result; other columns of the input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -38,14 +40,31 @@ ship_by_value(__name__)
 
 WORDS = 5
 PERCENT = 85
-SYMBOLS = 32
-CHUNKS = 7
-DISTANCE = 13
+SYMBOLS, CHUNKS, DISTANCE = 32, 7, 13  # what PERCENT needs
+MISS = 1e-4
 BLOCK = 128  # classes compared with a block of as many
 
 SIGNATURE_SCHEMA = ("doc_id long, n_shingles long, set_a long, set_b long, keys array<long>")
 
 
+def miss_probability(percent: int, count: int, distance: int) -> float:
+    """Of a pair at the similarity: that more than ``distance`` of ``count`` symbols differ."""
+    p = percent / 100
+    return sum(comb(count, k) * (1 - p) ** k * p ** (count - k)
+               for k in range(distance + 1, count + 1))
+
+
+def scheme(percent: int) -> tuple[int, int, int]:
+    """Symbols, chunks and distance whose miss probability is below MISS: the
+    fewest symbols, then chunks, with the longest keys that allow it."""
+    for least in (4, 3, 2):  # symbols of a chunk; a key holds one less
+        for count in range(32, 257, 4):
+            for chunks in range(1, count // least + 1):
+                if miss_probability(percent, count, 2 * chunks - 1) < MISS:
+                    return count, chunks, 2 * chunks - 1
+    raise ValueError(f"no signature for a similarity of {percent} %")
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct 64-bit shingle hashes of every text."""
     data = lowered(data)
@@ -98,13 +117,15 @@ def chunk_keys(signatures: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
         return mix(np.stack(out, axis=1))
 
 
-def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
+def signatures(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Set size, 128-bit set digest and index keys of every document."""
+    count, chunks, _ = scheme(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in slices(batches, "text", 4 << 20):
                 sets = shingle_sets(*text_bytes(batch.column(1)), words)
-                keys = chunk_keys(np.array([symbols(s) for s in sets], np.uint64))
+                keys = chunk_keys(np.array([symbols(s, count) for s in sets], np.uint64), chunks)
                 size = np.array([len(s) for s in sets], np.int64)
                 a = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
                 b = np.array([mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
@@ -198,7 +219,7 @@ def near_duplicates(spark: SparkSession, documents: DataFrame, words: int = WORD
                     percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sig = stored(spark, signatures(docs, words), "signatures")
+    sig = stored(spark, signatures(docs, words, percent), "signatures")
     usable = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
 
     # classes of equal sets: partial aggregates keep a class with a third of the rows cheap

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from murmuration.llm import langid, neardup, quality, registry
 
@@ -52,6 +54,36 @@ def test_stages(spark):
         docs = got
 
 
+def test_near_dedup_links_pairs_from_80_percent(spark):
+    words = [f"w{i}" for i in range(204)]  # 200 shingles
+    tails = {1: 0, 2: 20, 3: 22, 4: 26, 5: 60}  # words replaced at the end, each by one of its own
+    rows = [(i, " ".join(words[:204 - k] + [f"x{i}y{j}" for j in range(k)])) for i, k in tails.items()]
+    near = {i for i, k in tails.items() if 5 * (200 - k) >= 4 * (200 + k)}
+    assert near == {1, 2, 3} and 100 * 178 < 85 * 222  # the third at 0.802
+    rows += [(6, "z " * 30), (7, " ".join(f"q{i}" for i in range(90)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert got == {1, 4, 5, 6, 7}
+
+
+def test_near_dedup_signatures_suit_the_similarity():
+    assert neardup.scheme(85) == (neardup.SYMBOLS, neardup.CHUNKS, neardup.DISTANCE)
+    for percent in (50, 60, 70, 80, 85, 90, 100):
+        count, chunks, distance = neardup.scheme(percent)
+        assert neardup.miss_probability(percent, count, distance) < 1e-4 and distance < 2 * chunks
+        assert count >= 2 * chunks
+    assert neardup.miss_probability(80, neardup.SYMBOLS, neardup.DISTANCE) > 1e-3
+    # pairs at the distance meet
+    count, chunks, distance = neardup.scheme(corpus_pipeline.NEAR_PERCENT)
+    rng = np.random.default_rng(0)
+    one = rng.integers(0, 65536, (300, count)).astype(np.uint64)
+    two = one.copy()
+    for row in two:
+        row[rng.choice(count, distance, replace=False)] += np.uint64(1)
+    assert all(set(a) & set(b) for a, b in zip(neardup.chunk_keys(one, chunks),
+                                               neardup.chunk_keys(two, chunks)))
+
+
 def test_empty_documents(spark):
     docs = documents(spark).limit(0)
     for _, stage in corpus_pipeline.STAGES:
