@@ -6,12 +6,14 @@ the 0 to ``DEPTH`` bytes before it; a Krichevsky-Trofimov estimate stands at
 each context, and the weights mix them over all depths:
 ``Pw = (Pe + product of the children's Pw) / 2``.
 
-The (DEPTH+1)-gram counts of all training texts are gathered by a shuffle.  The
-tree holds all contexts of depth 0 and 1, and of the deeper ones those seen
-``T`` times or more, T being the least power of two that leaves at most
-``NODES`` of them; the other contexts below a node are one child together
-(``rest``), so every symbol is still counted.  NODES bounds the model that is
-broadcast (2 KB a node), whatever the corpus.
+Every context of the training texts is in the tree.  Texts are dealt into slices
+of bounded size; the distinct (DEPTH+1)-grams of all slices, with their training
+counts, are grouped by the ``BASE`` bytes before the symbol.  A group holds the
+tree from depth BASE down and is weighted in one piece (at most 256 ** (DEPTH -
+BASE + 1) grams, whatever the corpus); its (context, bit node) rows are summed
+to depths BASE-1 ... 0 by aggregates, and the mixtures come back down by joins.
+That gives a log probability for each distinct gram, which goes to the slices
+that hold the gram and is summed there over each text.
 
 The base score is add-one over words.  Words with 1 / ``FREQUENT`` of all
 tokens (at most FREQUENT of them) are broadcast; the rest meet their counts in
@@ -30,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +43,9 @@ from murmuration.llm.common import (lowered, slices, stored, text_bytes, word_bo
 ship_by_value(__name__)
 
 DEPTH = 5
-NODES = 1 << 15
+BASE = 3
+SLICE = 24 << 20  # bytes of text that share the scores of their distinct grams
+PART = 1 << 20    # bytes of text handled at once
 FREQUENT = 1 << 20
 CLOSE = 10  # the closing symbol; also what precedes a text
 
@@ -91,6 +96,15 @@ def gram_codes(symbols: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarra
     return code
 
 
+def gram_keys(symbols: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
+    """The same with the newest symbol of the context highest: sorted keys hold
+    the contexts of every depth together."""
+    key = symbols.astype(np.int64)
+    for d, c in enumerate(before(symbols, bounds, depth), 1):
+        key |= c.astype(np.int64) << (8 * (depth - d + 1))
+    return key
+
+
 def held_out(doc_id: Column, mod: int = 7, rest: int = 2) -> Column:
     key = F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")
     return F.crc32(key) % mod == rest
@@ -102,23 +116,58 @@ def _texts(documents: DataFrame) -> DataFrame:
                             F.xxhash64("text").alias("row_key"), "text")
 
 
-def counts(documents: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, code, n): grams (kind 0) and word hashes (kind 1) of the training
-    texts, summed per slice of texts and then by shuffle."""
+SLICED = "slice long, doc_id long, held_out boolean, row_key long, text string"
+
+
+def sliced(documents: DataFrame) -> DataFrame:
+    """The texts with the number of their slice; to be stored before use."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            data, offsets = text_bytes(batch.column(0))
-            codes, n = np.unique(gram_codes(*streams(data, offsets), depth), return_counts=True)
-            starts, ends = word_bounds(data, offsets)
-            words, m = np.unique(word_hashes(lowered(data), starts, ends), return_counts=True)
-            for kind, code, count in ((0, codes, n), (1, words.view(np.int64), m)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(code), kind, np.int32)), pa.array(code), pa.array(count)],
-                    names=["kind", "code", "n"])
+        first = TaskContext.get().partitionId() << 32
+        for k, batch in enumerate(slices(batches, "text", SLICE)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(batch.num_rows, first + k)), *batch.columns],
+                names=[f.split()[0] for f in SLICED.split(", ")])
+
+    return _texts(documents).mapInArrow(run, SLICED)
 
-    train = _texts(documents).filter(~F.col("held_out")).select("text")
-    return (train.mapInArrow(run, "kind int, code long, n long")
-            .groupBy("kind", "code").agg(F.sum("n").alias("n")))
+
+def counts(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(kind, slice, code, n): distinct grams (kind 0) and training words' hashes
+    (kind 1) of each slice, with their numbers in its training texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            own = whole.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), len(own)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                keys, n, words = [], [], []
+                for batch in slices(iter([whole.slice(a, b - a)]), "text", PART):
+                    held = batch.column(1).to_numpy(zero_copy_only=False)
+                    data, offsets = text_bytes(batch.column(2))
+                    symbols, bounds = streams(data, offsets)
+                    part = gram_keys(symbols, bounds, depth) * 2 + np.repeat(held, np.diff(bounds))
+                    part, count = np.unique(part, return_counts=True)
+                    keys.append(part)
+                    n.append(np.where(part & 1, 0, count))
+                    starts, ends = word_bounds(data, offsets)
+                    train = ~np.repeat(held, np.diff(np.searchsorted(starts, offsets)))
+                    words.append(word_hashes(lowered(data), starts, ends)[train])
+                keys = np.concatenate(keys) >> 1
+                order = np.argsort(keys)
+                keys, n = keys[order], np.concatenate(n)[order]
+                first = np.flatnonzero(np.diff(keys, prepend=-1))
+                keys, n = keys[first], np.add.reduceat(n, first)
+                words, m = np.unique(np.concatenate(words), return_counts=True)
+                for kind, code, count in ((0, keys, n), (1, words.view(np.int64), m)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(code), kind, np.int32)),
+                         pa.array(np.full(len(code), own[a])), pa.array(code),
+                         pa.array(count.astype(np.int64))],
+                        names=["kind", "slice", "code", "n"])
+
+    return texts.select("slice", "held_out", "text").mapInArrow(
+        run, "kind int, slice long, code long, n long")
 
 
 # --- the tree ----------------------------------------------------------------------
@@ -229,18 +278,24 @@ def log_probabilities(levels: list[Level]) -> list[np.ndarray]:
 
 
 @dataclass
-class Model:
-    """What scoring needs: a step table per depth and one row of symbol scores per context."""
+class Words:
+    """What the base score needs."""
 
-    steps: list[np.ndarray]  # steps[d][row * 256 + older symbol] -> row of depth d+1, or -1
-    first: list[int]         # first table row of each depth
-    table: np.ndarray        # (contexts, 256) log10 probabilities
     tokens: int
     distinct: int
     closings: int            # training texts
     hashes: np.ndarray       # frequent words, sorted
     seen: np.ndarray         # and their counts
 
+
+@dataclass
+class Model(Words):
+    """A small tree in memory: a step table per depth and one row of symbol scores per context."""
+
+    steps: list[np.ndarray]  # steps[d][row * 256 + older symbol] -> row of depth d+1, or -1
+    first: list[int]         # first table row of each depth
+    table: np.ndarray        # (contexts, 256) log10 probabilities
+
     def rows(self, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Table row of the longest context in the tree for every symbol."""
         at = np.zeros(len(symbols), np.int32)
@@ -271,51 +326,201 @@ def make_model(rows: list[tuple[np.ndarray, np.ndarray]], **words) -> Model:
         step[child.parent * 256 + (child.codes >> (8 * d))] = np.arange(len(child.codes))
         steps.append(step)
     first = np.concatenate([[0], np.cumsum([len(v.codes) for v in levels])]).astype(int)
-    return Model(steps, first.tolist(), np.concatenate(own), **words)
-
-
-def _tree_contexts(spark: SparkSession, grams: DataFrame, depth: int, nodes: int) -> DataFrame:
-    """(depth, context) of the tree's nodes of depth 2 and more, at most ``nodes``."""
-    deepest = stored(spark, grams.groupBy(F.shiftright("code", 8).alias("context"))
-                     .agg(F.sum("n").alias("n")), "contexts")
-    levels = F.explode(F.array(*[
-        F.struct(F.lit(d).alias("depth"), F.col("context").bitwiseAND((1 << (8 * d)) - 1).alias("context"))
-        for d in range(2, depth + 1)])).alias("c")
-    seen = stored(spark, deepest.select("n", levels).groupBy("c.depth", "c.context").agg(
-        F.sum("n").alias("n")), "all-contexts")
-    by_power = {r["p"]: r["k"] for r in seen.groupBy(
-        F.floor(F.log2("n")).cast("int").alias("p")).agg(F.count(F.lit(1)).alias("k")).collect()}
-    power = next(p for p in range(64) if sum(k for q, k in by_power.items() if q >= p) <= nodes)
-    return seen.filter(F.floor(F.log2("n")).cast("int") >= power).select("depth", "context")
-
-
-def train(spark: SparkSession, documents: DataFrame, depth: int = DEPTH,
-          nodes: int = NODES, frequent: int = FREQUENT) -> tuple[Model, DataFrame]:
-    """The model, and the stored counts (kind, code, n)."""
-    table = stored(spark, counts(documents, depth), "counts")
-    closings = _texts(documents).filter(~F.col("held_out")).count()
-    total = table.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"))
-    sums = {r["kind"]: (r["n"], r["v"]) for r in total.collect()}
-    grams = table.filter("kind = 0").select("code", "n")
-    kept = _tree_contexts(spark, grams, depth, nodes)
-    rows = []
-    for d in range(depth + 1):
-        own = grams.withColumn("code", F.col("code").bitwiseAND((1 << (8 * d + 8)) - 1))
-        if d > 1:  # at most `nodes` contexts
-            own = own.join(F.broadcast(kept.filter(F.col("depth") == d)),
-                           F.shiftright("code", 8) == F.col("context"), "left_semi")
-        got = own.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-        rows.append((got["code"].to_numpy(), got["n"].to_numpy().astype(np.float64)))
-    if len(rows[0][0]) == 0:  # no training text: a root without counts
-        rows = [(np.zeros(1, np.int64), np.zeros(1))] + [(np.zeros(0, np.int64), np.zeros(0))] * depth
-    n_words, v_words = sums.get(1, (0, 0))
-    tokens, distinct = n_words + closings, v_words + (closings > 0)
-    words = table.filter("kind = 1").filter(
-        F.col("n") >= -(-tokens // frequent)).select("code", "n").toArrow()  # at most `frequent` rows
+    return Model(steps=steps, first=first.tolist(), table=np.concatenate(own), **words)
+
+
+# --- the tree over all grams, group by group ----------------------------------------
+
+class Group:
+    """Grams (sorted keys and counts) below whole contexts of depth ``base``.
+
+    A bit node of a context is the bits of the symbol decided so far; only nodes
+    that a gram passes are held.
+    """
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, depth: int, base: int) -> None:
+        self.depth, self.base = depth, base
+        self.keys, self.n, self.up = {depth: keys}, {depth: n}, {}
+        for d in range(depth - 1, base - 1, -1):  # without the oldest symbol
+            own = self.keys[d + 1]
+            self.keys[d], self.up[d + 1] = np.unique(own >> 16 << 8 | own & 255, return_inverse=True)
+            self.n[d] = np.bincount(self.up[d + 1], weights=self.n[d + 1])
+
+    def weigh(self, bit: int) -> None:
+        """For each depth the nodes at a bit: value, zeros, ones, log Pw, the weight of
+        the own estimate, the row of the parent's node, and each gram's node."""
+        self.value, self.zeros, self.ones, self.log_pw = {}, {}, {}, {}
+        self.weight, self.parent, self.node = {}, {}, {}
+        below = None
+        for d in range(self.depth, self.base - 1, -1):
+            value = self.keys[d] >> (8 - bit)
+            new = np.diff(value, prepend=-1) != 0
+            first = np.flatnonzero(new)
+            self.value[d], self.node[d] = value[first], np.cumsum(new) - 1
+            one = (self.keys[d] >> (7 - bit) & 1).astype(bool)
+            self.ones[d] = np.add.reduceat(np.where(one, self.n[d], 0), first)
+            self.zeros[d] = np.add.reduceat(np.where(one, 0, self.n[d]), first)
+            own = log_kt(self.zeros[d], self.ones[d])
+            if d == self.depth:
+                self.log_pw[d], self.weight[d] = own, np.ones(len(own))
+            else:
+                self.parent[d + 1] = self.node[d][self.up[d + 1][below]]
+                inner = np.bincount(self.parent[d + 1], weights=self.log_pw[d + 1])
+                self.log_pw[d], self.weight[d] = _mix(own, inner)
+            below = first
+
+    def mixed(self, mixed: np.ndarray, free: np.ndarray) -> np.ndarray:
+        """Log10 of each gram's decision, from what the depths above ``base`` give its node."""
+        for d in range(self.base, self.depth + 1):
+            if d > self.base:
+                mixed, free = mixed[self.parent[d]], free[self.parent[d]]
+            one = (self.ones[d] + 0.5) / (self.zeros[d] + self.ones[d] + 1)
+            mixed = mixed + free * self.weight[d] * one
+            free = free * (1 - self.weight[d])
+        return np.clip(mixed, 1e-12, 1 - 1e-12)[self.node[self.depth]]
+
+
+def _mix(own: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log Pw of a node with children, and the weight of its own estimate."""
+    total = np.logaddexp(own, inner) - np.log(2)
+    return total, np.exp(own - np.log(2) - total)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], shift: int,
+                 least: int = 1 << 18) -> Iterator[pa.Table]:
+    """Rows sorted by their first column as tables of about ``least`` rows; rows
+    that are equal but for the last ``shift`` bits of it stay together."""
+    held, rows, wanted = [], 0, least
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= wanted:
+            table = pa.Table.from_batches(held).combine_chunks()
+            group = table.column(0).to_numpy() >> shift
+            at = int(np.searchsorted(group, group[-1]))
+            if at:
+                yield table.slice(0, at)
+            held, rows = table.slice(at).to_batches(), table.num_rows - at
+            wanted = max(least, 2 * rows)
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+NODE_ROWS = "context long, node int, zeros double, ones double, below double"
+WEIGHED = "context long, node int, zeros double, ones double, log_pw double, weight double"
+
+
+def base_nodes(grams: DataFrame, depth: int, base: int) -> DataFrame:
+    """Zeros, ones and log Pw of every (context of depth ``base``, bit node)."""
+    shift = 8 * (depth - base + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, shift):
+            group = Group(table["code"].to_numpy(), table["n"].to_numpy(), depth, base)
+            for bit in range(8):
+                group.weigh(bit)
+                value = group.value[base]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(value >> bit),
+                     pa.array(((value & ((1 << bit) - 1)) + (1 << bit)).astype(np.int32)),
+                     pa.array(group.zeros[base].astype(float)),
+                     pa.array(group.ones[base].astype(float)), pa.array(group.log_pw[base])],
+                    names=[f.split()[0] for f in NODE_ROWS.split(", ")])
+
+    own = grams.select("code", "n").repartition(F.shiftright("code", shift))
+    return own.sortWithinPartitions("code").mapInArrow(run, NODE_ROWS)
+
+
+def shorter(nodes: DataFrame, value: str) -> DataFrame:
+    """The nodes' parents, one symbol shorter, with their log Pw and weight."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            zeros, ones, below = (batch.column(k).to_numpy() for k in (2, 3, 4))
+            total, weight = _mix(log_kt(zeros, ones), below)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(total), pa.array(weight)],
+                names=[f.split()[0] for f in WEIGHED.split(", ")])
+
+    return nodes.groupBy(F.shiftright("context", 8).alias("context"), "node").agg(
+        F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"),
+        F.sum(value).alias("below")).mapInArrow(run, WEIGHED)
+
+
+def gram_scores(heads: DataFrame, grams: DataFrame, depth: int, base: int) -> DataFrame:
+    """(code, log10 probability of the symbol) of every gram."""
+    shift = 8 * (depth - base + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, shift):
+            code, n, mixed, free = (table.column(k).to_numpy() for k in range(4))
+            head = n < 0
+            node, at = code[head] & 255, code[head] >> shift
+            mixed, free, code = mixed[head], free[head], code[~head]
+            group = Group(code, n[~head], depth, base)
+            logs = np.zeros(len(code))
+            for bit in range(8):
+                group.weigh(bit)
+                own = np.flatnonzero(node >> bit == 1)
+                value = (at[own] << bit) + node[own] - (1 << bit)
+                order = np.argsort(value)
+                if not np.array_equal(value[order], group.value[base]):
+                    raise ValueError("a node without its parent's mixture")
+                one = group.mixed(mixed[own][order], free[own][order])
+                logs += np.log10(np.where(code >> (7 - bit) & 1, one, 1 - one))
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(logs.astype(np.float32))], names=["code", "log"])
+
+    none = F.lit(0.0)
+    rows = grams.select("code", "n", none.alias("mixed"), none.alias("free"))
+    first = heads.select((F.shiftleft("context", shift) + F.col("node")).alias("code"),
+                         F.lit(-1).cast("long").alias("n"), "mixed", "free")
+    return rows.unionByName(first).repartition(F.shiftright("code", shift)).sortWithinPartitions(
+        "code").mapInArrow(run, "code long, log float")
+
+
+def log_table(spark: SparkSession, grams: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(code, log) of every distinct gram, from the tree over all of them.
+
+    ``grams``: a stored table of code and number in the training texts.
+    """
+    base = min(BASE, depth)
+    nodes = stored(spark, base_nodes(grams, depth, base), "nodes")
+    levels, value = [nodes], "below"
+    for d in range(base):
+        levels.append(stored(spark, shorter(levels[-1], value), f"nodes-{base - 1 - d}"))
+        value = "log_pw"
+    heads = levels[0].select("context", "node", F.lit(0.0).alias("mixed"), F.lit(1.0).alias("free"))
+    above = None
+    for level in reversed(levels[1:]):  # depth 0 first
+        share = F.col("free") * F.col("weight")
+        if above is None:
+            own = level.withColumn("mixed", F.lit(0.0)).withColumn("free", F.lit(1.0))
+        else:
+            own = _below(level, above)
+        above = own.select(
+            "context", "node",
+            (F.col("mixed") + share * (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1))
+            .alias("mixed"), (F.col("free") - share).alias("free"))
+    if above is not None:
+        heads = _below(levels[0], above).select("context", "node", "mixed", "free")
+    return gram_scores(heads, grams, depth, base)
+
+
+def _below(level: DataFrame, above: DataFrame) -> DataFrame:
+    """The nodes of a depth with the mixture of their parents."""
+    up = above.withColumnsRenamed({"context": "_up", "node": "_node"})
+    return level.join(up, (F.shiftright("context", 8) == F.col("_up"))
+                      & (F.col("node") == F.col("_node")))
+
+
+def frequent_words(table: DataFrame, closings: int, frequent: int = FREQUENT) -> Words:
+    """The frequent words, at most ``frequent`` of them, of a stored table of code and n."""
+    n, v = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    tokens, distinct = n + closings, v + (closings > 0)
+    words = table.filter(F.col("n") >= -(-tokens // frequent)).toArrow()
     hashes = words["code"].to_numpy()
     order = np.argsort(hashes)
-    return make_model(rows, tokens=tokens, distinct=distinct, closings=closings, hashes=hashes[order],
-                      seen=words["n"].to_numpy()[order].astype(np.int64)), table
+    return Words(tokens=tokens, distinct=distinct, closings=closings, hashes=hashes[order],
+                 seen=words["n"].to_numpy()[order].astype(np.int64))
 
 
 # --- scores --------------------------------------------------------------------------
@@ -324,7 +529,7 @@ SCORE_SCHEMA = ("doc_id long, held_out boolean, row_key long, n_tokens long, kno
                 "base double, n_rare long, score double")
 
 
-def _find(model: Model, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _find(model: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts of the words among the frequent ones, and whether they are there."""
     if len(model.hashes) == 0:
         return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
@@ -334,16 +539,29 @@ def _find(model: Model, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def score(spark: SparkSession, documents: DataFrame, depth: int = DEPTH,
-          nodes: int = NODES, frequent: int = FREQUENT) -> DataFrame:
+          frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    model, table = train(spark, documents, depth, nodes, frequent)
+    texts = stored(spark, sliced(documents), "slices")
+    table = stored(spark, counts(texts, depth), "counts")
+
+    def summed(kind: int, name: str) -> DataFrame:
+        return stored(spark, table.filter(F.col("kind") == kind).groupBy("code").agg(
+            F.sum("n").alias("n")), name)
+
+    words, grams = summed(1, "words"), summed(0, "grams")
+    model = frequent_words(words, texts.filter("NOT held_out").count(), frequent)
+    logs = stored(spark, log_table(spark, grams, depth), "logs")
     shared = spark.sparkContext.broadcast(model)
     norm = float(model.tokens + model.distinct + 1)
 
-    def per_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def per_text(texts: pa.Table, logs: pa.Table) -> pa.Table:
         m = shared.value
-        for batch in slices(batches, "text", 8 << 20):
-            data, offsets = text_bytes(batch.column(3))
+        code, log = logs["code"].to_numpy(), logs["log"].to_numpy()
+        order = np.argsort(code)
+        code, log = code[order], log[order]
+        out = []
+        for batch in slices(iter(texts.combine_chunks().to_batches()), "text", PART):
+            data, offsets = text_bytes(batch["text"])
             starts, ends = word_bounds(data, offsets)
             count, there = _find(m, word_hashes(lowered(data), starts, ends).view(np.int64))
             first = np.searchsorted(starts, offsets)
@@ -352,17 +570,23 @@ def score(spark: SparkSession, documents: DataFrame, depth: int = DEPTH,
                 run = np.concatenate([[0], np.cumsum(x)])
                 return run[first[1:]] - run[first[:-1]]
 
-            logs = np.where(there, np.log10((count + 1) / norm), 0.0)
+            base = np.where(there, np.log10((count + 1) / norm), 0.0)
             doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            base = np.bincount(doc, weights=logs, minlength=len(first) - 1)
+            base = np.bincount(doc, weights=base, minlength=len(first) - 1)
+            symbols, bounds = streams(data, offsets)
+            keys = gram_keys(symbols, bounds, depth)
+            own = np.minimum(np.searchsorted(code, keys), len(code) - 1)
+            if not np.array_equal(code[own], keys):
+                raise ValueError("a gram without its score")
             columns = [pa.array(np.diff(first) + 1),
                        pa.array(per_doc(there.astype(np.int64)) + (m.closings > 0)),
                        pa.array(base + np.log10((m.closings + 1) / norm)),
                        pa.array(per_doc((~there).astype(np.int64))),
-                       pa.array(m.scores(*streams(data, offsets)))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *columns],
-                names=[f.split()[0] for f in SCORE_SCHEMA.split(", ")])
+                       pa.array(np.add.reduceat(log[own].astype(np.float64), bounds[:-1]))]
+            out.append(pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["held_out"], batch["row_key"], *columns],
+                names=[f.split()[0] for f in SCORE_SCHEMA.split(", ")]))
+        return pa.Table.from_batches(out)
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 8 << 20):
@@ -377,11 +601,12 @@ def score(spark: SparkSession, documents: DataFrame, depth: int = DEPTH,
                 [batch.column(0).take(doc), batch.column(2).take(doc), pa.array(hashes[~there])],
                 names=["doc_id", "row_key", "code"])
 
-    texts = _texts(documents)
-    scored = texts.mapInArrow(per_text, SCORE_SCHEMA)
+    met = table.filter("kind = 0").select("slice", "code").join(logs, "code")
+    scored = texts.groupBy("slice").cogroup(met.groupBy("slice")).applyInArrow(per_text, SCORE_SCHEMA)
+    rows = texts.select("doc_id", "held_out", "row_key", "text")
     # no frequent word is here, so no code is a hot key
-    met = texts.mapInArrow(rare_words, "doc_id long, row_key long, code long").join(
-        table.filter("kind = 1").select("code", "n"), "code", "left")
+    met = rows.mapInArrow(rare_words, "doc_id long, row_key long, code long").join(
+        words, "code", "left")
     n = F.coalesce("n", F.lit(0))
     rare = met.groupBy("doc_id", "row_key").agg(
         F.count(F.lit(1)).alias("words"), F.count("n").alias("found"),

@@ -508,6 +508,30 @@ def test_tree_predicts_as_the_weighted_probability():
     assert np.allclose((10.0 ** model.table).sum(axis=1), 1, atol=1e-5)
 
 
+def test_scores_follow_the_tree_of_all_contexts(spark):
+    """More contexts than a model of bounded size would hold; equal to one tree in memory."""
+    rng = np.random.default_rng(7)
+    letters = list("abcdefghijklmnopqrstuvwxyzé ")
+    own = [(i, "".join(rng.choice(letters, 900))) for i in range(16)] + [(16, None), (17, "ab ab ab")]
+    own += [(100 + i, own[i][1][:300] + " new ßtail") for i in range(16)]
+    df = spark.createDataFrame(own, "doc_id long, text string").repartition(3)
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in own}
+    assert any(held.values())
+    train = ctw.streams(*text_bytes(pa.array([t for i, t in own if not held[i]], pa.string())))
+    codes = ctw.gram_codes(*train, ctw.DEPTH)
+    rows = []
+    for d in range(ctw.DEPTH + 1):
+        g, n = np.unique(codes & ((1 << (8 * d + 8)) - 1), return_counts=True)
+        rows.append((g, n.astype(float)))
+    assert sum(len(np.unique(g >> 8)) for g, _ in rows[2:]) > 32768
+    model = ctw.make_model(rows, tokens=1, distinct=1, closings=1, hashes=np.zeros(0), seen=np.zeros(0))
+    want = model.scores(*ctw.streams(*text_bytes(pa.array([t for _, t in own], pa.string()))))
+    got = {r["doc_id"]: r["score"] for r in ctw.score(spark, df).collect()}
+    assert len(got) == len(own)
+    for (i, _), score in zip(own, want):
+        assert abs(got[i] - score) < 1e-5 * abs(score)
+
+
 def test_scores_of_odd_tables(spark, empty, nulls):
     assert ctw.score(spark, empty).count() == 0
     assert ctw.score(spark, nulls).count() == 5
