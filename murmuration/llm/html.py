@@ -3,7 +3,9 @@
 Each text block passes points for its length and its commas to its ancestors;
 a container's points are discounted by its link density.  The best container
 (or the article or main element around it) and its good siblings are kept,
-less what tags, roles and class names mark as page furniture.
+less what tags and roles mark as page furniture.  A class or id name (and a form)
+only makes a block a candidate: it is kept where it holds an article or main
+element or half of the page's text, and headings are no candidates.
 
 Defined results: null, empty or text-less html gives an empty text; markup may
 be unclosed or stray; a page is handled as a whole, whatever its length;
@@ -33,7 +35,7 @@ INLINE = frozenset(
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 DROPPED = frozenset(
     "script style noscript template iframe object embed svg canvas math head title nav footer "
-    "aside form button select textarea input dialog menu audio video map".split())
+    "aside button select textarea input dialog menu audio video map".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
@@ -51,6 +53,12 @@ FURNITURE_NAMES = frozenset(
     "subscription signup login sidebar side aside widget widgets related recommended "
     "recommendations share sharing social menu nav navbar navigation topbar toolbar masthead "
     "footer pagination pager skip hidden".split())
+COMMENT_NAMES = frozenset("comment comments commentlist disqus replies respond".split())
+LAYOUT_NAMES = frozenset("has no with without is not hide show".split())  # has-sidebar, no-comments
+SLUG_NAMES = frozenset(  # furniture as a class, but usual as the id of an article's section
+    "discussion notice notices related recommended recommendations alert social share sharing "
+    "side promotion subscription menu consent banner advertising advertisement".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TAG_POINTS = {"article": 25.0, "main": 25.0, "div": 5.0, "section": 5.0, "td": 3.0,
               "blockquote": 3.0, "pre": 3.0, "form": -3.0, "ul": -3.0, "ol": -3.0, "li": -3.0}
 LEAVES = frozenset("p pre li td th blockquote h1 h2 h3 h4 h5 h6 dd dt figcaption".split())
@@ -60,8 +68,7 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
     r"|<[!?/][^>]*>", re.S)
 ATTRIBUTE = re.compile(
-    r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?=[\s/]|\Z))",
-    re.I)
+    r"([^\s/>=\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME = re.compile(r"[a-z]+")
 
 
@@ -70,6 +77,7 @@ class Node:
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool) -> None:
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.furnished = None
         self.points, self.chars, self.linked, self.links = TAG_POINTS.get(tag, 0.0), 0, 0, 0
 
     def up(self) -> Iterator[Node]:
@@ -82,31 +90,71 @@ class Node:
         return self.points * (1 - self.linked / self.chars) if self.chars else self.points
 
 
-def _furniture(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in DROPPED:
+def _furniture(tag: str, pairs: list[tuple[str, str]], in_article: bool) -> bool:
+    """Whether an element is page furniture whatever it holds."""
+    if tag in DROPPED or tag == "header" and not in_article:
         return True
-    if tag == "header" and not in_article:
-        return True
-    if not attributes or tag in ("html", "body"):
+    if tag in ("html", "body"):
         return False
-    for name, *values in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(values).lower()
+    for name, value in pairs:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        if name == "role" and value in FURNITURE_ROLES:
+        if name == "role" and value in FURNITURE_ROLES and tag != "form":
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name in ("class", "id"):
-            names = NAME.findall(value)
-            if tag not in ("article", "main") or "comment" in names:
-                if not FURNITURE_NAMES.isdisjoint(names):
-                    return True
-                if "header" in names and not in_article:
-                    return True
+        if name in ("class", "id") and tag in INLINE:  # part of a block, whole tokens only
+            if not (FURNITURE_NAMES - COMMENT_NAMES).isdisjoint(value.split()):
+                return True
     return False
 
 
+def _candidate(tag: str, pairs: list[tuple[str, str]], in_article: bool) -> str | None:
+    """What makes a block furniture unless it holds the page's main text."""
+    if tag in INLINE or tag in HEADINGS or tag in ("html", "body"):
+        return None
+    if tag == "form":
+        return "form"
+    for name, value in pairs:
+        for token in value.split() if name in ("class", "id") else ():
+            names = set(NAME.findall(token))
+            if not LAYOUT_NAMES.isdisjoint(names):
+                continue
+            if tag in ("article", "main"):
+                if "comment" in names:
+                    return "comment"
+                continue
+            if not COMMENT_NAMES.isdisjoint(names):
+                return "comment"
+            found = names & FURNITURE_NAMES
+            if name == "id" and tag == "section":
+                found -= SLUG_NAMES
+            if found or "header" in names and not in_article:
+                return "name"
+    return None
+
+
+def _spared(blocks: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]:
+    """The blocks below no candidate but those that hold the main text."""
+    held: dict[int, int] = {}
+    holders = set()  # of an article or main element with text
+    for node, text, _ in blocks:
+        inner = False
+        for n in node.up():
+            held[id(n)] = held.get(id(n), 0) + len(text)
+            if inner:
+                holders.add(id(n))
+            inner = inner or n.tag in ("article", "main") and n.furnished is None
+    total = sum(len(text) for _, text, _ in blocks)
+
+    def gone(n: Node) -> bool:
+        if n.furnished is None or id(n) in holders:
+            return False
+        return n.furnished == "comment" or 2 * held[id(n)] < total
+
+    return [b for b in blocks if not any(gone(n) for n in b[0].up())]
+
+
 def blocks_of(page: str) -> list[tuple[Node, str]]:
     """The text blocks of a page in order, each with the element that holds it."""
     root = Node("html", None, False)
@@ -122,11 +170,7 @@ def blocks_of(page: str) -> list[tuple[Node, str]]:
         if parts:
             text = " ".join(_html.unescape("".join(parts)).split())
             if text:
-                node = holder()
-                blocks.append((node, text))
-                for n in node.up():
-                    n.chars += text_lengths(text)
-                    n.linked += min(linked, text_lengths(text))
+                blocks.append((holder(), text, min(linked, text_lengths(text))))
         parts, linked = [], 0
 
     def close(at: int) -> None:
@@ -195,14 +239,22 @@ def blocks_of(page: str) -> list[tuple[Node, str]]:
             continue
         parent = stack[-1]
         inside = any(n.tag in ("article", "main") for n in stack)
-        dropped = parent.dropped or _furniture(tag, attributes, inside)
+        pairs = [(name.lower(), "".join(values).lower())
+                 for name, *values in ATTRIBUTE.findall(attributes)] if attributes else []
+        dropped = parent.dropped or _furniture(tag, pairs, inside)
         if tag in RAW:  # its content is not markup
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
         stack.append(Node(tag, parent, dropped))
+        stack[-1].furnished = _candidate(tag, pairs, inside)
     flush()
-    return blocks
+    blocks = _spared(blocks)
+    for node, text, own in blocks:
+        for n in node.up():
+            n.chars += text_lengths(text)
+            n.linked += own
+    return [(node, text) for node, text, _ in blocks]
 
 
 def main_text(page: str | None) -> str:

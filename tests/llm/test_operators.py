@@ -92,6 +92,30 @@ def test_html_never_fails(page):
     html.main_text(page)
 
 
+BODY = "<p>" + "A long sentence, with commas, about the matter of this page. " * 3 + "</p>"
+
+
+@pytest.mark.parametrize("page, want, unwanted", [
+    (f"<div class='has-sidebar'>{BODY}{BODY}</div>", ["A long"], []),
+    (f"<div class='page no-sidebar'><article>{BODY}</article></div>", ["A long"], []),
+    (f"<div class='content-sidebar-wrap'><div>{BODY}</div><div class='sidebar'><p>{'Bar. ' * 9}</p>"
+     "</div></div>", ["A long"], ["Bar"]),
+    (f"<article>{BODY}<section id='discussion'><h2 id='related-work'>Related</h2><p>Further, in short."
+     "</p></section><h3 id='notice'>Noted</h3></article>", ["Related", "Further", "Noted"], []),
+    (f"<body><form action='/x'>{BODY}{BODY}</form></body>", ["A long"], []),
+    (f"<article>{BODY}<form><p>Your mail</p></form></article>", ["A long"], ["mail"]),
+    ("<article>" + BODY + "<p>See <a title='Hidden Figures' href='/hidden/x'>the film</a>, a long one, "
+     "which all saw.</p></article>", ["See the film, a"], []),
+    (f"<div>{BODY}<p hidden>Secret</p><p title='a' hidden=''>Veiled</p></div>", ["A long"],
+     ["Secret", "Veiled"]),
+    (f"<div>{BODY}</div><div id='comments'>{BODY.replace('A long', 'My own') * 5}</div>", ["A long"],
+     ["My own"]),
+])
+def test_names_alone_drop_no_main_text(page, want, unwanted):
+    text = html.main_text(f"<html><body>{page}</body></html>")
+    assert all(w in text for w in want) and not any(u in text for u in unwanted)
+
+
 def test_html_table(spark):
     pages = spark.createDataFrame([(1, "u", "<p>One &lt; two</p>", 1), (2, None, None, 2)],
                                   "page_id long, url string, html string, text long")
