@@ -23,8 +23,11 @@ def in_order(df: DataFrame, order: Sequence[Column], salt: Column | None = None)
     Rows with equal keys stay in one range unless ``salt`` tells them apart; it
     must be the same each time a row is computed.
     """
-    keys = [*order] if salt is None else [*order, salt]
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    if salt is None:
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    keys = [*order, F.col("_salt")]
+    return df.withColumn("_salt", salt).repartitionByRange(*keys).sortWithinPartitions(
+        *keys).drop("_salt")
 
 
 def ranked(df: DataFrame, order: Sequence[Column], salt: Column | None = None,
