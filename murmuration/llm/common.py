@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from murmuration.functions.shipping import ship_by_value
-from murmuration.session import scratch_path
+from murmuration.session import drop_path, scratch_path
 
 ship_by_value(__name__)
 
@@ -27,7 +27,15 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     start from files that outlive any executor."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again."""
+    for df in tables:
+        drop_path(df.sparkSession, df.scratch)
 
 
 def fits(rows: int, row_bytes: int) -> bool:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import (chat, ctw, exact, html, langid, lattice, neardup, packing, quality,
-                             shards)
+from murmuration.llm import (chat, ctw, exact, fim, html, langid, lattice, neardup, packing, quality,
+                             resampling, shards, simhash)
 from murmuration.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(spark, table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"))
+
+
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    digest = [F.sha2(text.cast("binary"), 256) for text in
+              (F.col("output"), fim.restore(F.col("output"), F.col("form")))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       digest[0].alias("output_sha256"), digest[1].alias("restored_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -71,7 +88,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     own = (op1_html_extraction, op2_sharding, op3_chat_formatting, op4_sentencepiece,
            op5_exact_dedup, op6_packing, op7_language_id, op8_near_dedup, op9_lm_scoring,
-           op10_quality_rules, pipeline)
+           op10_quality_rules, op11_importance_resampling, op12_simhash_dedup, op13_fill_in_middle,
+           pipeline)
     return {q.__name__: q for q in own}
 
 
@@ -138,5 +156,62 @@ FROM b
 """
 
 
+# CRC-32 by its table, which the reflected polynomial 0xEDB88320 gives; only distinct words meet it
+OP11_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+b AS (SELECT translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark),
+step(i, k, c) AS (SELECT i, 0, i FROM range(256) r(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END
+  FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS tab FROM step WHERE k = 8),
+dw AS (SELECT doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM d),
+bw AS (SELECT unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM b),
+words AS (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+bucket AS (SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, len(x), 2), lambda i: ('0x' || x[i:i+1])::BIGINT)),
+    lambda c, o: xor(c >> 8, tab[1 + (xor(c, o) & 255)]))) % 10000 AS k FROM words, crc),
+s AS (SELECT k, count(*) AS n FROM dw JOIN bucket USING (w) GROUP BY k),
+t AS (SELECT k, count(*) AS n FROM bw JOIN bucket USING (w) GROUP BY k),
+z AS (SELECT (SELECT count(*) FROM dw) AS sn, (SELECT count(*) FROM bw) AS tn),
+g AS (SELECT k, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (sn + 10000)
+        / ((coalesce(s.n, 0) + 1)::DOUBLE * (tn + 10000))))::BIGINT AS gain
+      FROM z, s FULL JOIN t USING (k)),
+f AS (SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS total
+      FROM dw JOIN bucket USING (w) JOIN g USING (k) GROUP BY doc_id),
+v AS (SELECT doc_id, coalesce(n, 0) AS n_features,
+             CASE WHEN n > 0 THEN (total - ((total % n + n) % n)) // n ELSE 0 END AS weight,
+             ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+      FROM d LEFT JOIN f USING (doc_id)),
+c AS (SELECT doc_id, n_features, weight,
+             weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM v),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank,
+             count(*) OVER () AS n FROM c WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= n * 10 // 100 THEN rank END AS rank
+FROM c LEFT JOIN r USING (doc_id)
+"""
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS x FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS ls,
+             ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2,
+             ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+k AS (SELECT *, len(ls) AS n, least(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS a,
+             greatest(h1 % (len(ls) + 1), h2 % (len(ls) + 1)) AS b FROM u),
+p AS (SELECT doc_id, t, n, array_to_string(ls[1:a], '') AS pre, array_to_string(ls[a+1:b], '') AS mid,
+             array_to_string(ls[b+1:], '') AS suf,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                  THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op8_near_dedup": OP8_SQL, "op10_quality_rules": _op10_sql()}
+    return {"op11_importance_resampling": OP11_SQL, "op13_fill_in_middle": OP13_SQL,
+            "op5_exact_dedup": OP5_SQL, "op8_near_dedup": OP8_SQL, "op10_quality_rules": _op10_sql()}
