@@ -97,6 +97,17 @@ def _q15() -> str:
        CAST(6 AS BIGINT) AS passes FROM c6""")
 
 
+def _q15_check(r: int = 20, tol: float = TOL) -> str:
+    """The pass within the tolerance is the last one, or pass R."""
+    ctes = [PTS, f"c0 AS ({_values(START_CENTERS)})"] + _passes("", r, "trunc")
+    ctes += _converged_run("", r, True, tol)[:1] + _converged_run("", r, True, tol)[2:3]
+    ctes.append(f"""last AS (SELECT CAST(coalesce(min(j) FILTER (WHERE mv <= {tol}), {r}) AS BIGINT) AS f,
+         coalesce(bool_or(mv <= {tol}), false) AS conv FROM moves)""")
+    return _sql(ctes, """
+SELECT a.center_id, a.x, a.y, a.n, a.moved, last.conv AS converged, last.f AS passes
+FROM allc a JOIN last ON a.j = last.f""")
+
+
 def _q16_ctes() -> list[str]:
     return ([PTS, f"c0 AS ({_values(START_CENTERS)})"] + _passes("", 20, "half_up")
             + _converged_run("", 20, True))
@@ -197,6 +208,7 @@ FROM points p JOIN asg s ON p.x = s.x AND p.y = s.y JOIN cout co ON s.center_id
 KMEANS_SQL: dict[str, str] = {
     "q14_kmeans_step": _q14(),
     "q15_kmeans_fixed": _q15(),
+    "q15_kmeans_fixed_check": _q15_check(),
     "q16_kmeans_converged": _q16(),
     "q17_kmeans_assign": _q17(),
     "q18_kmeans_seeds_sample": _q18(),

@@ -1,66 +1,94 @@
-"""Golden k-means answers on the reference's points and centers files
-(FIXTURES.md §1: Q14, Q15, Q16)."""
+"""k-means on points made by a rule, against plain Python."""
 
 from __future__ import annotations
 
+import math
+import os
+
 import pytest
 
 from murmuration.operators import clustering as km
 from murmuration.sources import read_centers, read_points
+from murmuration.sources.bindings import start_centers
+
+from conftest import grid_points
+
 
-from conftest import fixture_path
+@pytest.fixture(scope="module")
+def pts(spark, data_dir):
+    return read_points(spark, os.path.join(data_dir, "points.csv"))
 
 
 @pytest.fixture(scope="module")
-def pts(spark):
-    return read_points(spark, fixture_path("points.csv"))
+def centers(spark, data_dir):
+    return read_centers(spark, os.path.join(data_dir, "centers.txt"))
+
+
+def one_pass(points, centers, rounding):
+    """[(center_id, x, y, n, moved)] by enumeration."""
+    groups = {}
+    for x, y in points:
+        best = min(centers, key=lambda c: ((x - c[1]) ** 2 + (y - c[2]) ** 2, c[0]))
+        groups.setdefault(best[0], []).append((x, y))
+    old = {c[0]: c[1:] for c in centers}
+    out = []
+    for i, own in sorted(groups.items()):
+        n = len(own)
+        mean = [math.floor((2 * s + n) / (2 * n)) if rounding == "half_up" else s // n
+                for s in map(sum, zip(*own))]
+        out.append((i, *mean, n, math.dist(mean, old[i])))
+    return out
+
+
+def trajectory(centers, rounding, passes):
+    runs, cur = [], centers
+    for _ in range(passes):
+        runs.append(one_pass(grid_points(), cur, rounding))
+        cur = [c[:3] for c in runs[-1]]
+    return runs
 
 
 @pytest.fixture(scope="module")
-def centers(spark):
-    return read_centers(spark, fixture_path("centroids.txt"))
+def half_up():
+    return trajectory(start_centers(), "half_up", 20)
 
 
 def xyn(df):
-    return [(r["x"], r["y"], r["n"]) for r in sorted(df.collect(), key=lambda r: r["center_id"])]
+    return [tuple(r)[:4] for r in sorted(df.select("center_id", "x", "y", "n").collect())]
+
+
+def first_within(runs, tolerance=50.0):
+    return next(i for i, run in enumerate(runs, 1) if max(c[4] for c in run) <= tolerance)
 
 
 def test_centers_file(centers):
-    assert centers[0] == (0, 3550, 2599) and centers[-1] == (9, 1647, 3755) and len(centers) == 10
+    assert centers == start_centers()
 
 
 @pytest.mark.parametrize("argmin", ["arrow", "builtin"])
-def test_q14_one_pass_half_up(pts, centers, argmin):
+def test_q14_one_pass_half_up(pts, centers, half_up, argmin):
     df = km.kmeans_step(pts, centers, rounding="half_up", argmin=argmin)
-    assert xyn(df) == [(3949, 3499, 632), (2409, 1973, 165), (3583, 600, 376), (4503, 1751, 220),
-                       (378, 4295, 138), (1005, 2226, 255), (2024, 3130, 174), (1105, 806, 522),
-                       (2216, 4710, 207), (1473, 3767, 311)]
-    assert max(r["moved"] for r in df.collect()) == pytest.approx(984.48, abs=0.01)
+    assert xyn(df) == [c[:4] for c in half_up[0]]
+    got = {r["center_id"]: r["moved"] for r in df.collect()}
+    assert got == {c[0]: pytest.approx(c[4]) for c in half_up[0]}
 
 
 def test_q15_six_passes_trunc(pts, centers):
     res = km.kmeans_fixed(pts, centers, r=6, rounding="trunc")
     try:
         assert res.passes == 6 and not res.converged
-        assert xyn(res.centers) == [(4239, 4021, 362), (2371, 1503, 289), (3773, 515, 342),
-                                    (4284, 2155, 329), (518, 4169, 221), (769, 2261, 324),
-                                    (2661, 3005, 279), (1062, 676, 403), (2726, 4478, 220),
-                                    (1428, 3865, 231)]
+        assert xyn(res.centers) == [c[:4] for c in trajectory(centers, "trunc", 6)[-1]]
     finally:
         res.release()
 
 
-def test_q16_converged_half_up(pts, centers):
+def test_q16_converged_half_up(pts, centers, half_up):
+    stop = first_within(half_up)
     res = km.kmeans_converged(pts, centers, r_max=20, tolerance=50.0)
     try:
-        assert res.converged and res.passes == 13
-        assert len(res.history) == 12
-        assert res.history[-1] == pytest.approx(38.60, abs=0.01)
-        assert all(m > 50.0 for m in res.history[:-1])
-        assert xyn(res.centers) == [(4318, 4126, 298), (2301, 940, 364), (4031, 632, 326),
-                                    (4227, 2378, 331), (495, 4062, 227), (932, 2373, 345),
-                                    (2679, 2777, 304), (742, 777, 329), (2949, 4393, 218),
-                                    (1597, 4092, 258)]
+        assert res.converged and res.passes == stop + 1 and len(res.history) == stop
+        assert res.history == [pytest.approx(max(c[4] for c in run)) for run in half_up[:stop]]
+        assert xyn(res.centers) == [c[:4] for c in half_up[stop]]
         # every point is assigned; cluster sizes add up to the points
         assigned = km.kmeans_assign(pts, res)
         assert assigned.count() == 3000
@@ -71,12 +99,13 @@ def test_q16_converged_half_up(pts, centers):
         res.release()
 
 
-def test_q16_fixed_r_reports_previous_move(pts, centers):
+def test_q16_fixed_r_reports_previous_move(pts, centers, half_up):
     # without the check, R passes run; the flag reflects pass R-1's moves
-    res = km.kmeans_converged(pts, centers, r_max=13, check=False)
+    stop = first_within(half_up)
+    res = km.kmeans_converged(pts, centers, r_max=stop + 1, check=False)
     try:
-        assert res.passes == 13 and res.converged
-        assert xyn(res.centers)[0] == (4318, 4126, 298)
+        assert res.passes == stop + 1 and res.converged
+        assert xyn(res.centers) == [c[:4] for c in half_up[stop]]
     finally:
         res.release()
     one = km.kmeans_converged(pts, centers, r_max=1)
@@ -86,26 +115,25 @@ def test_q16_fixed_r_reports_previous_move(pts, centers):
         one.release()
 
 
-def test_q15_with_check_stops_without_closing_pass(pts, centers):
+def test_q15_with_check_stops_without_closing_pass(pts, centers, half_up):
+    stop = first_within(half_up)
     res = km.kmeans_fixed(pts, centers, r=20, rounding="half_up", check=True)
     try:
-        # the half-up trajectory is within 50 after pass 12 (see Q16)
-        assert res.passes == 12 and res.converged
-        assert max(r["moved"] for r in res.centers.collect()) == pytest.approx(38.60, abs=0.01)
+        assert res.passes == stop and res.converged
+        assert xyn(res.centers) == [c[:4] for c in half_up[stop - 1]]
     finally:
         res.release()
 
 
-def test_seeds_file_with_header(spark):
-    seeds = read_centers(spark, fixture_path("k_seeds.csv"))
-    assert len(seeds) == 100 and seeds[0] == (0, 7469, 950)
+def test_seeds_file_with_header(spark, data_dir):
+    seeds = read_centers(spark, os.path.join(data_dir, "points.csv"))
+    assert len(seeds) == 3000 and seeds[1] == (1, *grid_points()[1])
 
 
-def test_runs_share_prepared_points(pts, centers):
+def test_runs_share_prepared_points(pts, centers, half_up):
     with km.WeightedPoints(pts) as wp:
         a = km.kmeans_fixed(pts, centers, r=6, rounding="trunc", weighted=wp)
         b = km.kmeans_converged(pts, centers, r_max=20, weighted=wp)
-        a.release(); b.release()          # the shared points stay cached
+        a.release(); b.release()          # the shared points stay
         assert wp.df.count() > 0
-        assert xyn(a.centers)[0] == (4239, 4021, 362)
-        assert b.passes == 13 and xyn(b.centers)[0] == (4318, 4126, 298)
+        assert a.passes == 6 and b.passes == first_within(half_up) + 1

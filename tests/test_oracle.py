@@ -8,12 +8,15 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from murmuration.oracle import all_sql
+from murmuration.queries import all_queries
 
 from conftest import sf_dir
 
 duckdb = pytest.importorskip("duckdb")
 
-NAMES = sorted(entry.queries())
+QUERIES, SQL = all_queries(), all_sql()
+NAMES = sorted(SQL)
 
 
 def _norm(v):
@@ -51,14 +54,18 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+
+
+def test_entry_holds_the_core_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     sf = sf_dir("0.001")
-    got = entry.queries()[name](spark, sf).toPandas()
-    exp = con.execute(entry.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, sf).toPandas()
+    exp = con.execute(SQL[name]).df()
     gc, gr = _rows(got)
     ec, er = _rows(exp)
     assert gc == ec
@@ -72,14 +79,15 @@ def test_entry_smoke(spark):
 
 
 _DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string",
-                  "DOUBLE": "double", "BOOLEAN": "boolean"}
+                  "DOUBLE": "double", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz",
+                  "DATE": "date"}
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_types_match_oracle(spark, con, name):
     sf = sf_dir("0.001")
-    sdf = entry.queries()[name](spark, sf)
+    sdf = QUERIES[name](spark, sf)
     got = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
-    rel = con.sql(entry.oracle_sql()[name])
+    rel = con.sql(SQL[name])
     exp = {c: _DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     assert got == exp
