@@ -12,7 +12,7 @@ stay in Spark's codegen'd partial aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -20,6 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from murmuration.functions.nearest import Nearest
 from murmuration.functions.shipping import ship_by_value
 
 ship_by_value(__name__)  # the argmin must run where this package is not installed
@@ -90,6 +91,30 @@ def nearest_center_arrow(x: Column, y: Column,
     return _nearest(x, y)
 
 
+def nearest_center_indexed(x: Column, y: Column,
+                           centers: Sequence[tuple[int, int, int]]) -> Column:
+    """The same id for many centers: groups of centers that cannot hold the
+    nearest are skipped (``functions.nearest``).  Coordinates are taken as
+    float64, exact below 2^53."""
+    if not centers:
+        raise ValueError("nearest_center needs at least one center")
+    ids = [int(c[0]) for c in centers]
+    places = np.array([(c[1], c[2]) for c in centers], np.float64)
+
+    @F.pandas_udf(T.LongType())
+    def _nearest(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        search = Nearest(ids, places)
+        for xs, ys in parts:
+            gone = (xs.isna() | ys.isna()).to_numpy()
+            rows = np.stack([xs.to_numpy(np.float64), ys.to_numpy(np.float64)], axis=1)
+            rows[gone] = 0.0
+            out = pd.Series(search.find(rows)[0], dtype="Int64")
+            out[gone] = pd.NA
+            yield out
+
+    return _nearest(x, y)
+
+
 def nearest_centers_arrow(x: Column, y: Column,
                           runs: Sequence[Sequence[tuple[int, int, int]]]) -> Column:
     """Nearest center of every run at once: a struct ``{_c0, _c1, ...}``

@@ -33,14 +33,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmuration.functions import hash_to_range, nearest_center
-from murmuration.functions.vectorized import nearest_center_arrow, nearest_centers_arrow
+from murmuration.functions.vectorized import (
+    nearest_center_arrow,
+    nearest_center_indexed,
+    nearest_centers_arrow,
+)
+from murmuration.operators.progress import PassLog
 from murmuration.session import drop_path, scratch_path
 
 Center = tuple[int, int, int]  # (center_id, x, y)
 ROUNDINGS = ("half_up", "trunc")
 DEFAULT_TOLERANCE = 50.0
-ARGMIN_METHODS = ("arrow", "builtin")
-ROWS_PER_FILE = 25_000  # of the points' table: small tables still give every core a file
+ARGMIN_METHODS = ("arrow", "builtin", "indexed")  # indexed: for thousands of centers
+#: Rows in a file of the points' table: small tables still give every core a
+#: file, large ones have files of about 64 MB.
+ROWS_PER_FILE = (25_000, 4_000_000)
+POINT_BYTES = 24
 
 PASS_SCHEMA = T.StructType([
     T.StructField("center_id", T.LongType()),
@@ -71,7 +79,7 @@ class WeightedPoints:
             wp = wp.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
         spark = points.sparkSession
         self._path = scratch_path(spark, "points")
-        wp.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(self._path)
+        wp.write.option("maxRecordsPerFile", _rows_per_file(points)).parquet(self._path)
         self.df = spark.read.schema(wp.schema).parquet(self._path)
 
     def release(self) -> None:
@@ -84,6 +92,13 @@ class WeightedPoints:
         self.release()
 
 
+def _rows_per_file(points: DataFrame) -> int:
+    """From the planner's size of the points: four files a core, within ROWS_PER_FILE."""
+    size = int(str(points._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    return min(max(size // POINT_BYTES // (4 * cores), ROWS_PER_FILE[0]), ROWS_PER_FILE[1])
+
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -123,6 +138,8 @@ def assign_center(x: F.Column, y: F.Column, centers: Sequence[Center],
     cs = _check_centers(centers)
     if argmin == "builtin":
         return nearest_center(x, y, cs)
+    if argmin == "indexed":
+        return nearest_center_indexed(x, y, cs)
     return nearest_center_arrow(x, y, cs)
 
 
@@ -186,13 +203,19 @@ def multi_pass_frame(wpoints: DataFrame, runs: Sequence[Sequence[Center]],
                           for i in range(len(runs))])
         assigned = staged.select("x", "y", "w", F.inline(pairs))
         keys = ["run", "center_id"]
-    wide = "CAST({} AS DECIMAL(20,0))"  # a LONG; products and sums stay exact
-    aggs = [f"CAST(sum({wide.format('x')} * w) AS DECIMAL(38,0)) AS sx",
-            f"CAST(sum({wide.format('y')} * w) AS DECIMAL(38,0)) AS sy", "sum(w) AS n"]
+    # exact sums of LONGs as LONG sums of three limbs (22, 21, 21 bits): no sum
+    # passes 63 bits below 2^41 rows a cluster
+    limbs = ("shiftright({}, 42)", "(shiftright({}, 21) & 2097151)", "({} & 2097151)")
+    aggs = [f"sum({limb.format(c)} * w) AS s{c}{i}" for c in "xy" for i, limb in enumerate(limbs)]
+    aggs.append("sum(w) AS n")
+    wide = "CAST({} AS DECIMAL(20,0))"
     if with_sse:
         aggs += [f"sum(CAST({wide.format('x')} * x AS DECIMAL(38,0)) * w) AS sxx",
                  f"sum(CAST({wide.format('y')} * y AS DECIMAL(38,0)) * w) AS syy"]
     g = assigned.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
+    whole = [f"CAST(CAST(s{c}0 AS DECIMAL(38,0)) * {1 << 42} + CAST(s{c}1 AS DECIMAL(38,0)) "
+             f"* {1 << 21} + s{c}2 AS DECIMAL(38,0)) AS s{c}" for c in "xy"]
+    g = g.selectExpr(*keys, *whole, "n", *(["sxx", "syy"] if with_sse else []))
 
     # Exact integer means: half-up = floor((2s + n) / 2n), trunc = s div n.
     def mean(sc: str) -> str:
@@ -361,10 +384,15 @@ def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
                      tolerance: float = DEFAULT_TOLERANCE, check: bool = True,
                      rounding: str = "half_up", dedupe: bool = True,
                      argmin: str = "arrow",
-                     weighted: WeightedPoints | None = None) -> KMeansResult:
+                     weighted: WeightedPoints | None = None,
+                     log_path: str | None = None) -> KMeansResult:
     """Passes until every center moved at most ``tolerance``, then one closing
     pass (Q16).
 
+    With ``log_path`` each measured pass's centers are kept below it, and a run
+    with the same settings goes on after the last complete pass (same points;
+    the caller names another folder for others).
+
     Passes i = 0 … r_max−1.  At i = r_max−1 the closing pass runs and
     ``converged`` says whether the previous pass's moves were all within the
     tolerance (false for r_max = 1: nothing was measured).  Before that, when
@@ -378,12 +406,15 @@ def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
     owned = wp if weighted is None else None
     cur = _check_centers(centers)
     history: list[float] = []
+    log = PassLog(wp.df.sparkSession, log_path, {
+        "centers": cur, "rounding": rounding, "tolerance": tolerance, "check": check,
+        "kind": "integers"}) if log_path else None
     for i in range(r_max):
         if i == r_max - 1:
             conv = bool(history) and history[-1] <= tolerance
             return KMeansResult(pass_frame(wp.df, cur, rounding, argmin=argmin), cur, i + 1,
                                 conv, history, owned, argmin)
-        st = run_pass(wp.df, cur, rounding, argmin=argmin)
+        st = _logged_pass(log, i + 1, wp.df, cur, rounding, argmin)
         if not st.centers_out:  # no points at all: nothing to iterate on
             return KMeansResult(_small_frame(points.sparkSession, st), cur, i + 1, False,
                                 history, owned, argmin)
@@ -395,6 +426,20 @@ def kmeans_converged(points: DataFrame, centers: Sequence[Center], r_max: int,
     raise AssertionError("unreachable")
 
 
+def _logged_pass(log: PassLog | None, number: int, wpoints: DataFrame,
+                 centers: list[Center], rounding: str, argmin: str) -> PassStats:
+    """A pass, taken from the log where it is complete there."""
+    if log is None:
+        return run_pass(wpoints, centers, rounding, argmin=argmin)
+
+    def run() -> dict:
+        st = run_pass(wpoints, centers, rounding, argmin=argmin)
+        return {"rows": [[c, x, y, st.sizes[c]] for c, x, y in st.centers_out]}
+
+    rows = log.once(number, run)["rows"]
+    return _stats([{"center_id": c, "x": x, "y": y, "n": n} for c, x, y, n in rows], centers, False)
+
+
 def with_run_flags(result: KMeansResult) -> DataFrame:
     """The final centers with the run's ``converged`` flag and pass count."""
     return result.centers.select(

@@ -205,12 +205,60 @@ FROM points p JOIN asg s ON p.x = s.x AND p.y = s.y JOIN cout co ON s.center_id
      fin""")
 
 
+def _q14_many(k: int = 5000) -> str:
+    ctes = [PTS, f"c0 AS MATERIALIZED ({_seed_sample(k)})"] + _passes("", 1, "half_up")
+    return _sql(ctes, "SELECT center_id, x, y, n, moved FROM c1")
+
+
+def _q16_fractional(r: int = 20) -> str:
+    """The converging run on doubles; ``fsum`` is DuckDB's compensated sum."""
+    start = ", ".join(f"({i}, {x / 100.0}, {y * 21.0})" for i, (x, y) in enumerate(START_CENTERS))
+    ctes = ["rp AS MATERIALIZED (SELECT l_quantity AS x, l_extendedprice AS y, count(*) AS w "
+            "FROM lineitem GROUP BY 1, 2)",
+            "c0 AS (SELECT CAST(i AS BIGINT) AS center_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y "
+            f"FROM (VALUES {start}) t(i, x, y))"]
+    for j in range(1, r + 1):
+        ctes.append(f"""a{j} AS MATERIALIZED (
+  SELECT p.x, p.y, p.w,
+         arg_min(c.center_id, {{'d': {_d2('p.x', 'p.y', 'c.x', 'c.y')}, 'c': c.center_id}}) AS center_id
+  FROM rp p CROSS JOIN c{j - 1} c GROUP BY p.x, p.y, p.w)""")
+        ctes.append(f"""c{j} AS MATERIALIZED (
+  SELECT s.center_id, s.nx AS x, s.ny AS y, s.n, sqrt((s.nx - o.x) ^ 2 + (s.ny - o.y) ^ 2) AS moved
+  FROM (SELECT center_id, fsum(x * w) / sum(w) AS nx, fsum(y * w) / sum(w) AS ny,
+               CAST(sum(w) AS BIGINT) AS n FROM a{j} GROUP BY center_id) s
+  JOIN c{j - 1} o ON s.center_id = o.center_id)""")
+    return _sql(ctes + _converged_run("", r, True), """
+SELECT a.center_id, round(a.x, 6) AS x, round(a.y, 6) AS y, a.n, round(a.moved, 6) AS moved,
+       fin.conv AS converged, fin.f AS passes
+FROM allc a JOIN fin ON a.j = fin.f""")
+
+
+def _q17_embeddings(k: int = 8, r: int = 4) -> str:
+    ctes = ["vp AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)",
+            f"""c0 AS MATERIALIZED (SELECT CAST(rn - 1 AS BIGINT) AS center_id, v FROM (
+  SELECT v, row_number() OVER (ORDER BY md5('42:' || vec_id), vec_id) AS rn FROM vp) s WHERE rn <= {k})"""]
+    for j in range(1, r + 1):
+        ctes.append(f"""a{j} AS MATERIALIZED (
+  SELECT p.vec_id, arg_min(c.center_id, {{'d': list_distance(p.v, c.v), 'c': c.center_id}}) AS center_id
+  FROM vp p CROSS JOIN c{j - 1} c GROUP BY p.vec_id)""")
+        ctes.append(f"""c{j} AS MATERIALIZED (
+  SELECT center_id, list(m ORDER BY i) AS v FROM (
+    SELECT center_id, i, fsum(v[i]) / count(*) AS m
+    FROM vp JOIN a{j} USING (vec_id), range(1, (SELECT max(len(v)) + 1 FROM vp)) q(i)
+    GROUP BY center_id, i) GROUP BY center_id)""")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT vec_id, center_id FROM a{r}"
+
+
 KMEANS_SQL: dict[str, str] = {
     "q14_kmeans_step": _q14(),
+    "q14_kmeans_step_5000": _q14_many(),
     "q15_kmeans_fixed": _q15(),
     "q15_kmeans_fixed_check": _q15_check(),
     "q16_kmeans_converged": _q16(),
+    "q16_kmeans_fractional": _q16_fractional(),
+    "q16_kmeans_resumed": _q16(),
     "q17_kmeans_assign": _q17(),
+    "q17_kmeans_embeddings": _q17_embeddings(),
     "q18_kmeans_seeds_sample": _q18(),
     "q19_kmeans_seeds_uniform": _q19(),
     "q20_kmeans_sweep": _q20(),

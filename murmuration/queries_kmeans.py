@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from murmuration import schemas
 from murmuration.operators import clustering as km
-from murmuration.session import scratch_path
+from murmuration.operators import vectors
+from murmuration.session import drop_path, scratch_path
 from murmuration.sources import bindings as b
 from murmuration.sources.csv import csv_table, write_csv
 
@@ -86,6 +87,41 @@ def q21_access(spark: SparkSession, sf: str) -> DataFrame:
     return csv_table(spark, path, log.schema, sep="\t", header=False)
 
 
+def q14_many(spark: SparkSession, sf: str) -> DataFrame:
+    """One pass of 5,000 centers, found through the index over centers."""
+    pts = b.points(spark, sf)
+    seeds = km.collect_centers(km.kmeans_seeds_sample(pts, k=5000, seed=42))
+    return km.kmeans_step(pts, seeds, rounding="half_up", argmin="indexed")
+
+
+def q16_fractional(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantity and price as they are, exact sums of doubles."""
+    res = vectors.vector_kmeans(b.real_points(spark, sf), b.real_start_centers(), r_max=20,
+                                tolerance=50.0)
+    rows = [(c, *v, res.sizes[c], res.moved[c], res.converged, res.passes) for c, v in res.centers]
+    out = spark.createDataFrame(rows, "center_id long, x double, y double, n long, moved double, "
+                                      "converged boolean, passes long")
+    return out.withColumns({c: F.round(c, 6) for c in ("x", "y", "moved")})
+
+
+def q17_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """Every embedding with its center after four passes from eight seeds."""
+    pts = b.embedding_points(spark, sf)
+    res = vectors.vector_kmeans(pts, vectors.vector_seeds(pts, 8, "vec_id"), r_max=4,
+                                tolerance=0.0, check=False)
+    return vectors.vector_assign(pts, res.centers_in, keep=["vec_id"])
+
+
+def q16_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """Q16's run in two parts: the second goes on from the first one's passes."""
+    pts, log = b.points(spark, sf), scratch_path(spark, "passes")
+    for r_max in (6, 20):
+        res = km.kmeans_converged(pts, b.start_centers(), r_max=r_max, tolerance=50.0, log_path=log)
+        res.release()
+    drop_path(spark, log)
+    return km.with_run_flags(res)
+
+
 CENTERS_OUT_SCHEMA = T.StructType([
     T.StructField("center_id", T.LongType()), T.StructField("x", T.LongType()),
     T.StructField("y", T.LongType()), T.StructField("n", T.LongType()),
@@ -122,10 +158,14 @@ def q22(spark: SparkSession, sf: str) -> DataFrame:
 
 KMEANS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q14_kmeans_step": q14,
+    "q14_kmeans_step_5000": q14_many,
     "q15_kmeans_fixed": q15,
     "q15_kmeans_fixed_check": q15_check,
     "q16_kmeans_converged": q16,
+    "q16_kmeans_fractional": q16_fractional,
+    "q16_kmeans_resumed": q16_resumed,
     "q17_kmeans_assign": q17,
+    "q17_kmeans_embeddings": q17_embeddings,
     "q18_kmeans_seeds_sample": q18,
     "q19_kmeans_seeds_uniform": q19,
     "q20_kmeans_sweep": q20,

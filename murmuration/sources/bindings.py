@@ -78,3 +78,21 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber",
                      (F.col("l_quantity") * 100).cast(T.LongType()).alias("x"),
                      F.floor(F.col("l_extendedprice") / 21).cast(T.LongType()).alias("y"))
+
+
+def real_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as points of two doubles: quantity and price as they are."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     F.array("l_quantity", "l_extendedprice").alias("v"))
+
+
+def real_start_centers() -> list[tuple[int, tuple[float, float]]]:
+    """The start centers on the scale of ``real_points``."""
+    return [(i, (x / 100.0, y * 21.0)) for i, x, y in start_centers()]
+
+
+def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings as points."""
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("v"))
