@@ -191,12 +191,26 @@ def _as_of(access: DataFrame, as_of, time_col: str = "access_time") -> Column:
 
 
 def readable_times(access: DataFrame, time_col: str = "access_time",
-                   pattern: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
-    """Accesses whose text time parses; the others are skipped, row by row."""
-    at = F.try_to_timestamp(F.col(time_col), F.lit(pattern)).cast("timestamp_ntz")
+                   pattern: str = "yyyy-MM-dd HH:mm:ss", strict: bool = False) -> DataFrame:
+    """Accesses whose text time parses; the others are skipped, row by row.
+
+    ``strict``: a time that does not parse fails the job, naming the value (a
+    null time is skipped all the same).
+    """
+    text = F.col(time_col)
+    at = F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+    if strict:
+        refused = F.raise_error(F.concat(F.lit("not a time: "), text)).cast("timestamp_ntz")
+        at = F.when(text.isNotNull() & at.isNull(), refused).otherwise(at)
     return access.withColumn(time_col, at).filter(F.col(time_col).isNotNull())
 
 
+def trimmed_ids(df: DataFrame, *columns: str) -> DataFrame:
+    """Text ids without blanks around them, as joins on them need; an id of
+    blanks only is no id (null)."""
+    return df.withColumns({c: F.nullif(trimmed(c), F.lit("")) for c in columns})
+
+
 def _latest(access: DataFrame) -> DataFrame:
     return (access.groupBy(F.col("by_who").alias("person_id"))
             .agg(F.max("access_time").alias("latest_access")))

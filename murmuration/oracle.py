@@ -144,6 +144,58 @@ WHERE d.num_friends > m.a""", """
 outdeg AS (SELECT person_id, count(*) AS num_friends FROM friends GROUP BY person_id),
 mean_deg AS (SELECT CAST(sum(num_friends) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS a FROM outdeg)"""),
 
+    "q02_heavy_hitters": """
+SELECT l_suppkey AS page_id, count(*) AS access_count FROM lineitem WHERE l_suppkey IS NOT NULL
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+
+    "q04_degrees_with_counters": _with("""
+SELECT coalesce(p.person_id, d.src) AS person_id, coalesce(p.name, 'Unknown') AS name,
+       coalesce(d.friend_count, 0) AS friend_count, (SELECT count(*) FROM friends) AS n_edges,
+       (SELECT count(*) FROM friends WHERE person_id = friend_id) AS n_self
+FROM people p FULL OUTER JOIN outdeg d ON p.person_id = d.src""", """
+outdeg AS (SELECT person_id AS src, count(*) AS friend_count FROM friends GROUP BY person_id)"""),
+
+    "q04_text_ids": _with("""
+SELECT CAST(coalesce(p.person_id, d.src) AS VARCHAR) AS person_id, coalesce(p.name, 'Unknown') AS name,
+       coalesce(d.friend_count, 0) AS friend_count
+FROM people p FULL OUTER JOIN outdeg d ON p.person_id = d.src""", """
+outdeg AS (SELECT person_id AS src, count(*) AS friend_count FROM friends GROUP BY person_id)"""),
+
+    "q05_ranked": _with("""
+SELECT p.person_id, p.name, coalesce(d.friend_count, 0) AS friend_count,
+       row_number() OVER (ORDER BY coalesce(d.friend_count, 0) DESC, p.person_id) AS rank
+FROM people p LEFT JOIN indeg d ON p.person_id = d.pid""", """
+indeg AS (SELECT friend_id AS pid, count(*) AS friend_count FROM friends GROUP BY friend_id)"""),
+
+    "q06_profile_bucketed": _with("""
+SELECT person_id, name, (SELECT count(*) FROM friends f WHERE f.person_id = p.person_id) AS n_friends,
+       coalesce(n, 0) AS n_accesses, coalesce(pages, 0) AS n_pages, latest_access
+FROM people p LEFT JOIN (
+  SELECT by_who, count(*) AS n, count(DISTINCT what_page) AS pages, max(access_time) AS latest_access
+  FROM access GROUP BY by_who) a ON a.by_who = p.person_id"""),
+
+    "q07_neglectful_all_purchases": _with("""
+SELECT o.src AS person_id, coalesce(p.name, 'Unknown') AS name
+FROM owners o LEFT JOIN people p ON o.src = p.person_id
+WHERE NOT EXISTS (SELECT 1 FROM hit h WHERE h.src = o.src)""", """
+hit AS (SELECT DISTINCT e.person_id AS src FROM friends e
+        JOIN access v ON e.person_id = v.by_who AND e.friend_id = v.what_page
+        WHERE v.access_type = 'purchase'),
+owners AS (SELECT DISTINCT person_id AS src FROM friends)"""),
+
+    "q08_neglectful_any_fifths": _with("""
+SELECT DISTINCT e.person_id, p.name FROM friends e JOIN people p USING (person_id)
+WHERE NOT EXISTS (SELECT 1 FROM access v
+                  WHERE v.by_who = e.person_id AND v.what_page // 5 = e.friend_id // 5)"""),
+
+    "q08_members_filtered": """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey IN (SELECT user_id FROM events WHERE event_type = 'signup')""",
+
+    "q11_outsiders_filtered": """
+SELECT l_orderkey, l_linenumber FROM lineitem
+WHERE l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 49)""",
+
     "q21_access_tsv": _with("SELECT * FROM access"),
 }
 

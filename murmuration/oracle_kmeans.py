@@ -263,5 +263,23 @@ KMEANS_SQL: dict[str, str] = {
     "q19_kmeans_seeds_uniform": _q19(),
     "q20_kmeans_sweep": _q20(),
     "q21_csv_roundtrip": _q21(),
+    "q21_lenient_load": """
+SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS person_id, ' ' || c_name AS name,
+       CASE WHEN c_custkey % 11 <> 0 THEN c_nationkey END AS nation, c_acctbal AS balance,
+       CASE WHEN c_custkey % 9 <> 0 THEN TIMESTAMP '2024-01-01 08:00:00' + to_days(CAST(c_custkey % 28 AS INTEGER)) END AS since,
+       CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment WHEN c_custkey % 13 = 0 THEN 'over' END AS segment
+FROM customer""",
+    "q21_lenient_casualties": """
+SELECT f.field, CASE f.field
+         WHEN 'segment' THEN (SELECT count(*) FROM customer WHERE c_custkey % 5 = 0 AND c_custkey % 13 <> 0)
+         WHEN '<extra>' THEN (SELECT count(*) FROM customer WHERE c_custkey % 13 = 0)
+         ELSE 0 END AS n_missing,
+       CASE f.field WHEN 'person_id' THEN (SELECT count(*) FROM customer WHERE c_custkey % 7 = 0)
+         WHEN 'since' THEN (SELECT count(*) FROM customer WHERE c_custkey % 9 = 0) ELSE 0 END AS n_uncast
+FROM (VALUES ('person_id'), ('name'), ('nation'), ('balance'), ('since'), ('segment'), ('<extra>')) f(field)""",
+    "q21_texts_roundtrip": "WITH " + VIEWS.strip() + r"""
+SELECT person_id, CASE person_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' || name || chr(9) || ' '
+         WHEN 3 THEN '"a", "' || name WHEN 4 THEN name || chr(10) || 'next,line' || chr(10)
+         WHEN 5 THEN name || chr(92) ELSE name END AS name, hobby FROM people""",
     "q22_kmeans_outputs": _q22(),
 }

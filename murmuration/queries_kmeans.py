@@ -15,6 +15,7 @@ from murmuration.operators import vectors
 from murmuration.session import drop_path, scratch_path
 from murmuration.sources import bindings as b
 from murmuration.sources.csv import csv_table, write_csv
+from murmuration.sources.lenient import casualties, lenient_table
 
 POINT_KEYS = ("l_orderkey", "l_linenumber")
 
@@ -87,6 +88,49 @@ def q21_access(spark: SparkSession, sf: str) -> DataFrame:
     return csv_table(spark, path, log.schema, sep="\t", header=False)
 
 
+LENIENT_SCHEMA = T.StructType([
+    T.StructField("person_id", T.LongType()), T.StructField("name", T.StringType()),
+    T.StructField("nation", T.IntegerType()), T.StructField("balance", T.DoubleType()),
+    T.StructField("since", T.TimestampNTZType()), T.StructField("segment", T.StringType())])
+
+
+def _damaged_lines(spark: SparkSession, sf: str) -> str:
+    """Customers as text lines, some with a bad number or date, a field too few
+    or one too many; the folder they are written to."""
+    c, k = b.table(spark, sf, "customer"), F.col("c_custkey")
+    key = F.when(k % 7 == 0, F.concat(F.lit("n"), k.cast("string"))).otherwise(k.cast("string"))
+    nation = F.when(k % 11 == 0, "").otherwise(F.col("c_nationkey").cast("string"))
+    day = F.when(k % 9 == 0, "soon").otherwise(F.concat(F.lit("2024-01-"), F.lpad((k % 28 + 1).cast("string"), 2, "0"),
+                                                       F.lit(" 08:00:00")))
+    line = F.concat_ws(",", key, F.concat(F.lit(" "), "c_name"), nation, F.col("c_acctbal").cast("string"), day)
+    line = F.when(k % 5 == 0, line).otherwise(F.concat(line, F.lit(","), "c_mktsegment"))
+    line = F.when(k % 13 == 0, F.concat(line, F.lit(",over,more"))).otherwise(line)
+    path = scratch_path(spark, "damaged")
+    c.select(line.alias("value")).write.text(path)
+    return path
+
+
+def q21_lenient(spark: SparkSession, sf: str) -> DataFrame:
+    return lenient_table(spark, _damaged_lines(spark, sf), LENIENT_SCHEMA)
+
+
+def q21_casualties(spark: SparkSession, sf: str) -> DataFrame:
+    return casualties(spark, _damaged_lines(spark, sf), LENIENT_SCHEMA)
+
+
+def q21_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Names with padding, quotes, delimiters, line breaks, empty and null, as
+    written."""
+    k = F.col("person_id")
+    name = (F.when(k % 7 == 0, None).when(k % 7 == 1, "").when(k % 7 == 2, F.concat(F.lit("  "), "name", F.lit("\t ")))
+            .when(k % 7 == 3, F.concat(F.lit('"a", "'), "name")).when(k % 7 == 4, F.concat("name", F.lit("\nnext,line\n")))
+            .when(k % 7 == 5, F.concat("name", F.lit("\\"))).otherwise(F.col("name")))
+    rows = b.people(spark, sf).select("person_id", name.alias("name"), "hobby")
+    path = scratch_path(spark, "texts")
+    write_csv(rows, path, rows_per_file=1_000_000)
+    return csv_table(spark, path, rows.schema, trim=False, line_breaks=True)
+
+
 def q14_many(spark: SparkSession, sf: str) -> DataFrame:
     """One pass of 5,000 centers, found through the index over centers."""
     pts = b.points(spark, sf)
@@ -171,5 +215,8 @@ KMEANS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q20_kmeans_sweep": q20,
     "q21_csv_roundtrip": q21,
     "q21_access_tsv": q21_access,
+    "q21_lenient_load": q21_lenient,
+    "q21_lenient_casualties": q21_casualties,
+    "q21_texts_roundtrip": q21_texts,
     "q22_kmeans_outputs": q22,
 }

@@ -18,15 +18,25 @@ from murmuration import schemas
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"  # the fraction may be missing on reading
 DATE_FORMAT = "yyyy-MM-dd"
+#: Quotes inside quotes are doubled; null has a mark of its own, so an empty text is not null.
+#: (A text that is the mark itself comes back as null.)
+NULL_MARK = "\\N"
+_QUOTING = {"quote": '"', "escape": '"', "nullValue": NULL_MARK, "lineSep": "\n"}
 _MODES = {"FAILFAST", "PERMISSIVE", "DROPMALFORMED"}
 
 
 def csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
               file_columns: Sequence[str] | None = None, mode: str = "FAILFAST",
               sep: str = ",", header: bool = True,
-              corrupt_column: str | None = None) -> DataFrame:
+              corrupt_column: str | None = None, trim: bool = True,
+              line_breaks: bool = False) -> DataFrame:
     """Read a delimited text table with a fixed schema.
 
+    ``trim`` takes white space around fields away (quoted or not); without it
+    every text comes back as ``write_csv`` was given it.  ``line_breaks`` reads
+    quoted fields over several lines, which makes a file one task's work.  An
+    empty field is null, a quoted empty one an empty text.
+
     ``file_columns`` are the names in the files' header row (defaults to the
     schema's own names).  ``mode`` is Spark's parse mode: ``FAILFAST`` stops on
     a malformed row, ``DROPMALFORMED`` skips it (the reference's short-row
@@ -59,16 +69,22 @@ def csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
           .option("timestampFormat", TIMESTAMP_FORMAT)
           .option("timestampNTZFormat", TIMESTAMP_FORMAT)
           .option("dateFormat", DATE_FORMAT)
-          .option("ignoreLeadingWhiteSpace", True)
-          .option("ignoreTrailingWhiteSpace", True)
+          .option("ignoreLeadingWhiteSpace", trim)
+          .option("ignoreTrailingWhiteSpace", trim)
+          .option("multiLine", line_breaks)
+          .options(**_QUOTING)
           .csv(list(path) if not isinstance(path, str) else path))
     return df.toDF(*out_names)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", sep: str = ",",
-              header: bool = True) -> None:
+              header: bool = True, rows_per_file: int = 0) -> None:
     """Write ``df`` as delimited text part files.
 
+    Texts keep their padding; those with the delimiter, a quote or a line break
+    are quoted (files with line breaks are read with ``line_breaks``; then
+    ``rows_per_file`` bounds what one task reads).
+
     ``mode="overwrite"`` replaces an existing output (delete-if-exists);
     the default refuses to touch one.  Timestamps are written with their
     microseconds.
@@ -79,6 +95,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", sep: str =
      .option("timestampFormat", TIMESTAMP_FORMAT)
      .option("timestampNTZFormat", TIMESTAMP_FORMAT)
      .option("dateFormat", DATE_FORMAT)
+     .option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False)
+     .option("emptyValue", '""')
+     .option("maxRecordsPerFile", rows_per_file)
+     .options(**_QUOTING)
      .csv(path))
 
 
