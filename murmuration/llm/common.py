@@ -136,37 +136,27 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every span data[start:end], from one prefix sum.
+    """64-bit hash of every span data[start:end].
 
-    A span's polynomial is a difference of prefix sums; multiplying by the
-    inverse power of its start makes it independent of the position.
+    A span is read in blocks of 8 bytes; each block is mixed with its number and
+    the mixed blocks are added, so no algebra relates the hashes of like words.
     """
     with np.errstate(over="ignore"):
-        base = np.uint64(0xD6E8FEB86659FD93)
-        inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        value = mix(np.arange(1, 257, dtype=np.uint64))
-        out = np.empty(len(starts), np.uint64)
-        block = 1 << 20
-        power = np.cumprod(np.full(block, base, np.uint64)) * inverse
-        back = np.cumprod(np.full(block, inverse, np.uint64)) * base
-        at = 0
-        while at < len(starts):  # spans of a stretch of at most `block` bytes
-            origin = int(starts[at])
-            to = int(np.searchsorted(ends, origin + block, side="right"))
-            if to <= at:  # one span longer than a block: fold it piece by piece
-                total, scale = 0, 1
-                step = pow(int(base), block, 1 << 64)
-                for p in range(origin, int(ends[at]), block):
-                    piece = value[data[p:min(p + block, int(ends[at]))]]
-                    part = int((piece * power[:len(piece)]).sum(dtype=np.uint64))
-                    total, scale = (total + part * scale) % (1 << 64), scale * step % (1 << 64)
-                out[at] = np.uint64(total)
-                at += 1
-                continue
-            piece = value[data[origin:int(ends[to - 1])]] * power[:int(ends[to - 1]) - origin]
-            prefix = np.zeros(len(piece) + 1, np.uint64)
-            np.cumsum(piece, out=prefix[1:])
-            s, e = starts[at:to] - origin, ends[at:to] - origin
-            out[at:to] = (prefix[e] - prefix[s]) * back[s]
-            at = to
-        return mix(out + (ends - starts).astype(np.uint64))
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # at every byte
+        kept = np.array([0, *[(1 << 8 * k) - 1 for k in range(1, 9)]], np.uint64)
+        size = ends - starts
+        out = np.zeros(len(starts), np.uint64)
+        live, first = np.arange(len(starts)), 0
+        while len(live) and first < 512:
+            at = starts[live] + first
+            block = blocks[at] & kept[np.minimum(ends[live] - at, 8)]
+            out[live] += mix(block ^ mix(np.array([first], np.uint64)))
+            first += 8
+            live = live[size[live] > first]
+        for i in live.tolist():  # the rest of long spans
+            for at in range(int(starts[i]) + first, int(ends[i]), 1 << 20):
+                place = np.arange(at, min(at + (1 << 20), int(ends[i])), 8)
+                block = blocks[place] & kept[np.minimum(ends[i] - place, 8)]
+                out[i] += mix(block ^ mix((place - starts[i]).astype(np.uint64))).sum(dtype=np.uint64)
+        return mix(out + size.astype(np.uint64))

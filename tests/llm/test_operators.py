@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import brute_ctw
 from murmuration.llm import (bpe, chat, common, ctw, exact, html, langid, lattice, neardup, packing,
                              quality, shards)
 from murmuration.llm.common import text_bytes, word_bounds, word_hashes
@@ -468,6 +469,37 @@ def test_near_duplicates_of_odd_tables(spark, empty, nulls):
     assert len(got) == 5 and sum(r["component_id"] is None for r in got) == 2
 
 
+def test_word_hashes_of_thue_morse_words():
+    """Words that a polynomial modulo a power of two cannot tell apart."""
+    one = "a"
+    while len(one) < 4096:
+        one += one.translate(str.maketrans("ab", "ba"))
+        other = one.translate(str.maketrans("ab", "ba"))
+        data, offsets = text_bytes(pa.array([f"{one} {other}"]))
+        assert len(set(word_hashes(data, *word_bounds(data, offsets)).tolist())) == 2
+
+
+def test_documents_of_thue_morse_words_are_not_linked(spark):
+    one = "ab"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, one), (2, other), (3, f"{one} x y z w"), (4, f"{other} x y z w")],
+                               "doc_id long, text string")
+    assert all(r["kept"] for r in neardup.near_duplicates(spark, df).collect())
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(9)
+    sizes = np.array([0, 3, 1, 0, 500, 0])
+    for width in (1, 3, 4, 8):
+        values = rng.integers(0, 1 << min(8 * width, 62), sizes.sum())
+        got, back = ctw.unpack(ctw.pack(values, sizes, width), width)
+        assert np.array_equal(got, values) and np.array_equal(back, sizes)
+        got, _ = ctw.unpack(ctw.pack(values, sizes, width).slice(2, 3), width)
+        assert np.array_equal(got, values[3:])
+
+
 def test_word_hashes_tell_words_apart():
     words = list({f"w{i}" for i in range(20_000)} | {"a" * k for k in range(1, 300)} | {"q" * (3 << 20)})
     data, offsets = text_bytes(pa.array([" ".join(words), " ".join(reversed(words))]))
@@ -501,12 +533,12 @@ def test_tree_predicts_as_the_weighted_probability():
     rng = np.random.default_rng(3)
     own = ["".join(rng.choice(list("ab "), 20)) for _ in range(6)]
     symbols, bounds = ctw.streams(*text_bytes(pa.array(own)))
-    codes = ctw.gram_codes(symbols, bounds, 2)
+    codes = brute_ctw.gram_codes(symbols, bounds, 2)
     rows = []
     for d in range(3):
         g, n = np.unique(codes & ((1 << (8 * d + 8)) - 1), return_counts=True)
         rows.append((g, n.astype(float)))
-    model = ctw.make_model(rows, tokens=1, distinct=1, closings=1, hashes=np.zeros(0), seen=np.zeros(0))
+    model = brute_ctw.make_model(rows)
 
     def kt(a: int, b: int) -> float:
         return math.lgamma(a + .5) + math.lgamma(b + .5) - math.lgamma(a + b + 1) - math.log(math.pi)
@@ -542,13 +574,13 @@ def test_scores_follow_the_tree_of_all_contexts(spark):
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in own}
     assert any(held.values())
     train = ctw.streams(*text_bytes(pa.array([t for i, t in own if not held[i]], pa.string())))
-    codes = ctw.gram_codes(*train, ctw.DEPTH)
+    codes = brute_ctw.gram_codes(*train, ctw.DEPTH)
     rows = []
     for d in range(ctw.DEPTH + 1):
         g, n = np.unique(codes & ((1 << (8 * d + 8)) - 1), return_counts=True)
         rows.append((g, n.astype(float)))
     assert sum(len(np.unique(g >> 8)) for g, _ in rows[2:]) > 32768
-    model = ctw.make_model(rows, tokens=1, distinct=1, closings=1, hashes=np.zeros(0), seen=np.zeros(0))
+    model = brute_ctw.make_model(rows)
     want = model.scores(*ctw.streams(*text_bytes(pa.array([t for _, t in own], pa.string()))))
     got = {r["doc_id"]: r["score"] for r in ctw.score(spark, df).collect()}
     assert len(got) == len(own)
