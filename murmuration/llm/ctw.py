@@ -7,13 +7,14 @@ each context, and the weights mix them over all depths:
 ``Pw = (Pe + product of the children's Pw) / 2``.
 
 Every context of the training texts is in the tree.  Texts are dealt into slices
-of bounded size; the distinct (DEPTH+1)-grams of all slices, with their training
-counts, are grouped by the ``BASE`` bytes before the symbol.  A group holds the
-tree from depth BASE down and is weighted in one piece (at most 256 ** (DEPTH -
-BASE + 1) grams, whatever the corpus); its (context, bit node) rows are summed
-to depths BASE-1 ... 0 by aggregates, and the mixtures come back down by joins.
-That gives a log probability for each distinct gram, which goes to the slices
-that hold the gram and is summed there over each text.
+of bounded size; the distinct (DEPTH+1)-grams of each slice, with their training
+counts, are grouped by the ``BASE`` bytes before the symbol, one packed row per
+slice and group.  The rows of a group are merged to one, which holds the tree
+from depth BASE down (at most 256 ** (DEPTH - BASE + 1) grams, whatever the
+corpus); its (context, bit node) rows are summed to depths BASE-1 ... 0 by
+aggregates, and the mixtures come back down by joins.  That gives a log
+probability for each distinct gram; the packed rows meet those of their group
+and carry them to the slice, where they are summed over each text.
 
 The base score is add-one over words.  Words with 1 / ``FREQUENT`` of all
 tokens (at most FREQUENT of them) are broadcast; the rest meet their counts in
@@ -28,7 +29,6 @@ training texts every estimate is 1/2; other columns of the input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmuration.functions.shipping import ship_by_value
-from murmuration.llm.common import (lowered, slices, stored, text_bytes, word_bounds,
+from murmuration.llm.common import (discard, lowered, slices, stored, text_bytes, word_bounds,
                                     word_hashes)
 
 ship_by_value(__name__)
@@ -46,6 +46,7 @@ DEPTH = 5
 BASE = 3
 SLICE = 24 << 20  # bytes of text that share the scores of their distinct grams
 PART = 1 << 20    # bytes of text handled at once
+GRAMS = 1 << 18   # grams weighted at once (a group is never cut)
 FREQUENT = 1 << 20
 CLOSE = 10  # the closing symbol; also what precedes a text
 
@@ -88,14 +89,6 @@ def before(symbols: np.ndarray, bounds: np.ndarray, depth: int) -> list[np.ndarr
     return out
 
 
-def gram_codes(symbols: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
-    """Context (oldest symbol highest) and symbol as one number."""
-    code = symbols.astype(np.int64)
-    for d, c in enumerate(before(symbols, bounds, depth), 1):
-        code |= c.astype(np.int64) << (8 * d)
-    return code
-
-
 def gram_keys(symbols: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
     """The same with the newest symbol of the context highest: sorted keys hold
     the contexts of every depth together."""
@@ -131,9 +124,91 @@ def sliced(documents: DataFrame) -> DataFrame:
     return _texts(documents).mapInArrow(run, SLICED)
 
 
+# --- packed rows -------------------------------------------------------------------
+
+def pack(values: np.ndarray, sizes: np.ndarray, width: int) -> pa.Array:
+    """Runs of ``sizes`` whole numbers as one binary value each: the highest of
+    their ``width`` bytes first, each byte of a whole run together, so that
+    sorted numbers compress."""
+    first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    own = np.repeat(sizes, sizes)
+    at = (width - 1) * first + np.arange(len(values))
+    out = np.empty(len(values) * width, np.uint8)
+    for k in range(width):
+        out[at] = (values >> (8 * (width - 1 - k))).astype(np.uint8)
+        at += own
+    ends = np.concatenate([[0], np.cumsum(sizes) * width]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(out)])
+
+
+def unpack(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows, and how many each row has."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    sizes = np.diff(ends).astype(np.int64) // width
+    total = int(sizes.sum())
+    values = np.zeros(total, np.int64)
+    if total:
+        data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+        at = (width - 1) * np.repeat(np.cumsum(sizes) - sizes, sizes) + np.arange(total)
+        own = np.repeat(sizes, sizes)
+        for _ in range(width):
+            values = values << 8 | data[at]
+            at += own
+    return values, sizes
+
+
+def runs(codes: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """The groups of sorted codes and their sizes."""
+    group = codes >> shift
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    return group[first], np.diff(np.append(first, len(group)))
+
+
+def codes_of(table: pa.Table | pa.RecordBatch, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whole gram codes of packed rows (key, grams), and the rows' sizes."""
+    rest, sizes = unpack(table["grams"], shift // 8)
+    return np.repeat(table["key"].to_numpy(), sizes) << shift | rest, sizes
+
+
+def rest_shift(depth: int) -> int:
+    """Bits of a gram below its group."""
+    return 8 * (depth - min(BASE, depth) + 1)
+
+
+def add_up(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and the sums of their numbers."""
+    order = np.argsort(codes, kind="stable")
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.diff(codes, prepend=-1))
+    return codes[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def as_batches(batches: Iterator[pa.RecordBatch], column: str, least: int) -> Iterator[pa.Table]:
+    """Rows in tables of about ``least`` packed bytes."""
+    held, size = [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            held.append(part)
+            size += part[part.schema.get_field_index(column)].nbytes
+            if size >= least:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+PACKED = "kind int, slice long, key long, n long, grams binary, seen binary"
+
+
 def counts(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, slice, code, n): distinct grams (kind 0) and training words' hashes
-    (kind 1) of each slice, with their numbers in its training texts."""
+    """Packed rows of each slice: its distinct grams by group (kind 0: key is the
+    group, with each gram's number in training texts) and its training words
+    (kind 1: key is the hash, n the number)."""
+    shift = rest_shift(depth)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             own = whole.column(0).to_numpy()
@@ -148,26 +223,56 @@ def counts(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
                     symbols, bounds = streams(data, offsets)
                     part = gram_keys(symbols, bounds, depth) * 2 + np.repeat(held, np.diff(bounds))
                     part, count = np.unique(part, return_counts=True)
-                    keys.append(part)
+                    keys.append(part >> 1)
                     n.append(np.where(part & 1, 0, count))
                     starts, ends = word_bounds(data, offsets)
                     train = ~np.repeat(held, np.diff(np.searchsorted(starts, offsets)))
                     words.append(word_hashes(lowered(data), starts, ends)[train])
-                keys = np.concatenate(keys) >> 1
-                order = np.argsort(keys)
-                keys, n = keys[order], np.concatenate(n)[order]
-                first = np.flatnonzero(np.diff(keys, prepend=-1))
-                keys, n = keys[first], np.add.reduceat(n, first)
+                keys, n = add_up(np.concatenate(keys), np.concatenate(n))
+                group, sizes = runs(keys, shift)
                 words, m = np.unique(np.concatenate(words), return_counts=True)
-                for kind, code, count in ((0, keys, n), (1, words.view(np.int64), m)):
+                none = pa.nulls(len(words), pa.binary())
+                for kind, key, size, grams, seen in (
+                        (0, group, sizes, pack(keys & ((1 << shift) - 1), sizes, shift // 8),
+                         pack(n, sizes, 4)),
+                        (1, words.view(np.int64), m.astype(np.int64), none, none)):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(code), kind, np.int32)),
-                         pa.array(np.full(len(code), own[a])), pa.array(code),
-                         pa.array(count.astype(np.int64))],
-                        names=["kind", "slice", "code", "n"])
+                        [pa.array(np.full(len(key), kind, np.int32)),
+                         pa.array(np.full(len(key), own[a])), pa.array(key), pa.array(size),
+                         grams, seen], names=[f.split()[0] for f in PACKED.split(", ")])
 
-    return texts.select("slice", "held_out", "text").mapInArrow(
-        run, "kind int, slice long, code long, n long")
+    return texts.select("slice", "held_out", "text").mapInArrow(run, PACKED)
+
+
+def merged(packed: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """One row per group: its distinct grams and their numbers (8 bytes each).
+
+    Rows arrive sorted; what is held is a stretch of them and the merged grams
+    of the group that goes on, so memory does not grow with the slices.
+    """
+    shift = rest_shift(depth)
+
+    def rows(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        group, sizes = runs(codes, shift)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(group), pack(codes & ((1 << shift) - 1), sizes, shift // 8), pack(n, sizes, 8)],
+            names=["key", "grams", "seen"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for table in as_batches(batches, "grams", 1 << 22):
+            more, _ = codes_of(table, shift)
+            codes, n = add_up(np.concatenate([codes, more]),
+                              np.concatenate([n, unpack(table["seen"], 4)[0]]))
+            at = int(np.searchsorted(codes, codes[-1] >> shift << shift))  # the last group may go on
+            if at:
+                yield rows(codes[:at], n[:at])
+                codes, n = codes[at:], n[at:]
+        if len(codes):
+            yield rows(codes, n)
+
+    own = packed.filter("kind = 0").select("key", "grams", "seen").repartition("key")
+    return own.sortWithinPartitions("key").mapInArrow(run, "key long, grams binary, seen binary")
 
 
 # --- the tree ----------------------------------------------------------------------
@@ -198,139 +303,6 @@ def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _at_counts(a, 0.5) + _at_counts(b, 0.5) - _at_counts(a + b, 1.0) - np.log(np.pi)
 
 
-@dataclass
-class Level:
-    """Contexts of one depth: codes (sorted), symbol counts and the parent's row."""
-
-    codes: np.ndarray
-    counts: np.ndarray
-    parent: np.ndarray
-
-
-def build_levels(rows: list[tuple[np.ndarray, np.ndarray]]) -> list[Level]:
-    """Levels from (gram codes, counts) of depth 0, 1, ...; a deeper context's
-    parent is always present.  ``rows`` is emptied on the way."""
-    levels: list[Level] = []
-    for depth in range(len(rows)):
-        grams, n = rows[depth]
-        rows[depth] = None
-        codes, row = np.unique(grams >> 8, return_inverse=True)
-        counts = np.zeros((len(codes), 256))
-        counts[row, grams & 255] = n
-        parent = np.zeros(len(codes), np.int64)
-        if depth:
-            parent = np.searchsorted(levels[-1].codes, codes & ((1 << (8 * (depth - 1))) - 1))
-        levels.append(Level(codes, counts, parent))
-    return levels
-
-
-def _split(levels: list[Level], d: int, bit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones of every decision at one bit, for all contexts of a depth."""
-    counts = levels[d].counts
-    both = counts.reshape(len(counts), 1 << bit, 2, 128 >> bit).sum(axis=3)
-    return both[:, :, 0], both[:, :, 1]
-
-
-def _rest(levels: list[Level], d: int, bit: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same for the symbols below no child in the tree."""
-    out = _split(levels, d, bit)
-    if d + 1 < len(levels):
-        for own, child in zip(out, _split(levels, d + 1, bit)):
-            np.subtract.at(own, levels[d + 1].parent, child)
-    return out
-
-
-def log_probabilities(levels: list[Level]) -> list[np.ndarray]:
-    """log10 of each symbol's probability at every context.
-
-    ``own[d][r, s]`` belongs to positions whose longest context in the tree is
-    row r of depth d.
-    """
-    depth = len(levels) - 1
-    own = [np.zeros((len(v.codes), 256), np.float32) for v in levels]
-    for bit in range(8):
-        weight: list[np.ndarray] = [np.zeros(0)] * (depth + 1)
-        below = None  # sum of the children's log Pw
-        for d in range(depth, -1, -1):
-            total = log_kt(*_split(levels, d, bit))
-            if d == depth:
-                weight[d] = np.ones_like(total)
-            else:
-                inner = below + log_kt(*_rest(levels, d, bit))
-                estimate = total - np.log(2)
-                total = np.logaddexp(estimate, inner - np.log(2))
-                weight[d] = np.exp(estimate - total)
-            if d:
-                below = np.zeros((len(levels[d - 1].codes), 1 << bit))
-                np.add.at(below, levels[d].parent, total)
-        mixed = free = None
-        for d in range(depth + 1):
-            zeros, ones = _split(levels, d, bit)
-            up, left = (0.0, 1.0) if d == 0 else (mixed[levels[d].parent], free[levels[d].parent])
-            mixed = up + left * weight[d] * (ones + 0.5) / (zeros + ones + 1)
-            free = left * (1 - weight[d])
-            zeros, ones = _rest(levels, d, bit)
-            one = mixed if d == depth else mixed + free * (ones + 0.5) / (zeros + ones + 1)
-            one = np.clip(one, 1e-12, 1 - 1e-12)
-            steps = np.stack([np.log10(1 - one), np.log10(one)], axis=2).astype(np.float32)
-            own[d] += np.repeat(steps.reshape(len(one), 2 << bit), 128 >> bit, axis=1)
-    return own
-
-
-@dataclass
-class Words:
-    """What the base score needs."""
-
-    tokens: int
-    distinct: int
-    closings: int            # training texts
-    hashes: np.ndarray       # frequent words, sorted
-    seen: np.ndarray         # and their counts
-
-
-@dataclass
-class Model(Words):
-    """A small tree in memory: a step table per depth and one row of symbol scores per context."""
-
-    steps: list[np.ndarray]  # steps[d][row * 256 + older symbol] -> row of depth d+1, or -1
-    first: list[int]         # first table row of each depth
-    table: np.ndarray        # (contexts, 256) log10 probabilities
-
-    def rows(self, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Table row of the longest context in the tree for every symbol."""
-        at = np.zeros(len(symbols), np.int32)
-        row = np.zeros(len(symbols), np.int32)
-        live = np.ones(len(symbols), bool)
-        for d, c in enumerate(before(symbols, bounds, len(self.steps))):
-            nxt = self.steps[d][at * 256 + c]
-            live &= nxt >= 0
-            at = np.where(live, nxt, 0).astype(np.int32)
-            row = np.where(live, at + self.first[d + 1], row).astype(np.int32)
-        return row
-
-    def scores(self, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 probability of each text."""
-        logs = self.table[self.rows(symbols, bounds), symbols].astype(np.float64)
-        return np.add.reduceat(logs, bounds[:-1]) if len(bounds) > 1 else np.zeros(0)
-
-
-def make_model(rows: list[tuple[np.ndarray, np.ndarray]], **words) -> Model:
-    levels = build_levels(rows)
-    own = log_probabilities(levels)
-    for level in levels:
-        level.counts = None
-    steps = []
-    for d in range(len(levels) - 1):
-        step = np.full(max(len(levels[d].codes), 1) * 256, -1, np.int32)
-        child = levels[d + 1]
-        step[child.parent * 256 + (child.codes >> (8 * d))] = np.arange(len(child.codes))
-        steps.append(step)
-    first = np.concatenate([[0], np.cumsum([len(v.codes) for v in levels])]).astype(int)
-    return Model(steps=steps, first=first.tolist(), table=np.concatenate(own), **words)
-
-
-# --- the tree over all grams, group by group ----------------------------------------
-
 class Group:
     """Grams (sorted keys and counts) below whole contexts of depth ``base``.
 
@@ -386,37 +358,18 @@ def _mix(own: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return total, np.exp(own - np.log(2) - total)
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], shift: int,
-                 least: int = 1 << 18) -> Iterator[pa.Table]:
-    """Rows sorted by their first column as tables of about ``least`` rows; rows
-    that are equal but for the last ``shift`` bits of it stay together."""
-    held, rows, wanted = [], 0, least
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= wanted:
-            table = pa.Table.from_batches(held).combine_chunks()
-            group = table.column(0).to_numpy() >> shift
-            at = int(np.searchsorted(group, group[-1]))
-            if at:
-                yield table.slice(0, at)
-            held, rows = table.slice(at).to_batches(), table.num_rows - at
-            wanted = max(least, 2 * rows)
-    if rows:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 NODE_ROWS = "context long, node int, zeros double, ones double, below double"
 WEIGHED = "context long, node int, zeros double, ones double, log_pw double, weight double"
 
 
-def base_nodes(grams: DataFrame, depth: int, base: int) -> DataFrame:
+def base_nodes(groups: DataFrame, depth: int, base: int) -> DataFrame:
     """Zeros, ones and log Pw of every (context of depth ``base``, bit node)."""
-    shift = 8 * (depth - base + 1)
+    shift = rest_shift(depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, shift):
-            group = Group(table["code"].to_numpy(), table["n"].to_numpy(), depth, base)
+        for table in as_batches(batches, "grams", GRAMS * shift // 8):
+            table = table.sort_by("key")
+            group = Group(codes_of(table, shift)[0], unpack(table["seen"], 8)[0], depth, base)
             for bit in range(8):
                 group.weigh(bit)
                 value = group.value[base]
@@ -427,8 +380,7 @@ def base_nodes(grams: DataFrame, depth: int, base: int) -> DataFrame:
                      pa.array(group.ones[base].astype(float)), pa.array(group.log_pw[base])],
                     names=[f.split()[0] for f in NODE_ROWS.split(", ")])
 
-    own = grams.select("code", "n").repartition(F.shiftright("code", shift))
-    return own.sortWithinPartitions("code").mapInArrow(run, NODE_ROWS)
+    return groups.mapInArrow(run, NODE_ROWS)
 
 
 def shorter(nodes: DataFrame, value: str) -> DataFrame:
@@ -446,17 +398,21 @@ def shorter(nodes: DataFrame, value: str) -> DataFrame:
         F.sum(value).alias("below")).mapInArrow(run, WEIGHED)
 
 
-def gram_scores(heads: DataFrame, grams: DataFrame, depth: int, base: int) -> DataFrame:
-    """(code, log10 probability of the symbol) of every gram."""
-    shift = 8 * (depth - base + 1)
+def gram_scores(heads: DataFrame, groups: DataFrame, depth: int, base: int) -> DataFrame:
+    """(key, grams, logs) of every group: the log10 probability of each gram's
+    symbol, as 4-byte floats.  ``heads``: what the depths above give to a
+    group's nodes, at most 255 of them."""
+    shift = rest_shift(depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, shift):
-            code, n, mixed, free = (table.column(k).to_numpy() for k in range(4))
-            head = n < 0
-            node, at = code[head] & 255, code[head] >> shift
-            mixed, free, code = mixed[head], free[head], code[~head]
-            group = Group(code, n[~head], depth, base)
+        for table in as_batches(batches, "grams", GRAMS * shift // 8):
+            table = table.sort_by("key")
+            code, sizes = codes_of(table, shift)
+            group = Group(code, unpack(table["seen"], 8)[0], depth, base)
+            held = table["heads"].combine_chunks()
+            flat = held.flatten()
+            node, mixed, free = (flat.field(k).to_numpy() for k in range(3))
+            at = np.repeat(table["key"].to_numpy(), held.value_lengths().to_numpy())
             logs = np.zeros(len(code))
             for bit in range(8):
                 group.weigh(bit)
@@ -467,23 +423,39 @@ def gram_scores(heads: DataFrame, grams: DataFrame, depth: int, base: int) -> Da
                     raise ValueError("a node without its parent's mixture")
                 one = group.mixed(mixed[own][order], free[own][order])
                 logs += np.log10(np.where(code >> (7 - bit) & 1, one, 1 - one))
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(logs.astype(np.float32))], names=["code", "log"])
+            yield pa.RecordBatch.from_arrays(
+                [table["key"].combine_chunks(), table["grams"].combine_chunks(),
+                 floats(logs.astype(np.float32), sizes)], names=["key", "grams", "logs"])
+
+    first = heads.groupBy("context").agg(F.collect_list(F.struct("node", "mixed", "free")).alias("heads"))
+    rows = groups.join(first, F.col("key") == F.col("context")).select("key", "grams", "seen", "heads")
+    return rows.mapInArrow(run, "key long, grams binary, logs binary")
+
+
+def floats(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Runs of 4-byte floats as one binary value each."""
+    ends = np.concatenate([[0], np.cumsum(sizes) * 4]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [
+        None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values, np.float32))])
+
 
-    none = F.lit(0.0)
-    rows = grams.select("code", "n", none.alias("mixed"), none.alias("free"))
-    first = heads.select((F.shiftleft("context", shift) + F.col("node")).alias("code"),
-                         F.lit(-1).cast("long").alias("n"), "mixed", "free")
-    return rows.unionByName(first).repartition(F.shiftright("code", shift)).sortWithinPartitions(
-        "code").mapInArrow(run, "code long, log float")
+def floats_of(column: pa.Array) -> np.ndarray:
+    """The floats of all rows; a null row has none."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if column.buffers()[2] is None:
+        return np.zeros(0, np.float32)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])), np.float32)
 
 
-def log_table(spark: SparkSession, grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(code, log) of every distinct gram, from the tree over all of them.
+def log_table(spark: SparkSession, groups: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(key, grams, logs) of every group, as a stored table.
 
-    ``grams``: a stored table of code and number in the training texts.
+    ``groups``: the stored merged rows of the training and other texts.
     """
     base = min(BASE, depth)
-    nodes = stored(spark, base_nodes(grams, depth, base), "nodes")
+    nodes = stored(spark, base_nodes(groups, depth, base), "nodes")
     levels, value = [nodes], "below"
     for d in range(base):
         levels.append(stored(spark, shorter(levels[-1], value), f"nodes-{base - 1 - d}"))
@@ -502,7 +474,9 @@ def log_table(spark: SparkSession, grams: DataFrame, depth: int = DEPTH) -> Data
             .alias("mixed"), (F.col("free") - share).alias("free"))
     if above is not None:
         heads = _below(levels[0], above).select("context", "node", "mixed", "free")
-    return gram_scores(heads, grams, depth, base)
+    logs = stored(spark, gram_scores(heads, groups, depth, base), "logs")
+    discard(*levels)
+    return logs
 
 
 def _below(level: DataFrame, above: DataFrame) -> DataFrame:
@@ -512,15 +486,59 @@ def _below(level: DataFrame, above: DataFrame) -> DataFrame:
                       & (F.col("node") == F.col("_node")))
 
 
-def frequent_words(table: DataFrame, closings: int, frequent: int = FREQUENT) -> Words:
-    """The frequent words, at most ``frequent`` of them, of a stored table of code and n."""
+def to_slices(packed: DataFrame, logs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(slice, key, grams, logs): each packed row with the logs of its grams.
+
+    Sorted by group, a group's logs come first and its slices' rows after, so a
+    task holds a stretch of rows and one group's logs.
+    """
+    shift = rest_shift(depth)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, log = np.zeros(0, np.int64), np.zeros(0, np.float32)
+        for table in as_batches(batches, "grams", 1 << 22):
+            of = table["slice"].to_numpy() < 0
+            first, rows = table.filter(pa.array(of)), table.filter(pa.array(~of))
+            known = np.concatenate([known, codes_of(first, shift)[0]])
+            log = np.concatenate([log, floats_of(first["logs"])])
+            code, sizes = codes_of(rows, shift)
+            own = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
+            if len(code) and not np.array_equal(known[own], code):
+                raise ValueError("a gram without its score")
+            if rows.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [rows[c].combine_chunks() for c in ("slice", "key", "grams")]
+                    + [floats(log[own], sizes)], names=["slice", "key", "grams", "logs"])
+            at = int(np.searchsorted(known, known[-1] >> shift << shift)) if len(known) else 0
+            known, log = known[at:], log[at:]
+
+    rows = packed.filter("kind = 0").select("key", "slice", "grams", F.lit(None).cast("binary").alias("logs"))
+    first = logs.select("key", F.lit(-1).cast("long").alias("slice"), "grams", "logs")
+    both = rows.unionByName(first).repartition("key").sortWithinPartitions("key", "slice")
+    return both.mapInArrow(run, "slice long, key long, grams binary, logs binary")
+
+
+# --- words -------------------------------------------------------------------------
+
+def frequent_words(table: DataFrame, closings: int,
+                   frequent: int = FREQUENT) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Training tokens, distinct ones, and the frequent words' hashes (sorted)
+    and counts, at most ``frequent`` of them; from a stored table of key and n."""
     n, v = table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = n + closings, v + (closings > 0)
     words = table.filter(F.col("n") >= -(-tokens // frequent)).toArrow()
-    hashes = words["code"].to_numpy()
+    hashes = words["key"].to_numpy()
     order = np.argsort(hashes)
-    return Words(tokens=tokens, distinct=distinct, closings=closings, hashes=hashes[order],
-                 seen=words["n"].to_numpy()[order].astype(np.int64))
+    return tokens, distinct, hashes[order], words["n"].to_numpy()[order].astype(np.int64)
+
+
+def _find(known: np.ndarray, seen: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the words among the frequent ones, and whether they are there."""
+    if len(known) == 0:
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    there = known[at] == hashes
+    return np.where(there, seen[at], 0), there
 
 
 # --- scores --------------------------------------------------------------------------
@@ -529,41 +547,29 @@ SCORE_SCHEMA = ("doc_id long, held_out boolean, row_key long, n_tokens long, kno
                 "base double, n_rare long, score double")
 
 
-def _find(model: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the words among the frequent ones, and whether they are there."""
-    if len(model.hashes) == 0:
-        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-    at = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
-    there = model.hashes[at] == hashes
-    return np.where(there, model.seen[at], 0), there
-
-
 def score(spark: SparkSession, documents: DataFrame, depth: int = DEPTH,
           frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     texts = stored(spark, sliced(documents), "slices")
-    table = stored(spark, counts(texts, depth), "counts")
-
-    def summed(kind: int, name: str) -> DataFrame:
-        return stored(spark, table.filter(F.col("kind") == kind).groupBy("code").agg(
-            F.sum("n").alias("n")), name)
-
-    words, grams = summed(1, "words"), summed(0, "grams")
-    model = frequent_words(words, texts.filter("NOT held_out").count(), frequent)
-    logs = stored(spark, log_table(spark, grams, depth), "logs")
-    shared = spark.sparkContext.broadcast(model)
-    norm = float(model.tokens + model.distinct + 1)
-
-    def per_text(texts: pa.Table, logs: pa.Table) -> pa.Table:
-        m = shared.value
-        code, log = logs["code"].to_numpy(), logs["log"].to_numpy()
+    packed = stored(spark, counts(texts, depth), "packed")
+    words = stored(spark, packed.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n")), "words")
+    groups = stored(spark, merged(packed, depth), "groups")
+    closings = texts.filter("NOT held_out").count()
+    tokens, distinct, hashes, seen = frequent_words(words, closings, frequent)
+    logs = log_table(spark, groups, depth)
+    shared = spark.sparkContext.broadcast((hashes, seen))  # plain arrays
+    norm = float(tokens + distinct + 1)
+    shift = rest_shift(depth)
+
+    def per_text(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        code, log = codes_of(rows, shift)[0], floats_of(rows["logs"])
         order = np.argsort(code)
         code, log = code[order], log[order]
         out = []
         for batch in slices(iter(texts.combine_chunks().to_batches()), "text", PART):
             data, offsets = text_bytes(batch["text"])
             starts, ends = word_bounds(data, offsets)
-            count, there = _find(m, word_hashes(lowered(data), starts, ends).view(np.int64))
+            count, there = _find(*shared.value, word_hashes(lowered(data), starts, ends).view(np.int64))
             first = np.searchsorted(starts, offsets)
 
             def per_doc(x: np.ndarray) -> np.ndarray:
@@ -574,15 +580,15 @@ def score(spark: SparkSession, documents: DataFrame, depth: int = DEPTH,
             doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
             base = np.bincount(doc, weights=base, minlength=len(first) - 1)
             symbols, bounds = streams(data, offsets)
-            keys = gram_keys(symbols, bounds, depth)
+            keys, back = np.unique(gram_keys(symbols, bounds, depth), return_inverse=True)
             own = np.minimum(np.searchsorted(code, keys), len(code) - 1)
             if not np.array_equal(code[own], keys):
                 raise ValueError("a gram without its score")
             columns = [pa.array(np.diff(first) + 1),
-                       pa.array(per_doc(there.astype(np.int64)) + (m.closings > 0)),
-                       pa.array(base + np.log10((m.closings + 1) / norm)),
+                       pa.array(per_doc(there.astype(np.int64)) + (closings > 0)),
+                       pa.array(base + np.log10((closings + 1) / norm)),
                        pa.array(per_doc((~there).astype(np.int64))),
-                       pa.array(np.add.reduceat(log[own].astype(np.float64), bounds[:-1]))]
+                       pa.array(np.add.reduceat(log[own].astype(np.float64)[back], bounds[:-1]))]
             out.append(pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], batch["row_key"], *columns],
                 names=[f.split()[0] for f in SCORE_SCHEMA.split(", ")]))
@@ -590,34 +596,35 @@ def score(spark: SparkSession, documents: DataFrame, depth: int = DEPTH,
 
     def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 8 << 20):
-            data, offsets = text_bytes(batch.column(3))
+            data, offsets = text_bytes(batch.column(2))
             starts, ends = word_bounds(data, offsets)
             hashes = word_hashes(lowered(data), starts, ends).view(np.int64)
-            _, there = _find(shared.value, hashes)
+            _, there = _find(*shared.value, hashes)
             doc = np.repeat(np.arange(batch.num_rows),
                             np.diff(np.searchsorted(starts, offsets)))[~there]
             doc = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(doc), batch.column(2).take(doc), pa.array(hashes[~there])],
-                names=["doc_id", "row_key", "code"])
-
-    met = table.filter("kind = 0").select("slice", "code").join(logs, "code")
-    scored = texts.groupBy("slice").cogroup(met.groupBy("slice")).applyInArrow(per_text, SCORE_SCHEMA)
-    rows = texts.select("doc_id", "held_out", "row_key", "text")
-    # no frequent word is here, so no code is a hot key
-    met = rows.mapInArrow(rare_words, "doc_id long, row_key long, code long").join(
-        words, "code", "left")
+                [batch.column(0).take(doc), batch.column(1).take(doc), pa.array(hashes[~there])],
+                names=["doc_id", "row_key", "key"])
+
+    met = to_slices(packed, logs, depth)
+    scored = stored(spark, texts.groupBy("slice").cogroup(met.groupBy("slice")).applyInArrow(
+        per_text, SCORE_SCHEMA), "scored")
+    # no frequent word is here, so no key is a hot one
+    met = texts.select("doc_id", "row_key", "text").mapInArrow(
+        rare_words, "doc_id long, row_key long, key long").join(words, "key", "left")
     n = F.coalesce("n", F.lit(0))
-    rare = met.groupBy("doc_id", "row_key").agg(
+    rare = stored(spark, met.groupBy("doc_id", "row_key").agg(
         F.count(F.lit(1)).alias("words"), F.count("n").alias("found"),
-        F.sum(F.log10((n + 1) / F.lit(norm))).alias("logs"))
+        F.sum(F.log10((n + 1) / F.lit(norm))).alias("logs")), "rare")
+    discard(texts, packed, words, groups, logs)
     s, r = scored.alias("s"), rare.alias("r")
     out = s.join(r, F.col("s.doc_id").eqNullSafe(F.col("r.doc_id"))
-                 & (F.col("s.row_key") == F.col("r.row_key")), "left")
+                 & (F.col("s.row_key").eqNullSafe(F.col("r.row_key"))), "left")
     # rows that share id and text were summed together: each takes its share
     share = F.coalesce(F.col("n_rare") / F.col("words"), F.lit(0.0))
     return out.select(
         "s.doc_id", "held_out", "n_tokens",
         (F.col("known") + F.round(F.coalesce("found", F.lit(0)) * share).cast("long")).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("logs", F.lit(0.0)) * share).alias("base_score"), "score")
