@@ -9,7 +9,6 @@ spread back by index.  The ids equal those of encoding every text whole.
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +19,6 @@ from murmuration.functions.shipping import ship_by_value
 ship_by_value(__name__)
 
 
-@lru_cache(maxsize=4)
-def load(path: str, pattern: str) -> Encoder:
-    return Encoder(path, pattern)
-
-
 def blanks(data: np.ndarray) -> np.ndarray:
     """Bytes of characters that the pre-tokenizer may take for white space."""
     out = (data == 32) | ((data >= 9) & (data <= 13)) | ((data >= 0x1C) & (data <= 0x1F))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmuration.functions.shipping import ship_by_value
-from murmuration.llm import bpe
+from murmuration.llm.bpe import Encoder
 from murmuration.llm.common import slices, text_bytes
 
 ship_by_value(__name__)
@@ -62,7 +62,7 @@ def unescape_role(role: str) -> str:
     return unescape(role.replace("%0A", "\n").replace("%25", "%"))
 
 
-def assemble(encoder: bpe.Encoder, roles: list[str], texts: list[str],
+def assemble(encoder: Encoder, roles: list[str], texts: list[str],
              learn: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, loss mask and the n+1 offsets of n turns."""
     segments = [s for r, t in zip(roles, texts) for s in (escape_role(r), escape(t))]
@@ -87,7 +87,7 @@ def assemble(encoder: bpe.Encoder, roles: list[str], texts: list[str],
     return out, np.cumsum(marks[:-1]) > 0, np.concatenate([[0], at[6::6]])
 
 
-def read_back(encoder: bpe.Encoder, ids: np.ndarray) -> str:
+def read_back(encoder: Encoder, ids: np.ndarray) -> str:
     """The formatted string of token ids, reserved ids as their control strings."""
     out, at = [], 0
     for p in np.flatnonzero(ids >= START_ID):
@@ -105,7 +105,7 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 def format_turns(conversations: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
     """Token ids and loss mask of every turn (assistant texts carry loss)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.load(ranks, pattern)
+        encoder = Encoder(ranks, pattern)
         for batch in slices(batches, "text", 2 << 20):
             roles, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             ids, mask, ends = assemble(encoder, roles, texts, [r == "assistant" for r in roles])
@@ -129,7 +129,7 @@ def digests(turns: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> Dat
     with a conversation.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.load(ranks, pattern)
+        encoder = Encoder(ranks, pattern)
         names = [f.split()[0] for f in DIGEST_SCHEMA.split(", ")]
         state: list | None = None
         done: list[tuple] = []

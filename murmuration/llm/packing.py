@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from murmuration.functions.shipping import ship_by_value
-from murmuration.llm import bpe
+from murmuration.llm.bpe import Encoder
 from murmuration.llm.common import slices, spread_rank, stored, text_bytes
 
 ship_by_value(__name__)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 2048
 UNIT = 8
 CLOSING_ID = 1
@@ -49,12 +50,10 @@ def added_tokens(path: str) -> dict[bytes, int]:
         return {t["content"].encode(): t["id"] for t in json.load(f)["added_tokens"]}
 
 
-ADDED = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
-
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin int")
 
 
-def encode(encoder: bpe.Encoder, data: np.ndarray, offsets: np.ndarray,
+def encode(encoder: Encoder, data: np.ndarray, offsets: np.ndarray,
            added: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts and the n+1 offsets of their ids; an added token is one id."""
     raw = data.tobytes()
@@ -80,10 +79,14 @@ def encode(encoder: bpe.Encoder, data: np.ndarray, offsets: np.ndarray,
 
 def pieces(documents: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
            window: int = WINDOW, unit: int = UNIT,
-           added: dict[bytes, int] = ADDED) -> DataFrame:
-    """One row per token piece of every document."""
+           added: dict[bytes, int] | None = None) -> DataFrame:
+    """One row per token piece of every document; ``added``: by default the
+    added tokens of TOKENIZER."""
+    if added is None:
+        added = added_tokens(TOKENIZER)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.load(ranks, pattern)
+        encoder = Encoder(ranks, pattern)
         for batch in slices(batches, "text"):
             ids, ends = encode(encoder, *text_bytes(batch.column(1)), added)
             ids = ids.astype("<u4")
