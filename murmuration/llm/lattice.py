@@ -21,9 +21,9 @@ empty result; other columns of the input are not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -42,14 +42,19 @@ ALPHA = 5e-4   # scores of the file are negative merge ranks
 BYTE_PENALTY = 10.0
 SEED = 20
 SPACE = "▁".encode()
+LONG = 4096  # bytes of a unit that is filtered and sampled by itself
 
 SCHEMA = ("doc_id long, n_pieces long, ids array<int>, ids_crc32 long, text_crc32 long, "
           "lossless boolean")
 
 
-@lru_cache(maxsize=4)
-def load(path: str, alpha: float) -> Lattice:
-    return Lattice(path, alpha)
+def _mixed(x: int) -> int:
+    """``common.mix`` of one number."""
+    whole = (1 << 64) - 1
+    x = (x + 0x9E3779B97F4A7C15) & whole
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & whole
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & whole
+    return x ^ (x >> 31)
 
 
 class Lattice:
@@ -174,6 +179,8 @@ class Lattice:
         place = np.arange(nodes) - root
         into = np.diff(low)
         some = np.flatnonzero(into > 0)
+        long = np.repeat(size > LONG, size + 1)
+        some = some[~long[some]]
         small = len(size) and int(size.max()) < 1 << 16
         some = some[np.argsort(place[some].astype(np.uint16 if small else np.int64), kind="stable")]
         cuts = np.flatnonzero(np.diff(place[some])) + 1
@@ -193,8 +200,55 @@ class Lattice:
             run -= np.repeat(run[first] - share[first], n)
             run[first + n - 1] = 1.0
             cum[edge] = run
+        for u in np.flatnonzero(size > LONG).tolist():
+            a = int(ends[u]) + u
+            self._filter_long(a, a + int(size[u]), low, origin, weight, cum)
         return cum
 
+    def _filter_long(self, root: int, end: int, low: np.ndarray, origin: np.ndarray,
+                     weight: np.ndarray, cum: np.ndarray) -> None:
+        """The same for one long unit, node by node: its positions are too many
+        for a step over arrays each."""
+        first = int(low[root + 1])
+        begin = (low[root + 1:end + 2] - first).tolist()
+        start = (origin[first:first + begin[-1]] - root).tolist()
+        own = weight[first:first + begin[-1]].tolist()
+        out = [1.0] * begin[-1]
+        sums = [0.0] * (end - root + 1)
+        for v in range(1, end - root + 1):
+            a, b = begin[v - 1], begin[v]
+            if a == b:
+                continue
+            value = [sums[start[e]] + own[e] for e in range(a, b)]
+            top = max(value)
+            share = [math.exp(x - top) for x in value]
+            total = sum(share)
+            sums[v] = top + math.log(total)
+            run = 0.0
+            for e, x in zip(range(a, b - 1), share):
+                run += x / total
+                out[e] = run
+        cum[first:first + begin[-1]] = out
+
+    @staticmethod
+    def _walk_long(row: int, node: int, root: int, low: np.ndarray, origin: np.ndarray,
+                   token: np.ndarray, cum: np.ndarray) -> list[int]:
+        """Pieces of one long unit from its end, with the draws of ``sample``."""
+        first = int(low[root + 1])
+        begin = (low[root + 1:node + 2] - first).tolist()
+        stop = begin[-1]
+        start, piece, chance = (x[first:first + stop].tolist() for x in (origin - root, token, cum))
+        at, out = node - root, []
+        while at:
+            a, b = begin[at - 1], begin[at]
+            if b - a > 1:
+                draw = (_mixed(row + len(out)) >> 11) * 2.0 ** -53
+                while chance[a] <= draw:
+                    a += 1
+            out.append(piece[a])
+            at = start[a]
+        return out
+
     def sample(self, texts: pa.Array, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of every text, and their n+1 offsets."""
         raw, ends = text_bytes(texts)
@@ -221,10 +275,16 @@ class Lattice:
         with np.errstate(over="ignore"):
             row = mix(mix(keys.view(np.uint64) + np.uint64(seed))[doc]
                       + (np.arange(len(index)) - first[:-1][doc]).astype(np.uint64))
-            live = np.arange(len(index))
+            long = np.diff(stops)[index] > LONG
+            live = np.flatnonzero(~long)
             root = stops[index] + index
             node = stops[index + 1] + index
             steps = np.zeros(len(index), np.int64)
+            walked = {i: self._walk_long(int(row[i]), int(node[i]), int(root[i]), low, origin, token, cum)
+                      for i in np.flatnonzero(long).tolist()}
+            for i, own in walked.items():
+                steps[i] = len(own)
+            node = node[live]
             taken: list[tuple[np.ndarray, np.ndarray]] = []
             while len(live):
                 edge = low[node]
@@ -243,6 +303,8 @@ class Lattice:
         out = np.empty(int(stop[-1]) if len(stop) else 0, np.int32)
         for s, (who, piece) in enumerate(taken):
             out[stop[who] - 1 - s] = piece
+        for i, own in walked.items():
+            out[stop[i] - len(own):stop[i]] = own[::-1]
         return out, np.concatenate([[0], stop])[first]
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
@@ -259,7 +321,7 @@ def encode(documents: DataFrame, model: str = MODEL, alpha: float = ALPHA,
            seed: int = SEED) -> DataFrame:
     """Sampled piece ids of every text, and whether decoding gives it back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = load(model, alpha)
+        lattice = Lattice(model, alpha)
         for batch in slices(batches, "text", 8 << 20):
             keys = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             ids, bounds = lattice.sample(batch.column(1), keys, seed)
@@ -284,7 +346,7 @@ def encode(documents: DataFrame, model: str = MODEL, alpha: float = ALPHA,
 def decode(encoded: DataFrame, model: str = MODEL, alpha: float = ALPHA) -> DataFrame:
     """(doc_id, text) from (doc_id, ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = load(model, alpha)
+        lattice = Lattice(model, alpha)
         for batch in batches:
             lists = batch.column(1)
             bounds = np.asarray(lists.offsets)
