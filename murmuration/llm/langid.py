@@ -7,8 +7,9 @@ units are GRU cells whose squashing functions are ``x / (1 + |x|)`` (and half of
 it plus a half for the gates), which numpy evaluates without calls to exp.
 
 Training is in numpy, by backpropagation through time over the windows, on a
-bounded sample: about ``SAMPLE`` labelled texts a language, chosen by a hash of
-the id, ``WINDOWS`` windows of each.  Only text and lang are learned from.
+bounded sample: about ``SAMPLE`` labelled texts a language (of the ``LANGUAGES``
+most frequent ones), chosen by a hash of id and text, each text once, and
+``WINDOWS`` windows of each.  Only text and lang are learned from.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 without any labelled text everything is ``und``; texts of any length are read
@@ -35,6 +36,7 @@ ship_by_value(__name__)
 SPAN = 64
 HIDDEN = 10
 SAMPLE = 240   # labelled texts a language
+LANGUAGES = 200
 WINDOWS = 6    # windows of each
 ROUNDS = 110
 BATCH = 256
@@ -156,17 +158,26 @@ def parameters(net: Network) -> list[np.ndarray]:
     return [net.out, net.bias, net.forth.table, net.forth.recur, net.back.table, net.back.recur]
 
 
-def windows_of(data: np.ndarray, offsets: np.ndarray, span: int = SPAN
-               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of all texts: (bytes, mask, index of the text)."""
+def network(langs: list[str], values: list[np.ndarray]) -> Network:
+    """The network of ``parameters``."""
+    out, bias, *layers = values
+    return Network(langs, Layer(*layers[:2]), Layer(*layers[2:]), out, bias)
+
+
+def windows_of(offsets: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+    """Start and text of every window of all texts."""
     size = np.diff(offsets)
     count = -(-size // span)
     doc = np.repeat(np.arange(len(size)), count)
-    start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * span + offsets[doc]
+    return (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * span + offsets[doc], doc
+
+
+def spelled(data: np.ndarray, start: np.ndarray, stop: np.ndarray,
+            span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and mask of windows that begin at ``start``, of texts that end at ``stop``."""
     at = start[:, None] + np.arange(span)
-    mask = at < offsets[doc + 1][:, None]
-    padded = np.append(data, np.uint8(0))
-    return padded[np.where(mask, at, len(data))], mask.astype(np.float32), doc
+    mask = at < stop[:, None]
+    return data[np.minimum(at, len(data) - 1)] * mask, mask.astype(np.float32)
 
 
 def fit(texts: list[str], langs: list[str], rounds: int = ROUNDS, seed: int = 7) -> Network:
@@ -182,19 +193,22 @@ def fit(texts: list[str], langs: list[str], rounds: int = ROUNDS, seed: int = 7)
     net = Network(names, layer(), layer(), rng.normal(0, 0.3, (2 * size, k)).astype(np.float32),
                   np.zeros(k, np.float32))
     data, offsets = text_bytes(pa.array(texts, pa.large_string()))
-    spans, mask, doc = windows_of(data, offsets)
-    label = np.array([names.index(x) for x in langs])[doc]
-    order = rng.permutation(len(doc))
-    place = np.zeros(len(texts), np.int64)
-    chosen: list[list[int]] = [[] for _ in names]
-    for i in order.tolist():
-        if place[doc[i]] < WINDOWS:
-            place[doc[i]] += 1
-            chosen[label[i]].append(i)
+    # some windows of each text, before any is spelled out
+    own_label = {x: i for i, x in enumerate(names)}
+    start, label, stop = [], [], []
+    for i, lang in enumerate(langs):
+        count = -(-int(offsets[i + 1] - offsets[i]) // SPAN)
+        some = rng.permutation(count)[:WINDOWS] if count <= 4096 else np.unique(rng.integers(0, count, WINDOWS))
+        start += (offsets[i] + some * SPAN).tolist()
+        stop += [int(offsets[i + 1])] * len(some)
+        label += [own_label[lang]] * len(some)
+    label = np.array(label)
+    spans, mask = spelled(data, np.array(start), np.array(stop))
+    chosen = [np.flatnonzero(label == k) for k in range(len(names))]
     own = parameters(net)
     first, second = [np.zeros_like(p) for p in own], [np.zeros_like(p) for p in own]
     for step in range(1, rounds + 1):
-        take = np.concatenate([rng.choice(c, max(1, BATCH // k)) for c in chosen if c])
+        take = np.concatenate([rng.choice(c, max(1, BATCH // k)) for c in chosen if len(c)])
         _, grads = gradients(net, spans[take], mask[take], label[take])
         rate = 0.03 * min(1.0, 2 * (1 - step / (rounds + 1)))
         for p, g, m, v in zip(own, grads, first, second):  # Adam
@@ -213,14 +227,11 @@ def train(documents: DataFrame, sample: int = SAMPLE) -> Network | None:
     """Fit on about ``sample`` texts of each language that are not held out."""
     usable = documents.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & ~held_out(F.col("doc_id")))
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
-        return None
-    share = F.lit(0.0)
-    for lang, n in sorted(sizes.items()):
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(
+        F.desc("n"), "lang").limit(LANGUAGES)
+    share = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("n"))
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in b.to_pylist()]
         rows.sort(key=lambda r: (r["lang"], r["text"]))
@@ -230,12 +241,9 @@ def train(documents: DataFrame, sample: int = SAMPLE) -> Network | None:
             yield pa.RecordBatch.from_arrays([pa.array([plain], pa.binary())], names=["net"])
 
     # the sample is bounded, so one task learns from it; the network is a few KB
-    chosen = usable.filter(draw < share).select("lang", "text")
+    chosen = usable.join(F.broadcast(sizes), "lang").filter(draw < share).select("lang", "text").distinct()
     learned = chosen.repartition(1).mapInArrow(learn, "net binary").first()
-    if learned is None:
-        return None
-    langs, (out, bias, *layers) = pickle.loads(learned["net"])
-    return Network(langs, Layer(*layers[:2]), Layer(*layers[2:]), out, bias)
+    return None if learned is None else network(*pickle.loads(learned["net"]))
 
 
 # --- prediction ----------------------------------------------------------------------
@@ -243,11 +251,12 @@ def train(documents: DataFrame, sample: int = SAMPLE) -> Network | None:
 def pooled(net: Network, data: np.ndarray, offsets: np.ndarray, block: int = 2048) -> np.ndarray:
     """(texts, languages): the mean label distribution over each text's bytes."""
     total = np.zeros((len(offsets) - 1, len(net.langs)))
-    spans, mask, doc = windows_of(data, offsets)
-    for at in range(0, len(doc), block):
+    start, doc = windows_of(offsets)
+    for at in range(0, len(doc), block):  # windows are spelled out block by block
         part = slice(at, at + block)
-        p = label_probabilities(net, spans[part], mask[part])
-        p *= mask[part].T[:, :, None]
+        spans, mask = spelled(data, start[part], offsets[doc[part] + 1])
+        p = label_probabilities(net, spans, mask)
+        p *= mask.T[:, :, None]
         sums = p.sum(axis=0)
         for k in range(len(net.langs)):
             total[:, k] += np.bincount(doc[part], weights=sums[:, k], minlength=len(total))
@@ -255,13 +264,14 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray, block: int = 204
 
 
 def with_language(spark: SparkSession, documents: DataFrame, net: Network | None) -> DataFrame:
-    """``documents`` with a struct ``_lang``: lang_pred, score."""
-    shared = spark.sparkContext.broadcast(net)
+    """Every row of ``documents`` as a struct ``row``, so that its columns may have
+    any names, with a struct ``_lang``: lang_pred, score."""
+    shared = spark.sparkContext.broadcast(None if net is None else (net.langs, parameters(net)))
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts):  # noqa: ANN001, ANN202  pandas series in, frame out
         import pandas as pd
-        net = shared.value
+        net = network(*shared.value)
         texts = pa.array(texts, pa.large_string())
         names, scores = [], []
         for batch in slices([pa.RecordBatch.from_arrays([texts], ["t"])], "t", 4 << 20):
@@ -274,23 +284,24 @@ def with_language(spark: SparkSession, documents: DataFrame, net: Network | None
 
     readable = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
     unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    row = F.struct("*").alias("row")
     if net is None:
-        return documents.withColumn("_lang", unknown)
-    return documents.withColumn("_seen", F.when(readable, F.col("text")).otherwise(F.lit(""))) \
-        .withColumn("_guess", predict("_seen")) \
-        .withColumn("_lang", F.when(readable, F.col("_guess")).otherwise(unknown)) \
-        .drop("_seen", "_guess")
+        return documents.select(row, unknown.alias("_lang"))
+    return documents.select(
+        row, readable.alias("_readable"), F.when(readable, F.col("text")).otherwise(F.lit("")).alias("_seen")
+    ).select("row", "_readable", predict("_seen").alias("_guess")).select(
+        "row", F.when(F.col("_readable"), F.col("_guess")).otherwise(unknown).alias("_lang"))
 
 
 def identify(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
     rows = documents.select("doc_id", "text")
     return with_language(spark, rows, train(documents)).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "_lang.*")
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "_lang.*")
 
 
 def keep_identified(spark: SparkSession, documents: DataFrame,
                     min_score: float = MIN_SCORE) -> DataFrame:
     """The documents whose language is found with ``min_score`` or more."""
     return with_language(spark, documents, train(documents)).filter(
-        (F.col("_lang.lang_pred") != UNKNOWN) & (F.col("_lang.score") >= min_score)).drop("_lang")
+        (F.col("_lang.lang_pred") != UNKNOWN) & (F.col("_lang.score") >= min_score)).select("row.*")
