@@ -9,7 +9,6 @@ work of one stage at most.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from murmuration.llm import exact, langid, neardup, packing, quality
 from murmuration.llm.common import small_side, stored, table
@@ -40,9 +39,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without an id are linked with nothing, so they stay.
     """
     found = neardup.near_duplicates(spark, docs.select("doc_id", "text"), percent=NEAR_PERCENT)
-    gone = stored(spark, found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(),
-                  "near-copies")
-    return docs.join(small_side(gone, 8), F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = small_side(stored(spark, found.filter("NOT kept").select("doc_id").distinct(),
+                             "near-copies"), 8)
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")  # whatever other columns are called
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

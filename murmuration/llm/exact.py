@@ -28,7 +28,8 @@ def md5_128(text: Column) -> Column:
 
 def annotated(spark: SparkSession, documents: DataFrame, keep: str = "min",
               content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
-    """``documents`` with a struct ``_dedup``: keep_id, group_size, kept, text_sha256."""
+    """Every row of ``documents`` as a struct ``row``, so that its columns may have
+    any names, with a struct ``_dedup``: keep_id, group_size, kept, text_sha256."""
     best = {"min": F.min, "max": F.max}[keep]
     text = F.coalesce(F.col("text"), F.lit(""))
     whole = documents.select("doc_id", text.alias("text"), content_hash(text).alias("_h"))
@@ -47,21 +48,22 @@ def annotated(spark: SparkSession, documents: DataFrame, keep: str = "min",
     differ = stored(spark, members.select("_h", "text").distinct().groupBy("_h").agg(
         F.count(F.lit(1)).alias("_texts")).filter("_texts > 1").select("_h"), "collisions")
 
-    rows = documents.withColumns({"_h": content_hash(text),
-                                  "_sha": F.sha2(text.cast("binary"), 256)})
+    rows = documents.select(F.struct("*").alias("row"), content_hash(text).alias("_h"),
+                            F.sha2(text.cast("binary"), 256).alias("_sha"))
     out = rows.join(side, "_h", "left")
     if not differ.isEmpty():
         by_text = (whole.join(differ, "_h", "left_semi").groupBy("_h", F.col("text").alias("_text"))
                    .agg(best("doc_id").alias("_keep"), F.count(F.lit(1)).alias("_size")))
-        apart = rows.join(differ, "_h", "left_semi").withColumn("_text", text)
+        own = F.coalesce(F.col("row.text"), F.lit(""))
+        apart = rows.join(differ, "_h", "left_semi").withColumn("_text", own)
         out = out.join(differ, "_h", "left_anti").unionByName(
             apart.join(by_text, ["_h", "_text"]).drop("_text"))
     count = F.coalesce(F.col("_size"), F.lit(1).cast("long"))
-    keep_id = F.when(count > 1, F.col("_keep")).otherwise(F.col("doc_id"))
-    return out.withColumn("_dedup", F.struct(
+    keep_id = F.when(count > 1, F.col("_keep")).otherwise(F.col("row.doc_id"))
+    return out.select("row", F.struct(
         keep_id.alias("keep_id"), count.alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep_id).alias("kept"),
-        F.col("_sha").alias("text_sha256"))).drop("_h", "_sha", "_keep", "_size")
+        F.col("row.doc_id").eqNullSafe(keep_id).alias("kept"),
+        F.col("_sha").alias("text_sha256")).alias("_dedup"))
 
 
 def groups_of(spark: SparkSession, documents: DataFrame, keep: str = "min",
@@ -71,13 +73,13 @@ def groups_of(spark: SparkSession, documents: DataFrame, keep: str = "min",
     ``keep``: ``min`` or ``max`` of the ids stays.
     """
     rows = documents.select("doc_id", "text")
-    return annotated(spark, rows, keep, content_hash).select("doc_id", "_dedup.*")
+    return annotated(spark, rows, keep, content_hash).select("row.doc_id", "_dedup.*")
 
 
 def keep_first(spark: SparkSession, documents: DataFrame, keep: str = "min") -> DataFrame:
     """One row of every distinct text, with the documents' own columns."""
     kept = annotated(spark, documents, keep).filter("_dedup.kept")
     # repeated rows of the id that stays: only groups can have them
-    many = kept.filter("_dedup.group_size > 1").withColumn("_sha", F.col("_dedup.text_sha256"))
-    return kept.filter("_dedup.group_size = 1").drop("_dedup").unionByName(
-        many.dropDuplicates(["_sha"]).drop("_dedup", "_sha"))
+    many = kept.filter("_dedup.group_size > 1").select("row", F.col("_dedup.text_sha256").alias("_sha"))
+    return kept.filter("_dedup.group_size = 1").select("row.*").unionByName(
+        many.dropDuplicates(["_sha"]).select("row.*"))
