@@ -21,14 +21,21 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 
-# Common short words of English, French, German and Spanish.
+# Common short words of English, French, German and Spanish, and a
+# few each of Italian, Indonesian, Swahili, Tagalog and Finnish.
 STOP_WORDS = (
     "a an and are as at be by for from in is it of on or that the this to was with "
     "au avec ce dans de des du elle en est et il la le les ne par pas pour que qui sur un une "
     "als auf aus das dem den der die ein eine einen für ich im ist mit nicht sich sie und von zu "
-    "con del el es esta la las los no o para por se su sus una y"
+    "con del el es esta la las los no o para por se su sus una y "
+    "che di non yang dan ini itu untuk na ya wa kwa ang ng sa mga ja ei on"
 ).split()
 
+#: Letters and marks beside ASCII that texts of those languages hold; a text with
+#: another character is of a language whose short words are not listed.
+KNOWN_MARKS = "ÄÖÜäöüßÀÂÇÉÈÊËÎÏÔÛÙàâçéèêëîïôûùœæŒÆÁÍÓÚÑáíóúñ¿¡«»“”„‘’…–—·°§€£©®™\u00a0\u00ad"
+FOREIGN = f"[^\\x00-\\x7F{KNOWN_MARKS}]"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -43,6 +50,7 @@ class Rule:
     low: int | None = None
     high: int | None = None
     from_words: int = 0
+    known_only: bool = False  # not asked of texts with a FOREIGN character
 
 
 RULES = (
@@ -51,7 +59,7 @@ RULES = (
     Rule("shouting", "n_caps", "word_chars", high=300, from_words=20),
     Rule("exclamation", "n_exclaims", "n_words", high=500),
     Rule("dup_lines", "n_dup_lines", "n_lines", high=400),
-    Rule("stop_words", "n_stop", "n_words", low=10, from_words=60),
+    Rule("stop_words", "n_stop", "n_words", low=10, from_words=60, known_only=True),
 )
 
 
@@ -116,7 +124,8 @@ def _passes(rule: Rule, m: dict[str, Column]) -> Column:
         ok = ok & (m[rule.over] * 1000 >= m[rule.under] * rule.low)
     if rule.high is not None:
         ok = ok & (m[rule.over] * 1000 <= m[rule.under] * rule.high)
-    return ok | (m["n_words"] < rule.from_words) if rule.from_words else ok
+    ok = ok | (m["n_words"] < rule.from_words) if rule.from_words else ok
+    return ok | m["foreign"] if rule.known_only else ok
 
 
 def _counts(m: Column) -> dict[str, Column]:
@@ -128,10 +137,12 @@ def _counts(m: Column) -> dict[str, Column]:
 
 def judge(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """Struct: the counts, ``base_failed``, ``failed`` (names of the rules broken), ``kept``."""
+    foreign = F.coalesce(text.rlike(FOREIGN), F.lit(False))
+
     def verdict(m: Column) -> Column:
         c = _counts(m)
         base = (c["n_words"] < 10) | (c["n_repeat_words"] * 100 > c["n_words"] * 20)
-        broken = F.filter(F.array(*[F.when(~_passes(r, c), F.lit(r.name)) for r in rules]),
+        broken = F.filter(F.array(*[F.when(~_passes(r, {**c, "foreign": foreign}), F.lit(r.name)) for r in rules]),
                           lambda x: x.isNotNull())
         return let(broken, lambda b: F.struct(
             *[v.alias(k) for k, v in c.items()], base.alias("base_failed"), b.alias("failed"),

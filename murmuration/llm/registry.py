@@ -130,7 +130,8 @@ def _op10_sql() -> str:
     for r in quality.RULES:
         ok = [f"1000 * {r.over} >= {r.low} * {r.under}"] if r.low is not None else []
         ok += [f"1000 * {r.over} <= {r.high} * {r.under}"] if r.high is not None else []
-        rules.append(f"(n_words < {r.from_words} OR ({' AND '.join(ok)}))")
+        foreign = f"regexp_matches(t, '{quality.FOREIGN}') OR " if r.known_only else ""
+        rules.append(f"({foreign}n_words < {r.from_words} OR ({' AND '.join(ok)}))")
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, {_WORDS} AS ws,
@@ -141,7 +142,7 @@ v AS (SELECT doc_id, i, array_to_string(ws[i:i+4], ' ') AS g
 o AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM v),
 z AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words
       FROM o, unnest(range(0, 5)) q(j) WHERE k > 1 GROUP BY doc_id),
-m AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+m AS (SELECT doc_id, t, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
              length(t) - length(translate(t, '{quality.SYMBOLS}', '')) AS n_symbols,
              length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS n_caps,
              length(t) - length(translate(t, '!', '')) AS n_exclaims,
