@@ -5,8 +5,13 @@ aggregated (at most SLOTS rows), the slot-to-shard map is made from them on the
 driver and stored as a versioned table; rebalancing edits the map, never the
 hash.  The law held is ``bytes``: shards have nearly equal bytes.
 
-Defined results: a null text has no bytes (size 16); a null doc_id is hashed by
-its text; repeated rows share a virtual slot; an empty table gives an empty
+A record's key is its id and text, so rows of one id spread.  Of rows equal in
+both, those past the first ``REPEATS`` or so are spread over ``SPREAD`` slots by
+their place in the records' table, so that no virtual slot is heavy.  Equal texts
+with different ids are groups of copies: the law asks for equal bytes, not for
+copies to stay together, so they are placed by their own keys.
+
+Defined results: a null text has no bytes (size 16); an empty table gives an empty
 result; other columns of the input are not read.
 """
 
@@ -17,10 +22,12 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import stored
+from murmuration.llm.common import small_side, stored
 from murmuration.session import scratch_path
 
 SLOTS = 8192
+REPEATS = 64     # equal rows of one slot
+SPREAD = 1024
 RECORD_BYTES = 16  # fixed part of a record
 MAP_SCHEMA = "vslot int, shard int, bytes long, n long"
 
@@ -30,11 +37,24 @@ Row = tuple[int, int, int, int]  # vslot, shard, bytes, rows
 def records(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32 and virtual slot of every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    key = F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.xxhash64("doc_id"))
+    key = F.xxhash64("doc_id", text)
     return documents.select(
         "doc_id", (F.octet_length(text) + RECORD_BYTES).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
-        F.pmod(key, F.lit(slots)).cast("int").alias("vslot"))
+        F.pmod(key, F.lit(slots)).cast("int").alias("vslot"), key.alias("key"))
+
+
+def spread_repeats(spark: SparkSession, recs: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """The records (a stored table) with the many copies of a row spread over slots."""
+    many = stored(spark, recs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") > REPEATS).select("key"), "repeats")
+    if many.isEmpty():
+        return recs.drop("key")
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))  # as the table's files have it
+    placed = recs.withColumn("place", place).join(small_side(many.withColumn("many", F.lit(True)), 16),
+                                                  "key", "left")
+    vslot = F.when(F.col("many"), F.pmod(F.xxhash64("key", "place"), F.lit(slots)).cast("int"))
+    return placed.withColumn("vslot", F.coalesce(vslot, "vslot")).drop("key", "place", "many")
 
 
 def slot_loads(recs: DataFrame) -> list[tuple[int, int, int]]:
@@ -114,7 +134,7 @@ def place(recs: DataFrame, slot_map: DataFrame) -> DataFrame:
 def shard(spark: SparkSession, documents: DataFrame, shards: int = 40,
           map_path: str | None = None) -> DataFrame:
     """Put every document into one of ``shards`` shards under version 1 of a new map."""
-    recs = stored(spark, records(documents), "records")
+    recs = stored(spark, spread_repeats(spark, stored(spark, records(documents), "keys")), "records")
     rows = first_map(slot_loads(recs), shards)
     path = map_path or scratch_path(spark, "slot-map")
     return place(recs, write_map(spark, rows, path, 1))
