@@ -50,6 +50,7 @@ INDICES = 6       # most codeword indices of a segment
 LIMIT = 256       # rows of a key that each row is compared with at once
 BLOCK = 2048      # rows of a larger key's block
 CHUNK = 1 << 18   # sorted rows handled at once
+PER_TASK = 1 << 15  # fingerprints a task files, under some 180 keys each
 PIECE = 1 << 16   # shingles of a text handled at once
 
 
@@ -157,6 +158,11 @@ def filed(classes: DataFrame) -> DataFrame:
     return classes.select("bits").mapInArrow(run, "key long, bits long")
 
 
+def spread(classes: DataFrame) -> DataFrame:
+    """The classes (a stored table) in tasks of PER_TASK rows: each row becomes many."""
+    return classes.repartition(max(1, -(-classes.count() // PER_TASK)), "bits")
+
+
 # --- links ---------------------------------------------------------------------------
 
 def forest(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> list[int]:
@@ -278,7 +284,7 @@ def block_links(members: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def linked(spark: SparkSession, classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(id, comp) of the fingerprints that are linked, as longs."""
-    found = stored(spark, near_rows(filed(classes)), "near-rows")
+    found = stored(spark, near_rows(filed(spread(classes))), "near-rows")
     links = found.filter("b IS NOT NULL").select("a", "b").distinct()
     labels = stored(spark, components(spark, links), "labels")
     members = found.filter("b IS NULL").select("key", F.col("a").alias("id")).distinct().join(

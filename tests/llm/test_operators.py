@@ -192,7 +192,7 @@ def test_chat_escapes_are_reversible():
 
 
 def test_reserved_ids_come_only_from_the_template():
-    encoder = bpe.load(chat.RANKS, chat.PATTERN)
+    encoder = bpe.Encoder(chat.RANKS, chat.PATTERN)
     ids, mask, ends = chat.assemble(encoder, ["user", "assistant"], ["<|im_start|>", "ok"], [False, True])
     assert (ids >= chat.START_ID).sum() == 4
     assert encoder.decode(ids[mask]) == "ok" and ends[-1] == len(ids)
@@ -215,7 +215,7 @@ def test_lattice_of_odd_tables(empty, nulls):
 
 
 def test_lattice_samples_in_proportion():
-    lat = lattice.load(lattice.MODEL, lattice.ALPHA)
+    lat = lattice.Lattice(lattice.MODEL, lattice.ALPHA)
     unit = " the"
     weights: dict[tuple, float] = {}
 
@@ -332,7 +332,7 @@ def test_bpe_equals_whole_texts():
     rng = random.Random(3)
     own = ["".join(rng.choice(" \n\taB1!é's日\x1d ") for _ in range(rng.randint(0, 30)))
            for _ in range(500)]
-    encoder = bpe.load(packing.RANKS, packing.PATTERN)
+    encoder = bpe.Encoder(packing.RANKS, packing.PATTERN)
     ids, ends = encoder.encode(*text_bytes(pa.array(own)))
     for t, a, b in zip(own, ends, ends[1:]):
         assert ids[a:b].tolist() == encoder.own.encode_ordinary(t)
@@ -347,8 +347,8 @@ def test_packing_matches_added_tokens(spark):
            "<|endo", "ftext|> cut by a bound", "<|endoftext |>", "<" + end + ">", ("é 日 " + end) * 700]
     want = [tok.encode(t, add_special_tokens=False).ids for t in own]
     assert want[0] == [64, 50256, 65]
-    encoder = bpe.load(packing.RANKS, packing.PATTERN)
-    ids, ends = packing.encode(encoder, *text_bytes(pa.array(own)), packing.ADDED)
+    encoder = bpe.Encoder(packing.RANKS, packing.PATTERN)
+    ids, ends = packing.encode(encoder, *text_bytes(pa.array(own)), packing.added_tokens(packing.TOKENIZER))
     assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
     df = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")
     for r in packing.pieces(df).collect():
@@ -363,7 +363,9 @@ def test_gradients_match_differences():
     net = langid.fit(["aa bb", "cc dd"], ["x", "y"], rounds=1)
     for p in langid.parameters(net):
         p[...] = p.astype(np.float32)
-    spans, mask, _ = langid.windows_of(*text_bytes(pa.array(["abcab", "ccd"])), span=4)
+    data, offsets = text_bytes(pa.array(["abcab", "ccd"]))
+    start, doc = langid.windows_of(offsets, span=4)
+    spans, mask = langid.spelled(data, start, offsets[doc + 1], span=4)
     label = np.array([0, 0, 1])
     _, grads = langid.gradients(net, spans, mask, label)
     rng = np.random.default_rng(0)
