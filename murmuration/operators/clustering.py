@@ -618,6 +618,32 @@ def kmeans_sweep(points: DataFrame, ks: Iterable[int] = SWEEP_KS,
 
 
 # ------------------------------------------------------------------ Q22
+def tagged_outputs(result: KMeansResult, points: DataFrame) -> DataFrame:
+    """Both outputs of a run as one table: ``output`` (centers or clustered),
+    center_id, x, y, center_x, center_y, n, converged.
+
+    A center is its own point with weight n, a clustered row has weight 1.  The
+    centers (at most K) are rows of the plan, so the points are scanned once.
+    """
+    final = result.finalize().centers.collect()
+    spark = points.sparkSession
+    kinds = ("output string, center_id long, x long, y long, center_x long, center_y long, "
+             "n long, converged boolean")
+    centers = spark.createDataFrame(
+        [("centers", r["center_id"], r["x"], r["y"], r["x"], r["y"], r["n"], result.converged)
+         for r in final], kinds)
+    clustered = kmeans_assign(points, result).select(
+        F.lit("clustered").alias("output"), "center_id", "x", "y", "center_x", "center_y",
+        F.lit(1).cast(T.LongType()).alias("n"), F.lit(result.converged).alias("converged"))
+    return centers.unionByName(clustered)
+
+
+def write_tagged_outputs(result: KMeansResult, points: DataFrame, path: str,
+                         mode: str = "errorifexists") -> None:
+    """Write both outputs in one job, one folder each (``path/output=...``)."""
+    tagged_outputs(result, points).write.mode(mode).partitionBy("output").parquet(path)
+
+
 def kmeans_outputs(result: KMeansResult, points: DataFrame, path: str,
                    keep: Sequence[str] = (), mode: str = "errorifexists") -> tuple[str, str]:
     """Write the two named outputs of a run (Q22) below ``path``:

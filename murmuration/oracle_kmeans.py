@@ -282,4 +282,5 @@ SELECT person_id, CASE person_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN
          WHEN 3 THEN '"a", "' || name WHEN 4 THEN name || chr(10) || 'next,line' || chr(10)
          WHEN 5 THEN name || chr(92) ELSE name END AS name, hobby FROM people""",
     "q22_kmeans_outputs": _q22(),
+    "q22_kmeans_outputs_one_job": _q22(),
 }

@@ -200,6 +200,14 @@ def q22(spark: SparkSession, sf: str) -> DataFrame:
     return centers.unionByName(clustered)
 
 
+def q22_one_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The same outputs from one scan of the points, read back."""
+    res, path = _q16_result(spark, sf), scratch_path(spark, "kmeans-tagged")
+    res.release()
+    km.write_tagged_outputs(res, b.points(spark, sf), path)
+    return spark.read.parquet(path)
+
+
 KMEANS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q14_kmeans_step": q14,
     "q14_kmeans_step_5000": q14_many,
@@ -219,4 +227,5 @@ KMEANS_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q21_lenient_casualties": q21_casualties,
     "q21_texts_roundtrip": q21_texts,
     "q22_kmeans_outputs": q22,
+    "q22_kmeans_outputs_one_job": q22_one_job,
 }

@@ -26,6 +26,9 @@ DEFAULT_CONF = {
 }
 
 
+_SCRATCH: set[str] = set()  # folders handed out and not deleted yet
+
+
 def build_session(master: str | None = None, app_name: str = "murmuration",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
@@ -78,7 +81,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     k-means outputs); never a machine-local folder on a cluster.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/murmuration-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/murmuration-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.add(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder this process handed out: results that read
+    them are lazy, so their owner says when they are done with."""
+    for path in sorted(_SCRATCH):
+        drop_path(spark, path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -86,3 +98,4 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(jsc.hadoopConfiguration()).delete(target, True)
+    _SCRATCH.discard(path)

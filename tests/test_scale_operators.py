@@ -14,10 +14,15 @@ import murmuration.operators.heavy as heavy
 from murmuration.operators.counters import written_with_counts
 from murmuration.operators.membership import filter_words, in_set, may_hold, not_in_set
 from murmuration.operators.ordering import in_order, ranked
-from murmuration.plans.inspect import plan_string
+from murmuration.operators import clustering as km
+from murmuration.plans.inspect import plan_string, scan_details
+from murmuration.session import ensure_checkpoint_dir, release_scratch, scratch_path
 from murmuration.sources import write_csv
+from murmuration.sources.bindings import start_centers
 from murmuration.sources.bucketed import BucketedInputs, profile
 
+from conftest import grid_points
+
 
 def numbers(spark, values, n=4):
     return spark.createDataFrame([(v,) for v in values], "v long").repartition(n)
@@ -115,3 +120,28 @@ def test_bucketed_inputs_need_no_exchange(spark):
                      stored.store(access, "person_id", "what_page"))
         assert "Exchange" not in plan_string(df) and {tuple(r) for r in df.collect()} == want
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("murmuration_")]
+
+
+def test_both_outputs_come_from_one_scan_of_the_points(spark, tmp_dir):
+    pts = spark.createDataFrame(grid_points(500), "x long, y long")
+    source = os.path.join(tmp_dir, "points")
+    pts.write.parquet(source)
+    pts = spark.read.parquet(source)
+    res = km.kmeans_converged(pts, start_centers(), 5)
+    res.release()
+    df = km.tagged_outputs(res, pts)
+    assert [d["scan"].strip() for d in scan_details(df)].count("Scan parquet") == 1
+    path = os.path.join(tmp_dir, "out")
+    km.write_tagged_outputs(res, pts, path)
+    got = {tuple(r) for r in spark.read.parquet(path).select(df.columns).collect()}
+    assert got == {tuple(r) for r in df.collect()}
+    sizes = Counter(r["center_id"] for r in km.kmeans_assign(pts, res).collect())
+    assert {(r[1], r[6]) for r in got if r[0] == "centers"} == set(sizes.items())
+
+
+def test_scratch_folders_are_deleted_on_request(spark, tmp_dir):
+    path = scratch_path(spark, "gone")
+    numbers(spark, [1]).write.parquet(path)
+    before = ensure_checkpoint_dir(spark)
+    release_scratch(spark)
+    assert not glob.glob(os.path.join(before.removeprefix("file:"), "murmuration-gone-*"))
