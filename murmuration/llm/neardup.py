@@ -42,7 +42,7 @@ WORDS = 5
 PERCENT = 85
 SYMBOLS, CHUNKS, DISTANCE = 32, 7, 13  # what PERCENT needs
 MISS = 1e-4
-BLOCK = 128  # classes compared with a block of as many
+BLOCK = 512  # classes compared with a block of as many
 
 SIGNATURE_SCHEMA = ("doc_id long, n_shingles long, set_a long, set_b long, keys array<long>")
 
@@ -178,8 +178,12 @@ def block_links(members: DataFrame, percent: int) -> DataFrame:
     """Links between members of one group that are in different components.
 
     ``members``: grp, block, blocks, doc_id, comp, shingles.  A block meets each
-    block of its group once, so a task holds two blocks, whatever the group.
+    block of its group once, so a task holds two blocks, whatever the group.  Sets
+    are intersected only where components differ and sizes and signatures allow a
+    link; only links that join something are returned.
     """
+    count, _, distance = scheme(percent)
+
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         low, high = key[1], key[2]
         rows = rows.sort_values("doc_id", kind="stable")
@@ -193,17 +197,20 @@ def block_links(members: DataFrame, percent: int) -> DataFrame:
                 c = root[c]
             return c
 
+        size = np.array([len(s) for s in sets], np.int64)
+        signs = np.array([symbols(s.view(np.uint64), count) for s in sets], np.uint64).astype(np.uint16)
         found = []
         for i in range(len(ids)):
-            for j in range(i + 1, len(ids)):
-                if low != high and blocks[i] == blocks[j]:
-                    continue
+            own = (comps[i + 1:] != comps[i]) & ((low == high) | (blocks[i + 1:] != blocks[i]))
+            own &= 100 * np.minimum(size[i + 1:], size[i]) >= percent * np.maximum(size[i + 1:], size[i])
+            own = i + 1 + np.flatnonzero(own)
+            own = own[(signs[own] != signs[i]).sum(axis=1) <= distance]
+            for j in own.tolist():
                 p, q = find(comps[i]), find(comps[j])
-                n, m = len(sets[i]), len(sets[j])
-                if p == q or 100 * min(n, m) < percent * max(n, m):
+                if p == q:
                     continue
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * both >= percent * (n + m - both):
+                if 100 * both >= percent * (size[i] + size[j] - both):
                     root[max(p, q)] = min(p, q)
                     found.append((ids[i], ids[j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")

@@ -455,6 +455,16 @@ def test_block_links_find_what_the_star_misses(spark):
     assert got == {(10, 11), (12, 13), (14, 15)}
 
 
+def test_a_group_of_unlinked_classes_finishes(spark):
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(-2**62, 2**62, 60)).tolist() for _ in range(4998)]
+    sets += [[*sets[7][:57], 1, 2], [*sets[9][:30], *range(30)]]  # one is near, one is not
+    rows = [(0, i % 10, 10, i, i, s) for i, s in enumerate(sets)]
+    members = spark.createDataFrame(
+        rows, "grp long, block int, blocks int, doc_id long, comp long, shingles array<long>")
+    assert [tuple(r) for r in neardup.block_links(members, 85).collect()] == [(7, 4998)]
+
+
 def test_signatures_within_the_distance_share_a_key():
     rng = np.random.default_rng(0)
     one = rng.integers(0, 65536, (300, neardup.SYMBOLS)).astype(np.uint64)
