@@ -274,7 +274,7 @@ def with_language(spark: SparkSession, documents: DataFrame, net: Network | None
         net = network(*shared.value)
         texts = pa.array(texts, pa.large_string())
         names, scores = [], []
-        for batch in slices([pa.RecordBatch.from_arrays([texts], ["t"])], "t", 4 << 20):
+        for batch in slices([pa.RecordBatch.from_arrays([texts], ["t"])], "t", 2 << 20):
             p = pooled(net, *text_bytes(batch.column(0)))
             best = p.argmax(axis=1)
             names += [net.langs[i] for i in best]
