@@ -15,10 +15,13 @@ def sf():
     return sf_dir("0.001")
 
 
+FILTERED = {"q08_members_filtered", "q11_outsiders_filtered"}  # a filter's bits are tested in Arrow batches
+
+
 @pytest.mark.parametrize("name", sorted(queries.SOCIAL_QUERIES))
 def test_social_plans_stay_in_the_jvm(spark, sf, name):
     df = queries.SOCIAL_QUERIES[name](spark, sf)
-    assert python_nodes(df) == []
+    assert (python_nodes(df) == []) == (name not in FILTERED)
     text = plan_string(df, "simple")
     # the only cartesian products allowed are none at all
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
