@@ -16,6 +16,9 @@ ship_by_value(__name__)
 
 #: A side is broadcast only when its counted rows times their width stay below this.
 BROADCAST_BYTES = 64 << 20
+#: What a hashed relation holds of a row beside its fields: two to four 16-byte
+#: slots of its key and address, the row's header and its link.
+HASHED_ROW = 96
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,8 +42,8 @@ def discard(*tables: DataFrame) -> None:
 
 
 def fits(rows: int, row_bytes: int) -> bool:
-    """Whether so many rows of that width may be broadcast."""
-    return rows * row_bytes <= BROADCAST_BYTES
+    """Whether so many rows of that width may be broadcast, hashed as they are there."""
+    return rows * (row_bytes + HASHED_ROW) <= BROADCAST_BYTES
 
 
 def small_side(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
