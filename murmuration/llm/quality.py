@@ -34,7 +34,7 @@ STOP_WORDS = (
 #: Letters and marks beside ASCII that texts of those languages hold; a text with
 #: another character is of a language whose short words are not listed.
 KNOWN_MARKS = "ÄÖÜäöüßÀÂÇÉÈÊËÎÏÔÛÙàâçéèêëîïôûùœæŒÆÁÍÓÚÑáíóúñ¿¡«»“”„‘’…–—·°§€£©®™\u00a0\u00ad"
-FOREIGN = f"[^\\x00-\\x7F{KNOWN_MARKS}]"
+KNOWN = "".join(map(chr, range(128))) + KNOWN_MARKS
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,7 @@ class Rule:
     low: int | None = None
     high: int | None = None
     from_words: int = 0
-    known_only: bool = False  # not asked of texts with a FOREIGN character
+    known_only: bool = False  # not asked of texts with a character outside KNOWN
 
 
 RULES = (
@@ -91,16 +91,19 @@ def _repeated(words: Column) -> Column:
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes),
                       F.lit(0).cast("long")).otherwise(let(pairs, twice))
 
-    windows = F.transform(F.sequence(F.lit(1), F.size(words) - 4),
-                          lambda i: F.xxhash64(F.slice(words, i, F.lit(5))))
-    return F.when(F.size(words) < 5, F.lit(0).cast("long")).otherwise(let(windows, covered))
+    def windows(own: Column) -> Column:  # a word is hashed once, a window from five hashes
+        return F.transform(F.sequence(F.lit(0), F.size(own) - 5),
+                           lambda i: F.xxhash64(*[F.get(own, i + k) for k in range(5)]))
+
+    return F.when(F.size(words) < 5, F.lit(0).cast("long")).otherwise(
+        let(let(F.transform(words, lambda w: F.xxhash64(w)), windows), covered))
 
 
 def measures(text: Column) -> Column:
     """A struct of whole counts of one text."""
     text = F.coalesce(text, F.lit(""))
     # translate is plain character work; regular expressions are kept for splitting
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACE, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: F.ltrim(x, F.lit(SPACE)) != "")
     words = F.filter(F.split(text, "[ \\x09-\\x0D]+"), lambda w: w != "")
     word_part = let(words, lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"),
@@ -109,13 +112,18 @@ def measures(text: Column) -> Column:
     line_part = let(lines, lambda x: F.struct(
         F.size(x).cast("long").alias("n_lines"),
         (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    size = F.length(text)
-    return F.struct(
-        word_part.alias("w"), line_part.alias("l"),
-        _without(text, SPACE).cast("long").alias("word_chars"),
-        (size - _without(text, SYMBOLS)).cast("long").alias("n_symbols"),
-        (size - _without(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).cast("long").alias("n_caps"),
-        (size - _without(text, "!")).cast("long").alias("n_exclaims"))
+    def char_part(rest: Column) -> Column:
+        size = F.length(rest)
+        return F.struct(
+            (F.length(text) - size + _without(rest, SPACE)).cast("long").alias("word_chars"),
+            (size - _without(rest, SYMBOLS)).cast("long").alias("n_symbols"),
+            (size - _without(rest, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).cast("long").alias("n_caps"),
+            (size - _without(rest, "!")).cast("long").alias("n_exclaims"),
+            (_without(rest, KNOWN) > 0).alias("foreign"))
+
+    # small letters, most of a text, are taken out once
+    return F.struct(word_part.alias("w"), line_part.alias("l"),
+                    let(F.translate(text, "abcdefghijklmnopqrstuvwxyz", ""), char_part).alias("c"))
 
 
 def _passes(rule: Rule, m: dict[str, Column]) -> Column:
@@ -129,20 +137,18 @@ def _passes(rule: Rule, m: dict[str, Column]) -> Column:
 
 
 def _counts(m: Column) -> dict[str, Column]:
-    return {"n_words": m["w"]["n_words"], "word_chars": m["word_chars"],
-            "n_symbols": m["n_symbols"], "n_dup_lines": m["l"]["n_dup_lines"],
+    return {"n_words": m["w"]["n_words"], "word_chars": m["c"]["word_chars"],
+            "n_symbols": m["c"]["n_symbols"], "n_dup_lines": m["l"]["n_dup_lines"],
             "n_repeat_words": m["w"]["n_repeat_words"], "n_lines": m["l"]["n_lines"],
-            "n_stop": m["w"]["n_stop"], "n_caps": m["n_caps"], "n_exclaims": m["n_exclaims"]}
+            "n_stop": m["w"]["n_stop"], "n_caps": m["c"]["n_caps"], "n_exclaims": m["c"]["n_exclaims"]}
 
 
 def judge(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """Struct: the counts, ``base_failed``, ``failed`` (names of the rules broken), ``kept``."""
-    foreign = F.coalesce(text.rlike(FOREIGN), F.lit(False))
-
     def verdict(m: Column) -> Column:
         c = _counts(m)
         base = (c["n_words"] < 10) | (c["n_repeat_words"] * 100 > c["n_words"] * 20)
-        broken = F.filter(F.array(*[F.when(~_passes(r, {**c, "foreign": foreign}), F.lit(r.name)) for r in rules]),
+        broken = F.filter(F.array(*[F.when(~_passes(r, {**c, "foreign": m["c"]["foreign"]}), F.lit(r.name)) for r in rules]),
                           lambda x: x.isNotNull())
         return let(broken, lambda b: F.struct(
             *[v.alias(k) for k, v in c.items()], base.alias("base_failed"), b.alias("failed"),

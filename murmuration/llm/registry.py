@@ -130,7 +130,7 @@ def _op10_sql() -> str:
     for r in quality.RULES:
         ok = [f"1000 * {r.over} >= {r.low} * {r.under}"] if r.low is not None else []
         ok += [f"1000 * {r.over} <= {r.high} * {r.under}"] if r.high is not None else []
-        foreign = f"regexp_matches(t, '{quality.FOREIGN}') OR " if r.known_only else ""
+        foreign = f"regexp_matches(t, '[^\\x00-\\x7F{quality.KNOWN_MARKS}]') OR " if r.known_only else ""
         rules.append(f"({foreign}n_words < {r.from_words} OR ({' AND '.join(ok)}))")
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
