@@ -632,3 +632,19 @@ def test_quality_plan_is_one_native_projection(docs, empty, nulls):
     assert quality.quality(empty).count() == 0
     assert [r["kept"] for r in quality.quality(nulls).collect()] == [False] * 5
     assert quality.keep_good(docs).columns == docs.columns
+
+
+def test_quality_foreign_characters_and_character_counts(spark):
+    """Texts of the listed languages' characters are known; any other character is foreign."""
+    texts = ["plain words", "été über ñandú — “so” …", "слово", "a\x00b\x7f", "smile 😀", "日本", "ł", "",
+             "A!B #c\t$d\n!!", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["m"] for r in rows.select(
+        "doc_id", quality.measures(F.col("text")).alias("m")).collect()}
+    for i, text in enumerate(texts):
+        text, c = text or "", got[i]["c"]
+        assert c["foreign"] == any(ord(x) > 127 and x not in quality.KNOWN_MARKS for x in text), text
+        assert c["word_chars"] == sum(x not in quality.SPACE for x in text)
+        assert c["n_symbols"] == sum(x in quality.SYMBOLS for x in text)
+        assert c["n_caps"] == sum("A" <= x <= "Z" for x in text)
+        assert c["n_exclaims"] == text.count("!")
