@@ -5,7 +5,8 @@ piece lengths, in units of ``UNIT`` ids (256 bins, whatever the corpus size),
 is a cutting-stock problem: a linear program over patterns, whose columns are
 priced by a knapsack dynamic program.  Whole parts of the solution are used as
 they are, the remainder is packed best-fit; pieces are then ranked inside their
-length bin and take the places that the patterns hold for that bin.
+length bin and take the places that the patterns hold for that bin.  Pieces of
+the last bin leave no room for another and are sequences of their own.
 
 The histogram and the patterns, both bounded by the bins, are handled in one
 task; nothing else meets in one place.  Ids are those of the tokenizer file: its
@@ -42,6 +43,7 @@ WINDOW = 2048
 UNIT = 8
 CLOSING_ID = 1
 BUCKETS = 256  # rank buckets of a length bin
+PER_BUCKET = 1 << 17  # most full pieces of a bucket, on average
 
 
 def added_tokens(path: str) -> dict[bytes, int]:
@@ -51,6 +53,7 @@ def added_tokens(path: str) -> dict[bytes, int]:
 
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin int")
+COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
 
 
 def encode(encoder: Encoder, data: np.ndarray, offsets: np.ndarray,
@@ -263,17 +266,26 @@ def pack(spark: SparkSession, documents: DataFrame, ranks: str = RANKS, pattern:
     """Every piece with its sequence and its offset there."""
     if window % unit:
         raise ValueError("the window must be whole units")
+    room = window // unit
     cut = stored(spark, pieces(documents, ranks, pattern, window, unit), "pieces")
-    histogram = cut.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    held = stored(spark, assigned(histogram, window // unit), "places")
+    full, rest = cut.filter(F.col("bin") == room), cut.filter(F.col("bin") < room)
+    histogram = rest.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    held = stored(spark, assigned(histogram, room), "places")
     key = F.xxhash64("doc_id", "start")
-    ranked = spread_rank(cut, ["bin"], [key, "doc_id", "start", "ids_crc32"], key, BUCKETS, "rank")
+    order = [key, "doc_id", "start", "ids_crc32"]
+    ranked = spread_rank(rest, ["bin"], order, key, BUCKETS, "rank")
     r, h = ranked.alias("r"), F.broadcast(held).alias("h")
     put = r.join(h, (F.col("r.bin") == F.col("h.bin")) & (F.col("rank") >= F.col("lo"))
                  & (F.col("rank") < F.col("hi"))).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens",
-        (F.col("base") + F.floor((F.col("rank") - F.col("lo")) / F.col("each"))).cast("long")
-        .alias("sequence_id"))
+        *COLUMNS, (F.col("base") + F.floor((F.col("rank") - F.col("lo")) / F.col("each")))
+        .cast("long").alias("sequence_id"))
     before = Window.partitionBy("sequence_id").orderBy(
         F.desc("length"), "doc_id", "start", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
-    return put.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
+    shared = put.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
+
+    # a full piece is a sequence of its own: no pattern, and as many buckets as there are rows for
+    used = held.agg(F.max(F.expr("base + (hi - lo) div each"))).first()[0] or 0
+    buckets = max(BUCKETS, -(-full.count() // PER_BUCKET))
+    alone = spread_rank(full, ["bin"], order, key, buckets, "rank").select(
+        *COLUMNS, (F.col("rank") + used).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return shared.unionByName(alone)

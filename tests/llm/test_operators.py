@@ -283,7 +283,6 @@ def test_packing_places_every_id(spark, docs, texts):
     from tokenizers import Tokenizer
     import public_tokenizers
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     by_doc, by_seq = {}, {}
     for r in rows:
         by_doc.setdefault(r["doc_id"], []).append(r)
@@ -311,6 +310,21 @@ def test_packing_of_odd_tables(spark, empty, nulls):
     assert packing.pack(spark, nulls).count() == 5
 
 
+def test_full_pieces_are_sequences_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKETS", 4)
+    monkeypatch.setattr(packing, "PER_BUCKET", 8)
+    docs = spark.createDataFrame([(1, "one two three " * 300), (1, "one two three " * 300),
+                                  (None, "four five " * 100), (2, "six"), (3, None)],
+                                 "doc_id long, text string")
+    rows = packing.pack(spark, docs, window=32, unit=8).collect()
+    held = Counter()
+    for r in rows:
+        held[r["sequence_id"]] += r["length"]
+    alone = [r for r in rows if r["length"] == 32]
+    assert len(alone) > 40 and all(r["offset"] == 0 and held[r["sequence_id"]] == 32 for r in alone)
+    assert sorted(held) == list(range(len(held))) and max(held.values()) <= 32
+
+
 def test_linear_program_finds_the_optimum():
     # 3 sizes whose best patterns fill the room: 100 + 60 + 96, 128 + 128
     plan = packing.plan({100: 50, 60: 50, 96: 50, 128: 20}, 256)
